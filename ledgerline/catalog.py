@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedup import keep_latest
+from ledgerline.operators.incremental import append_new, newer_than, union_evolving, upsert
+from ledgerline.operators.scd2 import current_versions
+from ledgerline.operators.windows import latest_n, running_sum, top_k_per
 from ledgerline.operators.validate import (
     rejected_sales,
     stage_sales,
@@ -19,6 +22,7 @@ from ledgerline.operators.validate import (
     valid_stores,
 )
 from ledgerline.plans import fixture as FX
+from ledgerline.plans import raw as RAW
 from ledgerline.plans import reports as R
 
 
@@ -110,6 +114,187 @@ def q_output3_literal(spark, sf_dir):
                      run_date=FX.RUN_DATE, literal=True)
 
 
+# ------------------------------------------- generic operators (star tables) ---
+
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def q_keep_latest_dedup(spark, sf_dir):
+    """One row per (l_orderkey, l_linenumber), latest ship date first,
+    then every other column descending as the tie-break."""
+    li = table(spark, sf_dir, "lineitem")
+    return keep_latest(li, LINEITEM_KEY, [F.col("l_shipdate").desc()])
+
+
+def _events_daily(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.to_date("ts").alias("event_date"), "user_id", "event_type",
+                     F.col("value").cast("decimal(18,2)").alias("value"), "event_id", "ts")
+
+
+def q_running_sum_month(spark, sf_dir):
+    """Per user and day, the value total and its month-to-date sum."""
+    daily = (_events_daily(spark, sf_dir).groupBy("user_id", "event_date")
+             .agg(F.sum("value").alias("day_value")))
+    out = running_sum(daily, ["user_id", F.trunc("event_date", "MM")], "event_date",
+                      "day_value", "month_to_date_value")
+    return out.select("user_id", "event_date",
+                      F.col("day_value").cast("decimal(18,2)").alias("day_value"),
+                      F.col("month_to_date_value").cast("decimal(18,2)")
+                      .alias("month_to_date_value"))
+
+
+def q_top_k_per_group(spark, sf_dir):
+    """Per day, the 3 users with the largest value total (ties → lower id)."""
+    per = (_events_daily(spark, sf_dir).groupBy("event_date", "user_id")
+           .agg(F.sum("value").alias("user_value")))
+    top = top_k_per(per, "event_date",
+                    [F.col("user_value").desc(), F.col("user_id").asc()], 3,
+                    rank_col="rank_id")
+    return top.select("event_date", F.col("rank_id").cast("int").alias("rank_id"),
+                      "user_id", F.col("user_value").cast("decimal(18,2)").alias("user_value"))
+
+
+def q_latest_n(spark, sf_dir):
+    """The 40 latest events (global top-N without a global window)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(40)
+
+
+def q_count_distinct_by_day(spark, sf_dir):
+    """Per day (derived from the timestamp), distinct users, events
+    and value total."""
+    return (_events_daily(spark, sf_dir).groupBy("event_date")
+            .agg(F.countDistinct("user_id").alias("distinct_users"),
+                 F.count("*").alias("n_events"),
+                 F.sum("value").cast("decimal(18,2)").alias("total_value")))
+
+
+def q_left_join_lookup(spark, sf_dir):
+    """Every order with its customer's name (NULL when unknown)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return o.join(c, "o_custkey", "left")
+
+
+def q_semi_join_dates(spark, sf_dir):
+    """Line items of orders placed on the 10 latest order dates,
+    summed per date (the date list is ≤ 10 rows, broadcast)."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    last = latest_n(o, "order_date", 10, distinct=True)
+    recent = o.join(F.broadcast(last), "order_date", "left_semi")
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_extendedprice")
+    return (li.join(recent, "o_orderkey", "inner").groupBy("order_date")
+            .agg(F.count("*").alias("n_lines"),
+                 F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
+                 .cast("decimal(18,2)").alias("sum_price")))
+
+
+def q_anti_join_new(spark, sf_dir):
+    """Customers with no order (NOT IN / NOT EXISTS as left_anti)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return c.join(o, "c_custkey", "left_anti")
+
+
+def q_union_all_audit(spark, sf_dir):
+    """O3/A1: row counts per monthly "file" of orders and of line items,
+    stacked with UNION ALL."""
+    o = (table(spark, sf_dir, "orders")
+         .groupBy(F.date_format("o_orderdate", "yyyyMM").alias("batch_month"))
+         .agg(F.count("*").alias("row_count"))
+         .select(F.lit("orders").alias("file_type"), "batch_month", "row_count"))
+    li = (table(spark, sf_dir, "lineitem")
+          .groupBy(F.date_format("l_shipdate", "yyyyMM").alias("batch_month"))
+          .agg(F.count("*").alias("row_count"))
+          .select(F.lit("lineitem").alias("file_type"), "batch_month", "row_count"))
+    return o.unionByName(li)
+
+
+def q_schema_evolution(spark, sf_dir):
+    """Older orders have 3 columns, newer ones a 4th; stacked by name,
+    old rows get NULL in the new column."""
+    o = table(spark, sf_dir, "orders")
+    old = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")).select(
+        "o_orderkey", "o_custkey", "o_totalprice")
+    new = o.where(~(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"))).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    return union_evolving(old, new)
+
+
+# ------------------------------------------ SCD2 and incremental targets ---
+
+def q_scd2_sales(spark, sf_dir):
+    """Sales history after three snapshot runs (insert, change,
+    absent key, unchanged re-delivery)."""
+    orders = table(spark, sf_dir, "orders")
+    hist = None
+    for run, ts in FX.RUN_STAMPS.items():
+        hist = RAW.snapshot_sales(hist, FX.sales_run(orders, run), ts)
+    return hist
+
+
+def q_scd2_stores(spark, sf_dir):
+    """Store history after three runs of daily store files."""
+    customer = table(spark, sf_dir, "customer")
+    hist = None
+    for run, ts in FX.RUN_STAMPS.items():
+        hist = RAW.snapshot_stores(hist, FX.stores_run(customer, run), ts)
+    return hist
+
+
+SPLIT_A = "1998-01-01"   # delivery A: orders before this date
+SPLIT_B = "1997-07-01"   # delivery B: orders from this date (overlaps A)
+SALES_KEYS = ["store_token", "transaction_id"]
+REJECTED_KEYS = ["store_token", "transaction_id", "snapshot_updated_at"]
+
+
+def _delivery(spark, sf_dir, which: str):
+    o = table(spark, sf_dir, "orders")
+    if which == "A":
+        part, ts = o.where(F.col("o_orderdate") < F.lit(SPLIT_A).cast("timestamp")), \
+            FX.RUN_STAMPS[1]
+    else:
+        part, ts = o.where(F.col("o_orderdate") >= F.lit(SPLIT_B).cast("timestamp")), \
+            FX.RUN_STAMPS[2]
+    return stage_sales(FX.sales_current(part, ts))
+
+
+def q_watermark_filter(spark, sf_dir):
+    """Valid staged rows strictly newer than the target's latest
+    ``snapshot_updated_at`` (target = silver after delivery A)."""
+    target = valid_sales(_delivery(spark, sf_dir, "A"))
+    staged = _delivery(spark, sf_dir, "A").unionByName(_delivery(spark, sf_dir, "B"))
+    return newer_than(valid_sales(staged), target, "snapshot_updated_at")
+
+
+def q_upsert_sales(spark, sf_dir):
+    """K2: silver sales after delivery B is upserted (delete+insert on
+    (store_token, transaction_id)) into silver after delivery A."""
+    target = valid_sales(_delivery(spark, sf_dir, "A"))
+    new = newer_than(valid_sales(_delivery(spark, sf_dir, "B")), target,
+                     "snapshot_updated_at")
+    return upsert(target, new, SALES_KEYS)
+
+
+def q_append_new_rejected(spark, sf_dir):
+    """K3: rejected table after appending delivery B's rejects twice (the
+    retry adds nothing: anti join on the configured unique key)."""
+    target = rejected_sales(_delivery(spark, sf_dir, "A"))
+    new = newer_than(rejected_sales(_delivery(spark, sf_dir, "B")), target,
+                     "snapshot_updated_at")
+    once = target.unionByName(append_new(target, new, REJECTED_KEYS))
+    return once.unionByName(append_new(once, new, REJECTED_KEYS))
+
+
+def q_current_versions(spark, sf_dir):
+    """Open versions of the three-run sales history."""
+    return current_versions(q_scd2_sales(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_reasons": q_staged_reasons,
     "silver_sales": q_silver_sales,
@@ -120,4 +305,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output2": q_output2,
     "output3": q_output3,
     "output3_literal": q_output3_literal,
+    "keep_latest_dedup": q_keep_latest_dedup,
+    "running_sum_month": q_running_sum_month,
+    "top_k_per_group": q_top_k_per_group,
+    "latest_n": q_latest_n,
+    "count_distinct_by_day": q_count_distinct_by_day,
+    "left_join_lookup": q_left_join_lookup,
+    "semi_join_dates": q_semi_join_dates,
+    "anti_join_new": q_anti_join_new,
+    "union_all_audit": q_union_all_audit,
+    "schema_evolution": q_schema_evolution,
+    "scd2_sales": q_scd2_sales,
+    "scd2_stores": q_scd2_stores,
+    "current_versions": q_current_versions,
+    "watermark_filter": q_watermark_filter,
+    "upsert_sales": q_upsert_sales,
+    "append_new_rejected": q_append_new_rejected,
 }

@@ -35,7 +35,7 @@ def store_token_of(custkey: Column) -> Column:
     return md5_uuid(F.concat(F.lit("s"), (custkey % N_STORES).cast("string")))
 
 
-def sales_landing(orders: DataFrame) -> DataFrame:
+def sales_landing(orders: DataFrame, keep_key: bool = False) -> DataFrame:
     """The six landing text fields plus ``batch_date`` (month of the
     order date) and ``source_file``; malformed per ``o_orderkey % 140``."""
     m = F.col("o_orderkey") % MALFORMED_MOD
@@ -60,6 +60,7 @@ def sales_landing(orders: DataFrame) -> DataFrame:
         bad(7, F.col("o_orderpriority"), F.repeat(F.lit("X"), 50)).alias("user_role"),
         batch.alias("batch_date"),
         F.concat(F.lit("sales_"), batch, F.lit(".csv")).alias("source_file"),
+        *([F.col("o_orderkey")] if keep_key else []),
     )
 
 
@@ -76,7 +77,7 @@ def sales_current(orders: DataFrame, run_ts=RUN_TS) -> DataFrame:
     )
 
 
-def stores_landing(customer: DataFrame) -> DataFrame:
+def stores_landing(customer: DataFrame, keep_key: bool = False) -> DataFrame:
     """One store record per customer: store ``c_custkey % 50``, named after
     the customer, delivered in the daily file ``c_custkey div 50``. Some
     records carry a bad token (% 101 = 17), group (% 97 = 13) or an
@@ -95,4 +96,40 @@ def stores_landing(customer: DataFrame) -> DataFrame:
         .alias("store_name"),
         d8.alias("batch_date"),
         F.concat(F.lit("stores_"), d8, F.lit(".csv")).alias("source_file"),
+        *([F.col("c_custkey")] if keep_key else []),
     )
+
+
+# --- fixed values: three snapshot runs for the SCD2 scenarios ---
+RUN_STAMPS = {1: "2024-02-01 06:00:00", 2: "2024-02-02 06:00:00", 3: "2024-02-03 06:00:00"}
+
+
+def sales_run(orders: DataFrame, run: int) -> DataFrame:
+    """Landing sales of snapshot run 1, 2 or 3.
+
+    Run 1 delivers every sale. Run 2 re-delivers all but ``o_orderkey % 5
+    = 4`` (absent keys stay as they are) with a new ``user_role`` for
+    ``% 5 = 1``. Run 3 re-delivers everything: ``% 5 = 1`` as in run 2
+    (no change), ``% 5 = 2`` with a new ``receipt_token``.
+    """
+    land = sales_landing(orders, keep_key=True)
+    m = F.col("o_orderkey") % 5
+    if run >= 2:
+        land = land.withColumn("user_role", F.when(m == 1, F.concat(F.lit("V2-"), "user_role"))
+                               .otherwise(F.col("user_role")))
+    if run == 2:
+        land = land.where(m != 4)
+    if run == 3:
+        land = land.withColumn("receipt_token",
+                               F.when(m == 2, F.concat("receipt_token", F.lit("b")))
+                               .otherwise(F.col("receipt_token")))
+    return land.drop("o_orderkey")
+
+
+def stores_run(customer: DataFrame, run: int) -> DataFrame:
+    """Landing stores of snapshot run 1 (file days 0-9), 2 (10-19) or
+    3 (20 and later); every store record belongs to exactly one run."""
+    land = stores_landing(customer, keep_key=True)
+    day = (F.col("c_custkey") / N_STORES).cast("int")
+    run_of = F.least(F.lit(3), (day / 10).cast("int") + 1)
+    return land.where(run_of == run).drop("c_custkey")
