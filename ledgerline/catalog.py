@@ -22,7 +22,12 @@ from ledgerline.operators.validate import (
     valid_stores,
 )
 from ledgerline.plans import fixture as FX
+from ledgerline import constants as C
+from ledgerline.functions.parse import batch_date_of
 from ledgerline.plans import raw as RAW
+from ledgerline.plans.audit import file_audit
+from ledgerline.session import work_dir
+from ledgerline.sources.landing import file_name, read_landing
 from ledgerline.plans import reports as R
 
 
@@ -295,6 +300,59 @@ def q_current_versions(spark, sf_dir):
     return current_versions(q_scd2_sales(spark, sf_dir))
 
 
+# ------------------------------------------------------ landing CSV files ---
+
+def _landing(spark, sf_dir):
+    """Write the landing CSVs derived from orders/customer into the shared
+    work folder; return (stores, sales) readers over them."""
+    root = work_dir(spark, "landing")
+    FX.write_landing(spark, table(spark, sf_dir, "orders"),
+                     table(spark, sf_dir, "customer"), root)
+    stores = read_landing(spark, f"{root}/stores_*.csv", C.STORE_COLUMNS,
+                          header_cols=C.STORE_COLUMNS)
+    sales = read_landing(spark, f"{root}/sales_*.csv", C.SALES_COLUMNS,
+                         header_cols=C.SALES_COLUMNS[:3])
+    return stores, sales
+
+
+def q_landing_csv(spark, sf_dir):
+    """Sales rows read back from landing CSVs (headers and malformed
+    lines removed), with the file name and its batch date."""
+    _, sales = _landing(spark, sf_dir)
+    return sales.select(*C.SALES_COLUMNS,
+                        batch_date_of(file_name("source_file"), C.SALES_FILE_RE)
+                        .alias("batch_date"),
+                        file_name("source_file").alias("source_file"))
+
+
+def q_landing_stores_csv(spark, sf_dir):
+    """S1-S4 on the stores files (quoted commas and quotes in names)."""
+    stores, _ = _landing(spark, sf_dir)
+    return stores.select(*C.STORE_COLUMNS,
+                         batch_date_of(file_name("source_file"), C.STORES_FILE_RE)
+                         .alias("batch_date"),
+                         file_name("source_file").alias("source_file"))
+
+
+def _named_audit(df):
+    return df.withColumn("source_file", file_name("source_file"))
+
+
+def q_file_audit(spark, sf_dir):
+    """M3: one audit row per landing file (first run)."""
+    stores, sales = _landing(spark, sf_dir)
+    return _named_audit(file_audit(stores, sales, None, FX.RUN_TS))
+
+
+def q_new_files_only(spark, sf_dir):
+    """Second run — only files missing from the audit recorded by
+    the first run (which saw the sales batches before 1998) get a row."""
+    stores, sales = _landing(spark, sf_dir)
+    first = file_audit(stores, sales, None, FX.RUN_STAMPS[1]).where(
+        (F.col("file_type") == "sales") & (F.col("batch_date") < "19980101"))
+    return _named_audit(file_audit(stores, sales, first, FX.RUN_STAMPS[2]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_reasons": q_staged_reasons,
     "silver_sales": q_silver_sales,
@@ -321,4 +379,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watermark_filter": q_watermark_filter,
     "upsert_sales": q_upsert_sales,
     "append_new_rejected": q_append_new_rejected,
+    "landing_csv": q_landing_csv,
+    "landing_stores_csv": q_landing_stores_csv,
+    "file_audit": q_file_audit,
+    "new_files_only": q_new_files_only,
 }

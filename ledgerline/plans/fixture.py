@@ -80,8 +80,8 @@ def sales_current(orders: DataFrame, run_ts=RUN_TS) -> DataFrame:
 def stores_landing(customer: DataFrame, keep_key: bool = False) -> DataFrame:
     """One store record per customer: store ``c_custkey % 50``, named after
     the customer, delivered in the daily file ``c_custkey div 50``. Some
-    records carry a bad token (% 101 = 17), group (% 97 = 13) or an
-    over-long name (% 89 = 7)."""
+    records carry a bad token (% 101 = 17), group (% 97 = 13), an
+    over-long name (% 89 = 7) or a name with a comma and quotes (% 83 = 11)."""
     k = F.col("c_custkey")
     good_token = store_token_of(k)
     token = F.when(k % 101 == 17, F.lit("not-a-uuid")).otherwise(good_token)
@@ -92,8 +92,9 @@ def stores_landing(customer: DataFrame, keep_key: bool = False) -> DataFrame:
     return customer.select(
         F.when(k % 97 == 13, F.lit("zzzzzzzz")).otherwise(group).alias("store_group"),
         token.alias("store_token"),
-        F.when(k % 89 == 7, F.repeat(F.lit("N"), 201)).otherwise(F.col("c_name"))
-        .alias("store_name"),
+        F.when(k % 89 == 7, F.repeat(F.lit("N"), 201))
+        .when(k % 83 == 11, F.concat(F.col("c_name"), F.lit(', Ltd "HQ"')))
+        .otherwise(F.col("c_name")).alias("store_name"),
         d8.alias("batch_date"),
         F.concat(F.lit("stores_"), d8, F.lit(".csv")).alias("source_file"),
         *([F.col("c_custkey")] if keep_key else []),
@@ -133,3 +134,76 @@ def stores_run(customer: DataFrame, run: int) -> DataFrame:
     day = (F.col("c_custkey") / N_STORES).cast("int")
     run_of = F.least(F.lit(3), (day / 10).cast("int") + 1)
     return land.where(run_of == run).drop("c_custkey")
+
+
+# ------------------------------------------------------- landing CSV files ---
+
+def csv_field(c: Column) -> Column:
+    """RFC 4180 field: quoted (with doubled quotes) when it holds a comma,
+    quote or line break; NULL becomes an empty field."""
+    raw = F.coalesce(c, F.lit(""))
+    needs = raw.rlike('[",\r\n]')
+    quoted = F.concat(F.lit('"'), F.replace(raw, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(needs, quoted).otherwise(raw)
+
+
+def csv_line(cols: list[str]) -> Column:
+    return F.concat_ws(",", *[csv_field(F.col(c)) for c in cols])
+
+
+def landing_lines(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """(file, line_no, line) for every landing file: one line per record,
+    a header line in some files (sales: odd months; stores: even days) and
+    malformed lines with a wrong field count (orders % 140 = 8 or 9,
+    customers % 113 = 5), which a reader must skip."""
+    from ledgerline import constants as C
+
+    sales = sales_landing(orders, keep_key=True)
+    stores = stores_landing(customer, keep_key=True)
+    s_lines = sales.select(F.col("source_file").alias("file"),
+                           F.col("o_orderkey").alias("line_no"),
+                           csv_line(C.SALES_COLUMNS).alias("line"))
+    s_bad = sales.where((F.col("o_orderkey") % MALFORMED_MOD).isin(8, 9)).select(
+        F.col("source_file").alias("file"),
+        (-F.col("o_orderkey") - 2).alias("line_no"),
+        F.when(F.col("o_orderkey") % MALFORMED_MOD == 8, F.lit("only,two"))
+        .otherwise(F.lit("a,b,c,d,e,f,g")).alias("line"))
+    s_head = (sales.select(F.col("source_file").alias("file"), "batch_date").distinct()
+              .where(F.substring("batch_date", 6, 1).cast("int") % 2 == 1)
+              .select("file", F.lit(-1).cast("bigint").alias("line_no"),
+                      F.lit(",".join(C.SALES_COLUMNS)).alias("line")))
+    t_lines = stores.select(F.col("source_file").alias("file"),
+                            F.col("c_custkey").alias("line_no"),
+                            csv_line(C.STORE_COLUMNS).alias("line"))
+    t_bad = stores.where(F.col("c_custkey") % 113 == 5).select(
+        F.col("source_file").alias("file"), (-F.col("c_custkey") - 2).alias("line_no"),
+        F.lit("w,x,y,z").alias("line"))
+    t_head = (stores.select(F.col("source_file").alias("file"), "batch_date").distinct()
+              .where(F.substring("batch_date", 8, 1).cast("int") % 2 == 0)
+              .select("file", F.lit(-1).cast("bigint").alias("line_no"),
+                      F.lit(",".join(C.STORE_COLUMNS)).alias("line")))
+    return s_lines.unionByName(s_bad).unionByName(s_head).unionByName(t_lines) \
+        .unionByName(t_bad).unionByName(t_head)
+
+
+def write_landing(spark, orders: DataFrame, customer: DataFrame, root: str) -> str:
+    """Write the landing files as ``root/<file name>`` (one CSV per name).
+
+    Spark writes one part file per name (rows are hash-partitioned by
+    name), which is then renamed to the flat landing name. Only file
+    metadata passes through the driver.
+    """
+    lines = landing_lines(orders, customer)
+    staging = root.rstrip("/") + "/_staging"
+    (lines.repartition("file").sortWithinPartitions("file", "line_no")
+     .select("file", "line").write.partitionBy("file").text(staging))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(staging + "/file=*/part-*")):
+        src = st.getPath()
+        name = src.getParent().getName().split("=", 1)[1]
+        fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, name))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return root
