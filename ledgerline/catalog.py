@@ -25,7 +25,9 @@ from ledgerline.plans import fixture as FX
 from ledgerline import constants as C
 from ledgerline.functions.parse import batch_date_of
 from ledgerline.plans import raw as RAW
+from ledgerline.operators.checks import run_checks
 from ledgerline.plans.audit import file_audit
+from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
 from ledgerline.sources.landing import file_name, read_landing
 from ledgerline.plans import reports as R
@@ -353,6 +355,32 @@ def q_new_files_only(spark, sf_dir):
     return _named_audit(file_audit(stores, sales, first, FX.RUN_STAMPS[2]))
 
 
+# ------------------------------------------------------ quality checks ---
+
+def _silver_tables(spark, sf_dir):
+    return {
+        "silver_stores": _silver_stores(spark, sf_dir),
+        "silver_sales": _silver_sales(spark, sf_dir),
+        "silver_sales_rejected": _silver_rejected(spark, sf_dir),
+        "silver_sales_audit_by_batch": q_audit_by_batch(spark, sf_dir),
+    }
+
+
+def q_checks_silver(spark, sf_dir):
+    """Q1-Q11: the 39 silver assertions, failing rows per rule."""
+    return run_checks(_silver_tables(spark, sf_dir), SILVER_RULES)
+
+
+def q_checks_gold(spark, sf_dir):
+    """Q1-Q10: the 34 gold assertions, failing rows per rule."""
+    tables = {
+        "rpt_transactions_by_batch": q_output1(spark, sf_dir),
+        "rpt_sales_by_transaction_date": q_output2(spark, sf_dir),
+        "rpt_top_5_stores_by_date": q_output3(spark, sf_dir),
+    }
+    return run_checks(tables, GOLD_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_reasons": q_staged_reasons,
     "silver_sales": q_silver_sales,
@@ -383,4 +411,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_stores_csv": q_landing_stores_csv,
     "file_audit": q_file_audit,
     "new_files_only": q_new_files_only,
+    "checks_silver": q_checks_silver,
+    "checks_gold": q_checks_gold,
 }
