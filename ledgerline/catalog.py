@@ -30,11 +30,12 @@ from ledgerline.plans.audit import file_audit
 from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
 from ledgerline.sources.landing import file_name, read_landing
+from ledgerline.sources.tables import read_table
 from ledgerline.plans import reports as R
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- fixture ---

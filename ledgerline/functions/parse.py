@@ -32,22 +32,18 @@ def parse_ts(c: Column | str) -> Column:
 
     Surrounding blanks are ignored. The shape is checked by regex first
     (upper-case T only, seconds < 60); the calendar (Feb 29, hour 24, ...)
-    is checked by ``try_make_timestamp_ntz``, which yields NULL for
-    impossible dates. Independent of the session time zone.
+    by the strict datetime parser, which yields NULL for impossible dates.
+    The text is read as UTC (explicit ``Z``) and the instant turned into a
+    wall-clock value by adding its microseconds to the epoch, so the result
+    does not depend on the session time zone. The input is referenced only
+    twice, which keeps the expression small when filters inline it.
     """
     s = F.trim(_col(c))
-    secs = F.concat(F.substring(s, 14, 2), F.lit("."), F.substring(s, 17, 6)).cast(
-        "decimal(8,6)"
-    )
-    made = F.try_make_timestamp_ntz(
-        years=F.substring(s, 1, 4).cast("int"),
-        months=F.substring(s, 5, 2).cast("int"),
-        days=F.substring(s, 7, 2).cast("int"),
-        hours=F.substring(s, 10, 2).cast("int"),
-        mins=F.substring(s, 12, 2).cast("int"),
-        secs=secs,
-    )
-    return F.when(s.rlike(C.TRANSACTION_TIME_RE), made)
+    instant = F.try_to_timestamp(F.concat(s, F.lit("Z")),
+                                 F.lit("yyyyMMdd'T'HHmmss.SSSSSSX"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    return F.when(s.rlike(C.TRANSACTION_TIME_RE), wall)
 
 
 def batch_date_of(path: Column | str, file_re: str) -> Column:
@@ -63,8 +59,7 @@ def batch_date_to_date(c: Column | str, strict: bool = True) -> Column:
 
 
 def md5_uuid(c: Column | str) -> Column:
-    """UUID-shaped text (8-4-4-4-12) from the md5 of a string."""
-    h = F.md5(_col(c))
-    parts = [F.substring(h, start, length) for start, length in
-             ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat_ws("-", *parts)
+    """UUID-shaped text (8-4-4-4-12) from the md5 of a string (one md5 per
+    row: the dashes are inserted by a single regex replace)."""
+    return F.regexp_replace(F.md5(_col(c)), r"^(.{8})(.{4})(.{4})(.{4})(.{12})$",
+                            "$1-$2-$3-$4-$5")

@@ -91,26 +91,34 @@ def daily_store_totals(silver_sales: DataFrame) -> DataFrame:
     )
 
 
+def top_by(value: str, key: str) -> F.Column:
+    """The ``key`` with the largest ``value`` (NULL values last; ties → the
+    smallest key, NULL keys last) as one aggregate: ``min_by`` over an
+    ordering struct. Combinable map-side, so no window and no join."""
+    order = F.struct(F.col(value).isNull(), -F.col(value), F.col(key).isNull(), F.col(key))
+    return F.min_by(F.col(key), order)
+
+
 def output2(silver_sales: DataFrame, run_date=None, n: int = C.OUTPUT2_ROWS) -> DataFrame:
     """Output 2: per transaction date, the number of stores, total, mean
     per sale, month-to-date running total (over *all* days, before the cut
-    to the latest ``n``) and the top store (ties → lower token)."""
+    to the latest ``n``) and the top store (ties → lower token).
+
+    Plan: one aggregation of the sales rows by (day, store); one by day
+    over that (stores, totals, top store); a running-sum window over the
+    per-day rows; then the global top-``n``.
+    """
     ds = daily_store_totals(silver_sales)
-    top = top_k_per(
-        ds, "transaction_date",
-        [F.col("store_total").desc_nulls_last(), F.col("store_token").asc_nulls_last()],
-        1,
-    ).select("transaction_date", F.col("store_token").alias("top_store_token"))
     # count(distinct store) per day == number of non-NULL store groups of the day.
     daily = ds.groupBy("transaction_date").agg(
         F.count("store_token").alias("stores_with_transactions"),
         F.sum("store_total").alias("total_sales_amount"),
         F.sum("n_amount").alias("n_amount"),
+        top_by("store_total", "store_token").alias("top_store_token"),
     )
     daily = month_to_date_sum(daily, "transaction_date", "total_sales_amount",
                               "month_accumulated_sales")
-    combined = daily.join(top, "transaction_date", "left")
-    return latest_n(combined, "transaction_date", n).select(
+    return latest_n(daily, "transaction_date", n).select(
         _date_lit(run_date).alias("snapshot_date"),
         "transaction_date",
         "stores_with_transactions",
