@@ -32,7 +32,7 @@ from ledgerline.operators.scd2 import current_versions, with_scd_columns
 from ledgerline.operators.validate import rejected_sales, stage_sales, valid_sales, valid_stores
 from ledgerline.plans import raw as RAW
 from ledgerline.plans import reports as R
-from ledgerline.plans.audit import file_audit
+from ledgerline.plans.audit import files_of
 from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
 from ledgerline.sinks import tables as TB
@@ -179,48 +179,67 @@ def run_daily(spark: SparkSession, layout: Layout, run_ts, run_date=None,
         _drop_scratch(spark)
 
 
-def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) -> RunResult:
-    res = RunResult()
+def _tables(layout: Layout, spark: SparkSession) -> dict:
     P = layout.path
-    stores_land = read_landing(spark, f"{layout.landing.rstrip('/')}/stores_*.csv",
-                               C.STORE_COLUMNS, header_cols=C.STORE_COLUMNS,
-                               multi_line=layout.multi_line)
-    sales_land = read_landing(spark, f"{layout.landing.rstrip('/')}/sales_*.csv",
-                              C.SALES_COLUMNS, header_cols=C.SALES_COLUMNS[:3],
-                              multi_line=layout.multi_line)
-    # Each landing read feeds the snapshot and the file audit.
-    stores_land = stores_land.persist(StorageLevel.MEMORY_AND_DISK)
-    sales_land = sales_land.persist(StorageLevel.MEMORY_AND_DISK)
+    return {
+        "raw_stores": TB.BucketedTable(spark, P("raw", "raw_stores_snapshot"),
+                                       [RAW.STORES_KEY], layout.store_buckets),
+        "raw_sales": TB.BucketedTable(spark, P("raw", "raw_sales_snapshot"),
+                                      [RAW.SALES_KEY], layout.n_buckets),
+        "silver_stores": TB.BucketedTable(spark, P("silver", "silver_stores"),
+                                          ["store_token"], layout.store_buckets),
+        "silver_sales": TB.BucketedTable(spark, P("silver", "silver_sales"), SALES_KEYS,
+                                         layout.n_buckets),
+    }
 
-    raw_stores = TB.BucketedTable(spark, P("raw", "raw_stores_snapshot"), [RAW.STORES_KEY],
-                                  layout.store_buckets)
-    raw_sales = TB.BucketedTable(spark, P("raw", "raw_sales_snapshot"), [RAW.SALES_KEY],
-                                 layout.n_buckets)
-    snapshot_into(spark, raw_stores, RAW.stores_input(stores_land, run_ts), RAW.STORES_KEY,
-                  RAW.STORES_CHECK, run_ts)
-    snapshot_into(spark, raw_sales, RAW.sales_input(sales_land, run_ts), RAW.SALES_KEY,
-                  RAW.SALES_CHECK, run_ts)
-    audit_path = P("raw", "raw_file_audit")
-    append_rows(spark, audit_path,
-                file_audit(stores_land, sales_land, TB.read(spark, audit_path), run_ts),
-                ["source_file"])
-    stores_land.unpersist()
-    sales_land.unpersist()
-
-    # silver_stores
-    silver_stores = TB.BucketedTable(spark, P("silver", "silver_stores"), ["store_token"],
-                                     layout.store_buckets)
-    vs = valid_stores(current_versions(raw_stores.read()))
-    upsert_into(spark, silver_stores,
-                newer_than(vs, _visible(silver_stores.read()), "snapshot_updated_at"),
+
+def read_landing_files(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    land = layout.landing.rstrip("/")
+    stores = read_landing(spark, f"{land}/stores_*.csv", C.STORE_COLUMNS,
+                          header_cols=C.STORE_COLUMNS, multi_line=layout.multi_line)
+    sales = read_landing(spark, f"{land}/sales_*.csv", C.SALES_COLUMNS,
+                         header_cols=C.SALES_COLUMNS[:3], multi_line=layout.multi_line)
+    return stores, sales
+
+
+def audit_files(spark: SparkSession, layout: Layout, landing: DataFrame, file_type: str,
+                run_ts) -> None:
+    """Append audit rows for files of one kind not yet recorded."""
+    path = layout.path("raw", "raw_file_audit")
+    file_re = C.STORES_FILE_RE if file_type == "stores" else C.SALES_FILE_RE
+    append_rows(spark, path, files_of(landing, file_type, file_re, run_ts), ["source_file"])
+
+
+def ingest_stores(spark: SparkSession, layout: Layout, stores_land: DataFrame, run_ts) -> None:
+    """Raw store snapshot + file audit + silver_stores upsert."""
+    t = _tables(layout, spark)
+    stores_land = stores_land.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        snapshot_into(spark, t["raw_stores"], RAW.stores_input(stores_land, run_ts),
+                      RAW.STORES_KEY, RAW.STORES_CHECK, run_ts)
+        audit_files(spark, layout, stores_land, "stores", run_ts)
+    finally:
+        stores_land.unpersist()
+    vs = valid_stores(current_versions(t["raw_stores"].read()))
+    upsert_into(spark, t["silver_stores"],
+                newer_than(vs, _visible(t["silver_stores"].read()), "snapshot_updated_at"),
                 ["store_token"])
 
-    # silver_sales + rejected from one staged pass over the changed versions
-    silver_sales = TB.BucketedTable(spark, P("silver", "silver_sales"), SALES_KEYS,
-                                    layout.n_buckets)
-    rejected_path = P("silver", "silver_sales_rejected")
+
+def ingest_sales(spark: SparkSession, layout: Layout, sales_land: DataFrame, run_ts) -> None:
+    """Raw sales snapshot + file audit + silver_sales upsert + rejected append."""
+    t = _tables(layout, spark)
+    sales_land = sales_land.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        snapshot_into(spark, t["raw_sales"], RAW.sales_input(sales_land, run_ts),
+                      RAW.SALES_KEY, RAW.SALES_CHECK, run_ts)
+        audit_files(spark, layout, sales_land, "sales", run_ts)
+    finally:
+        sales_land.unpersist()
+    silver_sales = t["silver_sales"]
+    rejected_path = layout.path("silver", "silver_sales_rejected")
     sv, rj = _visible(silver_sales.read()), TB.read(spark, rejected_path)
-    current = current_versions(raw_sales.read())
+    current = current_versions(t["raw_sales"].read())
     if sv is not None and rj is not None:
         # Only versions newer than the older of the two watermarks can pass
         # either target's own (strict) filter: stage just those.
@@ -233,11 +252,21 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
     append_rows(spark, rejected_path,
                 newer_than(rejected_sales(staged), rj, "snapshot_updated_at"), REJECTED_KEYS)
 
-    # full-refresh tables
-    sv, rj = _visible(silver_sales.read()), TB.read(spark, rejected_path)
-    ss = _visible(silver_stores.read())
+
+def build_reports(spark: SparkSession, layout: Layout, run_date=None,
+                  strict_batch_date: bool = True) -> dict[str, str]:
+    """Full refresh of the per-batch audit and the three gold reports."""
+    P = layout.path
+    t = _tables(layout, spark)
+    audit_path = P("raw", "raw_file_audit")
+    rejected_path = P("silver", "silver_sales_rejected")
+    sv, rj = _visible(t["silver_sales"].read()), TB.read(spark, rejected_path)
+    ss = _visible(t["silver_stores"].read())
+    audit = TB.read(spark, audit_path)
+    if sv is None or rj is None or audit is None or ss is None:
+        return {}
     abb_path = P("silver", "silver_sales_audit_by_batch")
-    TB.overwrite(spark, R.audit_by_batch(TB.read(spark, audit_path), sv, rj), abb_path)
+    TB.overwrite(spark, R.audit_by_batch(audit, sv, rj), abb_path)
     abb = TB.read(spark, abb_path)
     gold = {
         "rpt_transactions_by_batch": R.output1(abb, run_date, strict_batch_date),
@@ -246,27 +275,35 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
     }
     for name, df in gold.items():
         TB.overwrite(spark, df, P("gold", name))
-
-    tables = {
-        "raw_stores_snapshot": raw_stores.path, "raw_sales_snapshot": raw_sales.path,
-        "raw_file_audit": audit_path, "silver_stores": silver_stores.path,
-        "silver_sales": silver_sales.path, "silver_sales_rejected": rejected_path,
+    return {
+        "raw_stores_snapshot": t["raw_stores"].path, "raw_sales_snapshot": t["raw_sales"].path,
+        "raw_file_audit": audit_path, "silver_stores": t["silver_stores"].path,
+        "silver_sales": t["silver_sales"].path, "silver_sales_rejected": rejected_path,
         "silver_sales_audit_by_batch": abb_path,
         **{name: P("gold", name) for name in gold},
     }
-    res.tables = tables
 
-    if checks != "off":
-        loaded = {n: _visible(TB.read(spark, p)) for n, p in tables.items()}
-        results = run_checks(loaded, SILVER_RULES + GOLD_RULES)
-        res.checks = [r.asDict() for r in results.collect()]   # ≤ 73 rows
+
+def check_tables(spark: SparkSession, tables: dict[str, str]) -> list[dict]:
+    """Run the 73 rules; return one dict per rule (≤ 73 rows to the driver)."""
+    loaded = {n: _visible(TB.read(spark, p)) for n, p in tables.items()}
+    return [r.asDict() for r in run_checks(loaded, SILVER_RULES + GOLD_RULES).collect()]
+
+
+def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) -> RunResult:
+    res = RunResult()
+    stores_land, sales_land = read_landing_files(spark, layout)
+    ingest_stores(spark, layout, stores_land, run_ts)
+    ingest_sales(spark, layout, sales_land, run_ts)
+    res.tables = build_reports(spark, layout, run_date, strict_batch_date)
+    if checks != "off" and res.tables:
+        res.checks = check_tables(spark, res.tables)
         bad = [r for r in res.checks if r["severity"] == "error" and r["failures"] > 0]
         if bad:
             raise CheckFailed(f"{len(bad)} data-quality rules failed: {bad}")
-
-    if export and layout.exports:
-        export_parquet(spark, {n: _visible(TB.read(spark, p)) for n, p in tables.items()},
-                       layout.exports)
+    if export and layout.exports and res.tables:
+        export_parquet(spark, {n: _visible(TB.read(spark, p))
+                               for n, p in res.tables.items()}, layout.exports)
     return res
 
 

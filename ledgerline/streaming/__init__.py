@@ -1,0 +1,3 @@
+from ledgerline.streaming.landing_stream import landing_stream, run_stream
+
+__all__ = ["landing_stream", "run_stream"]
