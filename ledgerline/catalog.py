@@ -202,9 +202,10 @@ def q_semi_join_dates(spark, sf_dir):
 
 
 def q_anti_join_new(spark, sf_dir):
-    """Customers with no order (NOT IN / NOT EXISTS as left_anti)."""
+    """Customers with no urgent order (NOT IN as left_anti)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    o = (table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+         .select(F.col("o_custkey").alias("c_custkey")))
     return c.join(o, "c_custkey", "left_anti")
 
 
@@ -382,6 +383,66 @@ def q_checks_gold(spark, sf_dir):
     return run_checks(tables, GOLD_RULES)
 
 
+# --------------------------------------------- streaming, export, full run ---
+
+def q_stream_landing(spark, sf_dir):
+    """ST1: the sales landing files consumed by a file-source stream
+    (availableNow) into a Parquet sink, read back."""
+    from ledgerline.streaming.landing_stream import landing_stream
+
+    root = work_dir(spark, "landing")
+    FX.write_landing(spark, table(spark, sf_dir, "orders"),
+                     table(spark, sf_dir, "customer"), root)
+    out, ck = work_dir(spark, "stream-out"), work_dir(spark, "stream-ck")
+    stream = landing_stream(spark, f"{root}/sales_*.csv", C.SALES_COLUMNS,
+                            C.SALES_COLUMNS[:3])
+    (stream.writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start()
+     .awaitTermination())
+    sales = spark.read.parquet(out)
+    return sales.select(*C.SALES_COLUMNS,
+                        batch_date_of(file_name("source_file"), C.SALES_FILE_RE)
+                        .alias("batch_date"),
+                        file_name("source_file").alias("source_file"))
+
+
+def q_export_roundtrip(spark, sf_dir):
+    """Output 2 exported as zstd Parquet, re-registered as the view
+    ``gold_rpt_sales_by_transaction_date`` and queried back."""
+    from ledgerline.sinks.export import export_parquet
+    from ledgerline.sources.tables import register_exports
+
+    root = work_dir(spark, "exports")
+    export_parquet(spark, {"rpt_sales_by_transaction_date": q_output2(spark, sf_dir)}, root)
+    register_exports(spark, root)
+    return spark.table("gold_rpt_sales_by_transaction_date")
+
+
+def _full_run(spark, sf_dir):
+    from ledgerline.plans.daily_run import Layout, run_daily
+
+    land = work_dir(spark, "landing")
+    FX.write_landing(spark, table(spark, sf_dir, "orders"),
+                     table(spark, sf_dir, "customer"), land)
+    lay = Layout(landing=land, warehouse=work_dir(spark, "warehouse"),
+                 exports=work_dir(spark, "exports"), n_buckets=16)
+    run_daily(spark, lay, FX.RUN_TS, run_date=FX.RUN_DATE)
+    return lay
+
+
+def q_daily_run_report(spark, sf_dir):
+    """M1-M11 end to end: landing CSVs → snapshot → silver → gold with
+    checks and export; returns the exported Output 2."""
+    lay = _full_run(spark, sf_dir)
+    return spark.read.parquet(f"{lay.exports}/gold/rpt_sales_by_transaction_date.parquet")
+
+
+def q_daily_run_top5(spark, sf_dir):
+    """M1-M11 end to end; returns Output 3 from the warehouse."""
+    lay = _full_run(spark, sf_dir)
+    return spark.read.parquet(lay.path("gold", "rpt_top_5_stores_by_date"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_reasons": q_staged_reasons,
     "silver_sales": q_silver_sales,
@@ -414,4 +475,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_files_only": q_new_files_only,
     "checks_silver": q_checks_silver,
     "checks_gold": q_checks_gold,
+    "stream_landing": q_stream_landing,
+    "export_roundtrip": q_export_roundtrip,
+    "daily_run_report": q_daily_run_report,
+    "daily_run_top5": q_daily_run_top5,
 }
