@@ -110,16 +110,55 @@ def test_scd2_life_and_flips(spark, base):
     assert [r["store_name"] for r in ss] == ["Store One Renamed", "Two, Inc"]
 
 
-def test_late_older_batch_wins_by_arrival(spark, base):
-    P = base.path
+def next_landing(lay, root, name):
+    """Same warehouse, fresh landing folder (files of earlier runs archived)."""
+    land = os.path.join(root, name)
+    os.makedirs(land, exist_ok=True)
+    return Layout(landing=land, warehouse=lay.warehouse, exports=lay.exports,
+                  n_buckets=lay.n_buckets, store_buckets=lay.store_buckets)
+
+
+def test_late_older_batch_wins_by_arrival(spark, base, tmp_dir):
+    """Arrival order, not batch order, decides the current version."""
     run_daily(spark, base, "2024-01-02 06:00:00")
-    sales_file(base.landing, "sales_20231231.csv",
+    lay2 = next_landing(base, tmp_dir, "landing2")
+    sales_file(lay2.landing, "sales_20231231.csv",
                [f"{S1},{T1},R0001,20240101T101500.000,$99.00,cashier"])
-    run_daily(spark, base, "2024-01-03 06:00:00")
-    snap = [r for r in rows(spark, P("raw", "raw_sales_snapshot"), ["dbt_valid_from"])
+    run_daily(spark, lay2, "2024-01-03 06:00:00")
+    snap = [r for r in rows(spark, base.path("raw", "raw_sales_snapshot"), ["dbt_valid_from"])
             if r["transaction_id"] == T1]
-    # the sales_20240101 file sorts later by name, so it still wins the in-run dedup
-    assert len(snap) == 1
+    assert [r["amount"] for r in snap] == ["$10.50", "$99.00"]
+    silver = {r["transaction_id"]: r for r in rows(spark, base.path("silver", "silver_sales"),
+                                                   ["transaction_id"])}
+    assert str(silver[T1]["amount"]) == "99.00" and silver[T1]["batch_date"] == "20231231"
+
+
+def test_store_turning_invalid_keeps_last_valid_row(spark, base, tmp_dir):
+    """T4: silver_stores keeps the last valid version; T5: a re-uploaded
+    file name keeps its first audited row count."""
+    run_daily(spark, base, "2024-01-02 06:00:00")
+    lay2 = next_landing(base, tmp_dir, "landing2")
+    stores_file(lay2.landing, "stores_20240101.csv",
+                [f"zzzzzzzz,{S1},Store One", f"ABCDEF02,{S2},Two", "ABCDEF03,,Blank"])
+    run_daily(spark, lay2, "2024-01-03 06:00:00")
+    ss = {r["store_token"]: r for r in rows(spark, base.path("silver", "silver_stores"),
+                                            ["store_token"])}
+    assert ss[S1]["store_group"] == "ABCDEF01" and ss[S2]["store_name"] == "Two"
+    audit = rows(spark, base.path("raw", "raw_file_audit"), ["source_file"])
+    stores_audit = [r for r in audit if r["file_type"] == "stores"]
+    assert len(stores_audit) == 2 and sorted(r["row_count"] for r in stores_audit) == [2, 3]
+
+
+def test_batch_without_readable_rows_is_not_reported(spark, tmp_dir):
+    """A sales file with only a header / malformed lines gets no audit
+    row, so its batch is missing from Output 1."""
+    lay = layout(tmp_dir)
+    sales_file(lay.landing, "sales_20240101.csv",
+               [f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier"])
+    sales_file(lay.landing, "sales_20240102.csv", ["x,y"], header=True)
+    run_daily(spark, lay, "2024-01-02 06:00:00")
+    o1 = rows(spark, lay.path("gold", "rpt_transactions_by_batch"), ["batch_date"])
+    assert [str(r["batch_date"]) for r in o1] == ["2024-01-01"]
 
 
 def test_empty_landing(spark, tmp_dir):
