@@ -111,11 +111,18 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-    status = (F.when(F.col("__b").isNull(), "new").when(same, "same").otherwise("changed"))
-    judged = materialize(spark, incoming.join(cur, key, "left")
-                         .withColumn("__status", status)
-                         .where(F.col("__status") != "same")
-                         .drop(*[f"__c_{c}" for c in check_cols]), "snapshot-delta")
+    # Inner join: the (usually much smaller) incoming side can be broadcast
+    # by AQE's runtime size check, so the current history is scanned but not
+    # shuffled; above the threshold it is a sort-merge join. The result has
+    # at most one small row per incoming key.
+    hits = materialize(spark, incoming.join(cur, key, "inner")
+                       .select(key, "__b", same.alias("__same")), "snapshot-hits")
+    changed = (incoming.join(hits.where(~F.col("__same")).drop("__same"), key, "inner")
+               .withColumn("__status", F.lit("changed")))
+    new = (incoming.join(hits.select(key), key, "left_anti")
+           .withColumn("__b", F.lit(None).cast("int"))
+           .withColumn("__status", F.lit("new")))
+    judged = materialize(spark, changed.unionByName(new), "snapshot-delta")
     touched = sorted(r[0] for r in judged.where(F.col("__status") == "changed")
                      .select("__b").distinct().collect())
     inserts = table.with_bucket(with_scd_columns(

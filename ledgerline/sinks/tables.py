@@ -70,10 +70,11 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def read(spark: SparkSession, path: str) -> DataFrame | None:
+def read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
     """The table, or None before its first write (first-run semantics).
     A table whose writes held no rows reads as a typed empty DataFrame.
-    Additive schema changes are merged on read."""
+    ``merge_schema`` merges additive schema changes across files (it reads
+    every file footer, so it is off unless a table's schema evolved)."""
     if not exists(spark, path):
         return None
     if not has_data(spark, path):
@@ -82,7 +83,8 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
             return None
         from pyspark.sql.types import StructType
         return spark.createDataFrame([], StructType.fromJson(json.loads(text)))
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+    return reader.parquet(path)
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
