@@ -115,9 +115,12 @@ def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFr
                 col = r.columns[0]
                 parent = tables[r.params["to"]].select(
                     F.col(r.params["field"]).alias(col))
-                orphans = (df.select(col).where(F.col(col).isNotNull())
-                           .join(parent, col, "left_anti")
-                           .agg(F.count(F.lit(1)).alias("n")))
+                # Count per child value first (map-side partial aggregate), so
+                # a value held by a large share of rows is one row in the join.
+                per_value = (df.where(F.col(col).isNotNull()).groupBy(col)
+                             .agg(F.count(F.lit(1)).alias("__n")))
+                orphans = (per_value.join(parent.distinct(), col, "left_anti")
+                           .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")))
                 parts.append(orphans.select(F.inline(F.array(_result(r, F.col("n"))))))
     out = parts[0]
     for p in parts[1:]:

@@ -179,7 +179,8 @@ def run_daily(spark: SparkSession, layout: Layout, run_ts, run_date=None,
               export: bool = True) -> RunResult:
     """Run every model once at ``run_ts`` (a strictly increasing stamp per
     run). ``checks``: "after_all" (raise on failed error-severity rules
-    after all models) or "off"."""
+    after all models), "after_each" (after each model group, stopping at
+    the first failure) or "off"."""
     try:
         return _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export)
     finally:
@@ -291,23 +292,56 @@ def build_reports(spark: SparkSession, layout: Layout, run_date=None,
     }
 
 
-def check_tables(spark: SparkSession, tables: dict[str, str]) -> list[dict]:
-    """Run the 73 rules; return one dict per rule (≤ 73 rows to the driver)."""
-    loaded = {n: _visible(TB.read(spark, p)) for n, p in tables.items()}
-    return [r.asDict() for r in run_checks(loaded, SILVER_RULES + GOLD_RULES).collect()]
+def check_tables(spark: SparkSession, tables: dict[str, str],
+                 models: set[str] | None = None) -> list[dict]:
+    """Run the rules (of ``models`` only, if given); one dict per rule
+    (≤ 73 small rows reach the driver)."""
+    rules = [r for r in SILVER_RULES + GOLD_RULES if models is None or r.model in models]
+    need = {r.model for r in rules} | {r.params["to"] for r in rules if "to" in r.params}
+    loaded = {n: _visible(TB.read(spark, p)) for n, p in tables.items() if n in need}
+    return [r.asDict() for r in run_checks(loaded, rules).collect()]
+
+
+def _raise_on_errors(results: list[dict]) -> None:
+    bad = [r for r in results if r["severity"] == "error" and r["failures"] > 0]
+    if bad:
+        raise CheckFailed(f"{len(bad)} data-quality rules failed: {bad}")
+
+
+def _all_paths(layout: Layout) -> dict[str, str]:
+    P = layout.path
+    names = {"raw": ["raw_stores_snapshot", "raw_sales_snapshot", "raw_file_audit"],
+             "silver": ["silver_stores", "silver_sales", "silver_sales_rejected",
+                        "silver_sales_audit_by_batch"],
+             "gold": ["rpt_transactions_by_batch", "rpt_sales_by_transaction_date",
+                      "rpt_top_5_stores_by_date"]}
+    return {n: P(layer, n) for layer, ns in names.items() for n in ns}
 
 
 def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) -> RunResult:
+    if checks not in ("after_all", "after_each", "off"):
+        raise ValueError(f"checks must be after_all, after_each or off, not {checks!r}")
     res = RunResult()
+    each = checks == "after_each"
+    paths = _all_paths(layout)
+
+    def check_now(models: set[str]) -> None:
+        if each and all(TB.exists(spark, paths[m]) for m in models):
+            out = check_tables(spark, paths, models)
+            res.checks += out
+            _raise_on_errors(out)
+
     stores_land, sales_land = read_landing_files(spark, layout)
     ingest_stores(spark, layout, stores_land, run_ts)
+    check_now({"silver_stores"})
     ingest_sales(spark, layout, sales_land, run_ts)
+    check_now({"silver_sales", "silver_sales_rejected"})
     res.tables = build_reports(spark, layout, run_date, strict_batch_date)
-    if checks != "off" and res.tables:
+    check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
+               "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})
+    if checks == "after_all" and res.tables:
         res.checks = check_tables(spark, res.tables)
-        bad = [r for r in res.checks if r["severity"] == "error" and r["failures"] > 0]
-        if bad:
-            raise CheckFailed(f"{len(bad)} data-quality rules failed: {bad}")
+        _raise_on_errors(res.checks)
     if export and layout.exports and res.tables:
         export_parquet(spark, {n: _visible(TB.read(spark, p))
                                for n, p in res.tables.items()}, layout.exports)

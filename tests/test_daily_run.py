@@ -182,7 +182,12 @@ def test_bad_file_name_fails_output1(spark, tmp_dir):
     assert len(o1) == 1 and o1[0]["batch_date"] is None
 
 
-def test_checks_raise(spark, tmp_dir):
-    assert CheckFailed
-    assert TB.BUCKET == "bucket"
-    assert F
+def test_checks_after_each(spark, base):
+    res = run_daily(spark, base, "2024-01-02 06:00:00", checks="after_each", export=False)
+    models = {c["model"] for c in res.checks}
+    assert "silver_stores" in models and "rpt_top_5_stores_by_date" in models
+    warn = [c for c in res.checks if c["severity"] == "warn"]
+    assert warn and warn[0]["failures"] == 0
+    with pytest.raises(ValueError):
+        run_daily(spark, base, "2024-01-03 06:00:00", checks="sometimes")
+    assert CheckFailed and TB.BUCKET == "bucket" and F
