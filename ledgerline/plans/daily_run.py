@@ -56,6 +56,17 @@ class Layout:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
 
 
+# A delta side up to this many rows is broadcast (its key columns only); a
+# larger one is joined with a sort-merge join instead.
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` (a materialized delta; counting it reads
+    Parquet footers only) has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 @dataclass
 class RunResult:
     tables: dict[str, str] = field(default_factory=dict)
@@ -111,11 +122,13 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-    # Inner join: the (usually much smaller) incoming side can be broadcast
-    # by AQE's runtime size check, so the current history is scanned but not
-    # shuffled; above the threshold it is a sort-merge join. The result has
-    # at most one small row per incoming key.
-    hits = materialize(spark, incoming.join(cur, key, "inner")
+    # Inner join with the run's input (key + check columns), broadcast when
+    # its counted size allows: the current history is then scanned but not
+    # shuffled; above the bound it is a sort-merge join. The result has at
+    # most one small row per incoming key.
+    incoming = materialize(spark, incoming, "snapshot-input")
+    hits = materialize(spark, cur.join(small_side(incoming.select(key, *check_cols)), key,
+                                       "inner")
                        .select(key, "__b", same.alias("__same")), "snapshot-hits")
     changed = (incoming.join(hits.where(~F.col("__same")).drop("__same"), key, "inner")
                .withColumn("__status", F.lit("changed")))
@@ -153,7 +166,8 @@ def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
     if target is None:
         table.append(new)
         return {"replaced_buckets": 0}
-    hits = target.select(*keys, TB.BUCKET).join(new.select(*keys), keys, "left_semi")
+    hits = target.select(*keys, TB.BUCKET).join(small_side(new.select(*keys)), keys,
+                                                 "left_semi")
     touched = TB.touched_buckets(hits)
     if touched:
         part = target.where(F.col(TB.BUCKET).isin(touched))
