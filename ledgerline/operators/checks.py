@@ -76,52 +76,82 @@ def _result(rule: Rule, failures: Column) -> Column:
                     failures.cast("bigint").alias("failures"))
 
 
+def _bad_count(rule: Rule, n: Column) -> Column:
+    lo, hi = rule.params.get("min_value"), rule.params.get("max_value")
+    bad = F.lit(False)
+    if lo is not None:
+        bad = bad | (n < lo)
+    if hi is not None:
+        bad = bad | (n > hi)
+    return F.when(bad, 1).otherwise(0)
+
+
+def _keep(cols: Sequence[str]) -> Column:
+    keep = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        keep = keep | F.col(c).isNotNull()
+    return keep
+
+
+def _table_checks(df: DataFrame, rs: list[Rule], tables: Mapping[str, DataFrame]) -> list:
+    """All rules of one table. Row rules are ``count_if`` aggregates; the
+    first uniqueness rule is folded into the same pass as a two-level
+    aggregation (group by its key with partial counts, then one global
+    aggregate), so one scan and one shuffle cover them together. Further
+    uniqueness rules and relationships add one grouped pass each."""
+    row = [r for r in rs if r.kind not in ("unique", "compound_unique", "relationship",
+                                           "row_count")]
+    counts = [r for r in rs if r.kind == "row_count"]
+    keys = [r for r in rs if r.kind in ("unique", "compound_unique")]
+    rels = [r for r in rs if r.kind == "relationship"]
+    parts = []
+    first = keys[0] if keys else None
+    partial = [F.count(F.lit(1)).alias("__cnt")] + [
+        F.count_if(failing_condition(r)).alias(f"r{i}") for i, r in enumerate(row)]
+    if first is not None:
+        cols = list(first.columns)
+        grouped = df.groupBy(*cols).agg(*partial)
+        one = grouped.agg(
+            F.coalesce(F.sum("__cnt"), F.lit(0)).alias("__n"),
+            *[F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(row))],
+            F.count_if((F.col("__cnt") > 1) & _keep(cols)).alias("k0"))
+    else:
+        grouped = None
+        one = df.agg(F.count(F.lit(1)).alias("__n"),
+                     *[c for c in partial[1:]])
+    results = ([_result(r, F.col(f"r{i}")) for i, r in enumerate(row)]
+               + [_result(r, _bad_count(r, F.col("__n"))) for r in counts]
+               + ([_result(first, F.col("k0"))] if first is not None else []))
+    parts.append(one.select(F.inline(F.array(*results))))
+    for r in keys[1:]:
+        cols = list(r.columns)
+        dup = (df.where(_keep(cols)).groupBy(*cols).count().where(F.col("count") > 1)
+               .agg(F.count(F.lit(1)).alias("n")))
+        parts.append(dup.select(F.inline(F.array(_result(r, F.col("n"))))))
+    for r in rels:
+        col = r.columns[0]
+        parent = tables[r.params["to"]].select(F.col(r.params["field"]).alias(col))
+        # Count per child value first (map-side partial aggregate), so a value
+        # held by a large share of rows is one row in the join; reuse the
+        # grouped pass when its key contains the column.
+        if grouped is not None and col in first.columns:
+            per_value = grouped.groupBy(col).agg(F.sum("__cnt").alias("__n"))
+        else:
+            per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+        orphans = (per_value.where(F.col(col).isNotNull())
+                   .join(parent.distinct(), col, "left_anti")
+                   .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")))
+        parts.append(orphans.select(F.inline(F.array(_result(r, F.col("n"))))))
+    return parts
+
+
 def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     parts: list[DataFrame] = []
     by_model: dict[str, list[Rule]] = {}
     for r in rules:
         by_model.setdefault(r.model, []).append(r)
     for model, rs in by_model.items():
-        df = tables[model]
-        row_rules = [r for r in rs if r.kind not in ("unique", "compound_unique",
-                                                     "relationship")]
-        if row_rules:
-            aggs = []
-            for i, r in enumerate(row_rules):
-                if r.kind == "row_count":
-                    n = F.count(F.lit(1))
-                    lo, hi = r.params.get("min_value"), r.params.get("max_value")
-                    bad = F.lit(False)
-                    if lo is not None:
-                        bad = bad | (n < lo)
-                    if hi is not None:
-                        bad = bad | (n > hi)
-                    aggs.append(F.when(bad, 1).otherwise(0).alias(f"r{i}"))
-                else:
-                    aggs.append(F.count_if(failing_condition(r)).alias(f"r{i}"))
-            one = df.agg(*aggs)
-            parts.append(one.select(F.inline(F.array(
-                *[_result(r, F.col(f"r{i}")) for i, r in enumerate(row_rules)]))))
-        for r in rs:
-            if r.kind in ("unique", "compound_unique"):
-                cols = list(r.columns)
-                keep = F.col(cols[0]).isNotNull()
-                for c in cols[1:]:
-                    keep = keep | F.col(c).isNotNull()
-                dup = (df.where(keep).groupBy(*cols).count().where(F.col("count") > 1)
-                       .agg(F.count(F.lit(1)).alias("n")))
-                parts.append(dup.select(F.inline(F.array(_result(r, F.col("n"))))))
-            elif r.kind == "relationship":
-                col = r.columns[0]
-                parent = tables[r.params["to"]].select(
-                    F.col(r.params["field"]).alias(col))
-                # Count per child value first (map-side partial aggregate), so
-                # a value held by a large share of rows is one row in the join.
-                per_value = (df.where(F.col(col).isNotNull()).groupBy(col)
-                             .agg(F.count(F.lit(1)).alias("__n")))
-                orphans = (per_value.join(parent.distinct(), col, "left_anti")
-                           .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")))
-                parts.append(orphans.select(F.inline(F.array(_result(r, F.col("n"))))))
+        parts += _table_checks(tables[model], rs, tables)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
