@@ -155,11 +155,11 @@ def output3(silver_sales: DataFrame, silver_stores: DataFrame, run_date=None,
         [F.col("store_total_sales").desc_nulls_last(), F.col("store_token").asc_nulls_last()],
         k, rank_col="top_rank_id",
     )
-    # Only the ≤ n_dates·k ranked tokens need a name: semi-filter the store
-    # table first so the final join never shuffles the whole dimension.
-    tokens = ranked.select("store_token").distinct()
-    names = (silver_stores.select("store_token", "store_name")
-             .join(F.broadcast(tokens), "store_token", "left_semi"))
+    # ≤ n_dates·k ranked rows meet the store dimension in one left join (AQE
+    # broadcasts the dimension when its runtime size allows). Semi-filtering
+    # the dimension by the ranked tokens first would compute the ranking,
+    # and scan the sales, twice.
+    names = silver_stores.select("store_token", "store_name")
     return ranked.join(names, "store_token", "left").select(
         _date_lit(run_date).alias("snapshot_date"),
         "transaction_date",
