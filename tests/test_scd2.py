@@ -63,3 +63,27 @@ def test_incremental_equals_bulk(spark, rs):
     assert hist_rows(h) == hist_rows(bulk)
     assert sorted(r.dbt_scd_id for r in h.collect()) == sorted(
         r.dbt_scd_id for r in bulk.collect())
+
+
+@settings(max_examples=10, deadline=None)
+@given(runs)
+def test_history_invariants(spark, rs):
+    """One open version per key; a key's versions do not overlap and each
+    closed version ends where the next begins."""
+    h = None
+    for i, run in enumerate(rs):
+        rows = [(k, a, b, f"r{i}") for k, (a, b) in sorted(run.items())]
+        if rows:
+            h = snapshot_check(h, df(spark, rows), "k", ["a", "b"], TS[i])
+    if h is None:
+        return
+    by_key = {}
+    for r in h.collect():
+        by_key.setdefault(r.k, []).append(r)
+    for versions in by_key.values():
+        versions.sort(key=lambda r: r.dbt_valid_from)
+        assert sum(v.dbt_valid_to is None for v in versions) == 1
+        assert versions[-1].dbt_valid_to is None
+        for a, b in zip(versions, versions[1:]):
+            assert a.dbt_valid_to == b.dbt_valid_from
+            assert (a.a, a.b) != (b.a, b.b)
