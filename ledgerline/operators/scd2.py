@@ -102,7 +102,10 @@ def history_from_log(log: DataFrame, key: str, check_cols: Sequence[str],
     """Bulk form: the history that successive ``snapshot_check`` runs would
     build from ``log`` (one row per key and run, runs ordered by
     ``run_col``, ``ts_col`` = that run's stamp). One shuffle by key; used to
-    backfill many runs at once and to cross-check the incremental form."""
+    backfill many runs at once and to cross-check the incremental form.
+    The window holds all runs of one key in one task, so it suits logs with
+    a bounded number of runs per key (each key appears at most once per
+    run); the incremental ``snapshot_check`` has no such limit."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(key).orderBy(run_col)

@@ -180,10 +180,17 @@ def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
 
 
 def append_rows(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> None:
-    """Idempotent append: rows whose ``keys`` are already present are skipped."""
+    """Idempotent append: rows whose ``keys`` are already present are skipped.
+
+    The new rows are written first; the keys among them that the target
+    already holds are found with a (counted) broadcast semi join into the
+    target scan, so the growing target is never shuffled."""
     target = TB.read(spark, path)
-    rows = materialize(spark, append_new(target, new, keys), "append-delta")
-    TB.append(rows, path)
+    new = materialize(spark, new, "append-input")
+    if target is not None:
+        present = target.select(*keys).join(small_side(new.select(*keys)), keys, "left_semi")
+        new = materialize(spark, append_new(present, new, keys), "append-delta")
+    TB.append(new, path)
 
 
 # ------------------------------------------------------------------- run ---
