@@ -116,10 +116,11 @@ def sales_run(orders: DataFrame, run: int) -> DataFrame:
 def sales_run_from(landing_k: DataFrame, run: int) -> DataFrame:
     """Landing sales of snapshot run 1, 2 or 3.
 
-    Run 1 delivers every sale. Run 2 re-delivers all but ``o_orderkey % 5
-    = 4`` (absent keys stay as they are) with a new ``user_role`` for
-    ``% 5 = 1``. Run 3 re-delivers everything: ``% 5 = 1`` as in run 2
-    (no change), ``% 5 = 2`` with a new ``receipt_token``.
+    Run 1 delivers every sale. Run 2 re-delivers only the batches before
+    1998 (keys of later batches are absent and stay as they are), with a new
+    ``user_role`` for ``o_orderkey % 5 = 1``. Run 3 re-delivers everything:
+    ``% 5 = 1`` as in run 2 (no change for re-sent keys), ``% 5 = 2`` with a
+    new ``receipt_token``.
     """
     land = landing_k
     m = F.col("o_orderkey") % 5
@@ -127,7 +128,7 @@ def sales_run_from(landing_k: DataFrame, run: int) -> DataFrame:
         land = land.withColumn("user_role", F.when(m == 1, F.concat(F.lit("V2-"), "user_role"))
                                .otherwise(F.col("user_role")))
     if run == 2:
-        land = land.where(m != 4)
+        land = land.where(F.col("batch_date") < "19980101")
     if run == 3:
         land = land.withColumn("receipt_token",
                                F.when(m == 2, F.concat("receipt_token", F.lit("b")))
