@@ -136,6 +136,8 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
            .withColumn("__b", F.lit(None).cast("int"))
            .withColumn("__status", F.lit("new")))
     judged = materialize(spark, changed.unionByName(new), "snapshot-delta")
+    if judged.isEmpty():                     # replay of known content: nothing to write
+        return {"changed_buckets": 0}
     touched = sorted(r[0] for r in judged.where(F.col("__status") == "changed")
                      .select("__b").distinct().collect())
     inserts = table.with_bucket(with_scd_columns(
@@ -163,6 +165,8 @@ def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
     buckets rewritten), rows of new keys appended."""
     new = materialize(spark, table.with_bucket(new), "upsert-delta")
     target = table.read()
+    if target is not None and new.isEmpty():     # nothing new; first run still creates
+        return {"replaced_buckets": 0}
     if target is None:
         table.append(new)
         return {"replaced_buckets": 0}
@@ -187,6 +191,8 @@ def append_rows(spark: SparkSession, path: str, new: DataFrame, keys: list[str])
     target scan, so the growing target is never shuffled."""
     target = TB.read(spark, path)
     new = materialize(spark, new, "append-input")
+    if target is not None and new.isEmpty():
+        return
     if target is not None:
         present = target.select(*keys).join(small_side(new.select(*keys)), keys, "left_semi")
         new = materialize(spark, append_new(present, new, keys), "append-delta")
