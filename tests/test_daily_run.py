@@ -161,6 +161,21 @@ def test_batch_without_readable_rows_is_not_reported(spark, tmp_dir):
     assert [str(r["batch_date"]) for r in o1] == ["2024-01-01"]
 
 
+def test_null_keys_counted_but_not_in_silver(spark, tmp_dir):
+    """Rows without store token or transaction id count in the audit
+    but reach neither silver table; in-file duplicates count twice."""
+    lay = layout(tmp_dir)
+    sales_file(lay.landing, "sales_20240101.csv", [
+        f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier",
+        f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier",
+        f",{T2},R0002,20240101T101500.000,$1.00,cashier",
+        f"{S1},,R0003,20240101T101500.000,$1.00,cashier"])
+    run_daily(spark, lay, "2024-01-02 06:00:00")
+    o1 = rows(spark, lay.path("gold", "rpt_transactions_by_batch"), ["batch_date"])
+    assert [(r["total_raw_transactions"], r["valid_transactions"],
+             r["invalid_transactions"]) for r in o1] == [(4, 1, 0)]
+
+
 def test_empty_landing(spark, tmp_dir):
     lay = layout(tmp_dir)
     res = run_daily(spark, lay, "2024-01-02 06:00:00", checks="after_all")
