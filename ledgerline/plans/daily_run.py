@@ -51,6 +51,7 @@ class Layout:
     n_buckets: int = 64
     store_buckets: int = 4
     multi_line: bool = True
+    compact_above_files: int = 32        # per bucket; 0 disables compaction
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
@@ -363,6 +364,10 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
     check_now({"silver_stores"})
     ingest_sales(spark, layout, sales_land, run_ts)
     check_now({"silver_sales", "silver_sales_rejected"})
+    if layout.compact_above_files:
+        for t in _tables(layout, spark).values():
+            if t.exists():
+                TB.compact(t, layout.compact_above_files)
     res.tables = build_reports(spark, layout, run_date, strict_batch_date)
     check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
                "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})

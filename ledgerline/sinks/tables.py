@@ -163,6 +163,31 @@ class BucketedTable:
         fs.delete(p, True)
 
 
+def files_per_bucket(spark: SparkSession, path: str) -> dict[int, int]:
+    """Parquet file count of each bucket folder (file listing only)."""
+    fs, _ = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(
+        f"{path.rstrip('/')}/{BUCKET}=*/*.parquet"))
+    counts: dict[int, int] = {}
+    for st in (found or []):
+        b = int(st.getPath().getParent().getName().split("=", 1)[1])
+        counts[b] = counts.get(b, 0) + 1
+    return counts
+
+
+def compact(table: "BucketedTable", max_files: int = 32) -> list[int]:
+    """Rewrite (staged, as in ``rewrite``) every bucket holding more than
+    ``max_files`` files into one file; appends of many runs otherwise leave
+    many small files per bucket. Returns the compacted buckets."""
+    crowded = sorted(b for b, n in files_per_bucket(table.spark, table.path).items()
+                     if n > max_files)
+    if crowded:
+        df = table.read().where(F.col(BUCKET).isin(crowded))
+        table.rewrite(crowded, df.repartition(len(crowded), BUCKET))
+    return crowded
+
+
 def touched_buckets(df: DataFrame) -> list[int]:
     """Distinct bucket ids of ``df`` (at most ``n_buckets`` small ints reach
     the driver; used for partition pruning by literal IN-list)."""

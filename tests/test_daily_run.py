@@ -206,3 +206,21 @@ def test_checks_after_each(spark, base):
     with pytest.raises(ValueError):
         run_daily(spark, base, "2024-01-03 06:00:00", checks="sometimes")
     assert CheckFailed and TB.BUCKET == "bucket" and F
+
+
+def test_compaction_keeps_rows(spark, tmp_dir):
+    lay = layout(tmp_dir)
+    lay.compact_above_files = 1
+    stores_file(lay.landing, "stores_20240101.csv", [f"ABCDEF01,{S1},One"])
+    sales_file(lay.landing, "sales_20240101.csv",
+               [f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier"])
+    run_daily(spark, lay, "2024-01-02 06:00:00", checks="off", export=False)
+    lay2 = next_landing(lay, tmp_dir, "landing2")
+    lay2.compact_above_files = 1
+    sales_file(lay2.landing, "sales_20240102.csv",
+               [f"{S1},{T2},R0002,20240102T101500.000,$1.00,cashier",
+                f"{S1},{T3},R0003,20240102T111500.000,$2.00,cashier"])
+    run_daily(spark, lay2, "2024-01-03 06:00:00", checks="after_all", export=False)
+    counts = TB.files_per_bucket(spark, lay.path("silver", "silver_sales"))
+    assert counts and max(counts.values()) == 1
+    assert len(rows(spark, lay.path("silver", "silver_sales"), ["transaction_id"])) == 3
