@@ -27,8 +27,12 @@ DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "ledgerline") -> SparkSession:
+                app_name: str = "ledgerline", conf: dict | None = None) -> SparkSession:
+    """Create (or reuse) a session. ``conf`` adds settings that only take
+    effect at JVM start, such as ``spark.driver.memory`` for local runs."""
     builder = SparkSession.builder.appName(app_name)
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     for k, v in DEFAULTS.items():
