@@ -52,6 +52,7 @@ class Layout:
     store_buckets: int = 4
     multi_line: bool = True
     compact_above_files: int = 32        # per bucket; 0 disables compaction
+    export_large: bool = False           # also copy raw/silver keyed tables on export
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
@@ -375,11 +376,33 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
         res.checks = check_tables(spark, res.tables)
         _raise_on_errors(res.checks)
     if export and layout.exports and res.tables:
-        export_parquet(spark, {n: _visible(TB.read(spark, p))
-                               for n, p in res.tables.items()}, layout.exports)
+        # Report-sized tables are copied; the large keyed tables already are
+        # zstd Parquet in the warehouse and are read in place (see
+        # ``register_warehouse``) unless ``export_large`` asks for copies.
+        names = [n for n in res.tables if layout.export_large or n in SMALL_TABLES]
+        export_parquet(spark, {n: _visible(TB.read(spark, res.tables[n])) for n in names},
+                       layout.exports)
     return res
 
 
+SMALL_TABLES = {"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
+                "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"}
+
+
+def register_warehouse(spark: SparkSession, layout: Layout) -> list[str]:
+    """Temp views ``<layer>_<table>`` over the warehouse tables themselves
+    (no copy; the storage-only bucket column is hidden)."""
+    names = []
+    for name, path in _all_paths(layout).items():
+        df = _visible(TB.read(spark, path))
+        if df is None:
+            continue
+        layer = path.rstrip("/").rsplit("/", 2)[-2]
+        df.createOrReplaceTempView(f"{layer}_{name}")
+        names.append(f"{layer}_{name}")
+    return names
+
+
 def _visible(df: DataFrame | None) -> DataFrame | None:
     """A warehouse table without its storage-only bucket column."""
     if df is None:

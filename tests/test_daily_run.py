@@ -70,6 +70,11 @@ def test_first_run_and_replay(spark, base):
     assert all(c["failures"] == 0 for c in r1.checks if c["severity"] == "error")
     assert os.path.isdir(os.path.join(base.exports, "gold",
                                       "rpt_sales_by_transaction_date.parquet"))
+    assert not os.path.exists(os.path.join(base.exports, "raw"))   # read in place
+    from ledgerline.plans.daily_run import register_warehouse
+    assert "raw_raw_sales_snapshot" in register_warehouse(spark, base)
+    assert spark.table("silver_silver_sales").count() == 2
+    assert "bucket" not in spark.table("silver_silver_sales").columns
 
     # Replay the same files: no new versions, same gold except stamps.
     gold_before = rows(spark, P("gold", "rpt_sales_by_transaction_date"), ["transaction_date"])
