@@ -19,6 +19,7 @@ Warehouse layout (``Layout.warehouse``)::
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -83,7 +84,7 @@ def _ts(run_ts):
     return F.lit(str(run_ts)).cast("timestamp_ntz")
 
 
-_SCRATCH: list[str] = []
+_SCRATCH: dict[int, list[str]] = {}     # per driver thread: runs may be concurrent
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -92,15 +93,16 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     The folders are removed at the end of the run."""
     path = work_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _SCRATCH.append(path)
+    _SCRATCH.setdefault(threading.get_ident(), []).append(path)
     return spark.read.parquet(path)
 
 
 def _drop_scratch(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    mine = _SCRATCH.pop(threading.get_ident(), [])
+    while mine:
+        p = jvm.org.apache.hadoop.fs.Path(mine.pop())
         p.getFileSystem(conf).delete(p, True)
 
 

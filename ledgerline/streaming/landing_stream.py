@@ -58,12 +58,19 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
     land = layout.landing.rstrip("/")
     ck = checkpoint_dir.rstrip("/")
 
+    # Micro-batches run on the stream's thread; each cleans its own scratch.
     def stores_batch(batch: DataFrame, epoch_id: int) -> None:
-        D.ingest_stores(spark, layout, batch, stamp())
+        try:
+            D.ingest_stores(spark, layout, batch, stamp())
+        finally:
+            D._drop_scratch(spark)
 
     def sales_batch(batch: DataFrame, epoch_id: int) -> None:
-        D.ingest_sales(spark, layout, batch, stamp())
-        D.build_reports(spark, layout, run_date)
+        try:
+            D.ingest_sales(spark, layout, batch, stamp())
+            D.build_reports(spark, layout, run_date)
+        finally:
+            D._drop_scratch(spark)
 
     for name, cols, head, fn in (
             ("stores", C.STORE_COLUMNS, C.STORE_COLUMNS, stores_batch),
@@ -76,4 +83,3 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
         q = w.start()
         if trigger == "availableNow":
             q.awaitTermination()
-        D._drop_scratch(spark)
