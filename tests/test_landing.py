@@ -42,3 +42,15 @@ def test_header_only_filters_exact_match(spark, tmp_dir):
               "store_group,store_token,other\nstore_group,store_token,store_name\n")
     df = read_landing(spark, f"{tmp_dir}/stores_*.csv", COLS, header_cols=COLS)
     assert [r.store_name for r in df.collect()] == ["other"]
+
+
+def test_splittable_read_without_multiline(spark, tmp_dir):
+    """multi_line=False lets Spark split large files; rows without quoted
+    line breaks read the same."""
+    write_csv(os.path.join(tmp_dir, "stores_20240101.csv"),
+              'AAAAAAAA,tok1,"Name, with comma"\nonly_one\nBBBBBBBB,tok2,Plain\n')
+    a = read_landing(spark, f"{tmp_dir}/stores_*.csv", COLS, header_cols=COLS)
+    b = read_landing(spark, f"{tmp_dir}/stores_*.csv", COLS, header_cols=COLS,
+                     multi_line=False)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert b.count() == 2
