@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
     """Cut Arrow batches into slices of about ``limit`` text bytes. Yields
     the slice and its texts (null: empty)."""
     for b in batches:
-        sizes = pa.compute.binary_length(b.column(text)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(b.column(text)).fill_null(0).to_pylist()
         i, held = 0, 0
         for j, n in enumerate(sizes):
             if j > i and held + n > limit:

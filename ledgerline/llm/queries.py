@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, reshard
-from ledgerline.llm.common import table
+from ledgerline.llm import bpe, decontam, langid, reshard, toxicity
+from ledgerline.llm.common import id_bucket, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
@@ -24,6 +24,27 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, *bpe_files()).drop("text")
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, id_bucket(F.col("doc_id"), 3) != 1)
+    out = langid.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return out.select("doc_id", (id_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score",
+                      F.size("span_words").alias("n_spans"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.learn(docs, table(spark, sf_dir, "labels"), id_bucket(F.col("doc_id"), 3) != 1)
+    out = toxicity.score(docs, machine, keep_text=False)
+    return out.select("doc_id", (id_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout keeps the documents of a source together, so its
     shards are as uneven as the sources."""
@@ -36,6 +57,9 @@ def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_langid": op4_langid,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontam": op7_decontam,
     "op9_reshard": op9_reshard,
 }
 
