@@ -239,14 +239,14 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
     return docs.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 (decimal ids joined by commas) and
-    decoded_sha256: encoding and decoding in one pass, so that ids and
-    decoded bytes need not travel back to the JVM."""
-    schema = _with(docs.schema, T.StructField("n_tokens", T.LongType()),
-                   T.StructField("ids_sha256", T.StringType()),
+    decoded_sha256, and the ids if asked for: encoding and decoding in one
+    pass, so that ids need not travel to the JVM and back in between."""
+    schema = _with(docs.schema, *[T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids,
+                   T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                    T.StructField("decoded_sha256", T.StringType()))
-    keep, names = schema.names[:-3], schema.names
+    keep, names = schema.names[:-3 - with_ids], schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = replay_of(path, pattern)
@@ -262,7 +262,8 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
                 cs = cs.tolist()
                 ids.append(hashlib.sha256(",".join([written[c] for c in cs]).encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([plain[c] for c in cs])).hexdigest())
-            yield _columns(part, keep, [pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+            own = [pa.array(block.ids(), pa.list_(pa.int32()))] if with_ids else []
+            yield _columns(part, keep, [*own, pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                                         pa.array(back, pa.string())], names)
 
     return docs.mapInArrow(run, schema)

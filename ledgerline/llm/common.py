@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,33 @@ def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
             yield part, [t or "" for t in part.column(text).to_pylist()]
 
 
+def total_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+
+
+def packed(keys: list[np.ndarray], values: np.ndarray) -> list[pa.Array]:
+    """Runs of equal keys (rows are sorted by them) as one row each: the
+    keys and a binary column with the run's values."""
+    n = len(values)
+    change = np.ones(n, bool)
+    change[1:] = False
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(change)
+    ends = (np.append(first, n) * values.itemsize).astype(np.int32)
+    blob = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()),
+                                                           pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+    return [pa.array(k[first]) for k in keys] + [blob]
+
+
+def unpacked(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column, and the row of each."""
+    blobs = column.to_pylist()
+    values = np.frombuffer(b"".join(blobs), kind)
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // np.dtype(kind).itemsize
+    return values, np.repeat(np.arange(len(blobs)), sizes)
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph ``edges(a, b)`` (longs):
     one row ``(node, root)`` per node of an edge, ``root`` the smallest node

@@ -11,7 +11,9 @@ of the text is the one with most letters.
 each language, the first in the order of a hash of the id. Prediction reads
 the text alone, whole, a block of texts at a time.
 
-Null text or text without a letter: ``und``, score 0, no span. Ties go to
+The score is the share of the letters that are labelled so; letters of a
+script that no learned language uses count for none. Null text or text
+without a letter: ``und``, score 0, no span. Ties go to
 the first language in alphabetic order. Repeated rows are labelled alike;
 extra columns are kept. With no labelled row every text is ``und``.
 """
@@ -66,11 +68,14 @@ class Model:
     logp: np.ndarray      # (SLOTS, languages)
     uses: np.ndarray      # (scripts, languages): the language is written in the script
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each word and language, and whether any uses its script
+        (of the others no language knows anything)."""
         slot, starts, script = grams(words)
-        score = np.add.reduceat(self.logp[slot], starts, axis=0)
         may = self.uses[script]
-        return np.where(may | ~may.any(1, keepdims=True), score, np.float32(-1e4))
+        some = may.any(1)
+        score = np.add.reduceat(self.logp[slot], starts, axis=0)
+        return np.where(may, score, np.where(some[:, None], np.float32(-1e4), np.float32(0))), some
 
 
 def labelled(docs: DataFrame, learn_from: Column, lang: str, doc_id: str, sample: int) -> DataFrame:
@@ -164,13 +169,14 @@ def label_texts(model: Model, texts: list[str]) -> tuple[list, list, list, list]
     sizes = np.array([len(s) for s in split])
     starts = np.cumsum(sizes) - sizes
     flat = np.concatenate(split)
-    label = viterbi(model.word_scores(words), flat, starts, sizes)
+    score, known = model.word_scores(words)
+    label = viterbi(score, flat, starts, sizes)
     # a letter is what str.isalpha says; the word pattern also takes a few number signs
     size = np.array([len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words])[flat]
     n_lang = len(model.langs)
     doc = np.repeat(np.arange(len(texts)), sizes)
-    total = np.bincount(doc * n_lang + label, size, len(texts) * n_lang).reshape(-1, n_lang)
-    letters = total.sum(1)
+    total = np.bincount(doc * n_lang + label, size * known[flat], len(texts) * n_lang).reshape(-1, n_lang)
+    letters = np.bincount(doc, size, len(texts))
     best = total.argmax(1)
     share = total.max(1) / np.maximum(letters, 1)
     lang = [model.langs[b] if n else UND for b, n in zip(best.tolist(), letters.tolist())]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontam, langid, reshard, toxicity
+from ledgerline.llm import bpe, chat, decontam, gru_lm, langid, ngram_join, reshard, suffix_dedup, toxicity, winnow
 from ledgerline.llm.common import id_bucket, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -19,11 +19,19 @@ def bpe_files() -> tuple[str, str]:
     return P.path(BPE_RANKS), P.PATTERN
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, *bpe_files()).drop("text")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs, id_bucket(F.col("doc_id"), 3) != 1)
@@ -32,6 +40,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("span_words").alias("n_spans"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.learn(docs, table(spark, sf_dir, "labels"), id_bucket(F.col("doc_id"), 3) != 1)
@@ -45,6 +57,11 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = gru_lm.score(table(spark, sf_dir, "documents"), id_bucket(F.col("doc_id"), 7) != 2)
+    return out.withColumn("held_out", id_bucket(F.col("doc_id"), 7) == 2)
+
+
 def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout keeps the documents of a source together, so its
     shards are as uneven as the sources."""
@@ -55,12 +72,23 @@ def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
+    "op3_ngram_join": op3_ngram_join,
     "op4_langid": op4_langid,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontam": op7_decontam,
+    "op8_gru_lm": op8_gru_lm,
     "op9_reshard": op9_reshard,
+    "op10_winnow": op10_winnow,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat": chat.ORACLE,
+}

@@ -35,8 +35,8 @@ from ledgerline.llm.common import text_blocks
 #: Rows of each class in the fitting sample, at most.
 SAMPLE = 6000
 SLOTS = 1 << 20
-#: Terms of the model, and the least standard score and rows of a term.
-TERMS, SURE, ROWS = 512, 4.0, 4
+#: Terms of the model, and the least likelihood ratio and rows of a term.
+TERMS, SURE, ROWS = 1024, 20.0, 4
 FACTORS, EPOCHS, RATE, RIDGE = 4, 40, 0.1, 1e-4
 WORDS = re.compile(r"\w+")
 
@@ -113,6 +113,15 @@ def fit(terms: np.ndarray, sets: list[np.ndarray], y: np.ndarray, seed: int = 7)
     return m
 
 
+def likelihood_ratio(c1: Column, c0: Column, n1: int, n0: int) -> Column:
+    """How surely a term of ``c1`` of ``n1`` and ``c0`` of ``n0`` texts tells
+    the classes apart (twice the log-likelihood ratio)."""
+    part = lambda x, mean: F.when(x > 0, x * F.log(x / mean)).otherwise(0.0)
+    rate = (c1 + c0) / F.lit(float(n1 + n0))
+    return 2 * (part(c1, rate * n1) + part(c0, rate * n0)
+                + part(n1 - c1, (1 - rate) * n1) + part(n0 - c0, (1 - rate) * n0))
+
+
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text",
           doc_id: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> Machine:
     """``learn_from``: a condition on ``doc_id``."""
@@ -137,9 +146,7 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "t
         n1, n0 = n.get(1, 0), n.get(0, 0)
         if not n1 or not n0:
             return fit(np.zeros(0, np.int64), [], np.array([float(n1 > 0)] * max(n1, n0)))
-        a, b = F.col("c1") + 0.5, F.col("c0") + 0.5
-        odds = F.log(a / (n1 + 1 - a)) - F.log(b / (n0 + 1 - b))
-        sure = F.abs(odds) / F.sqrt(1 / a + 1 / b)
+        sure = likelihood_ratio(F.col("c1"), F.col("c0"), n1, n0)
         picked = sets.select("y", F.explode("terms").alias("slot")).groupBy("slot").agg(
             F.sum("y").alias("c1"), F.sum(1 - F.col("y")).alias("c0")) \
             .where((F.col("c1") + F.col("c0") >= ROWS) & (sure >= SURE)) \
