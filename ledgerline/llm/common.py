@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import work_dir
@@ -58,6 +58,20 @@ def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
             yield part, [t or "" for t in part.column(text).to_pylist()]
 
 
+def first_by_hash(rows: DataFrame, by: str, key: str, n: int) -> DataFrame:
+    """The first ``n`` distinct keys of each value of ``by``, in the order
+    of a hash (all, where there are fewer). A value may hold most rows: a
+    cut at its expected n-th hash, from counts, leaves little for the window
+    that takes exactly n."""
+    span = 1 << 30
+    rows = rows.select(by, key, F.pmod(F.xxhash64(key), F.lit(span)).alias("_u")).distinct()
+    size = rows.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("_n"))
+    cut = F.lit(float(span)) * (n * 1.2 + 200) / F.col("_n")
+    near = rows.join(size, F.col(by) == F.col("_by")).where(F.col("_u") < cut)
+    order = Window.partitionBy(by).orderBy("_u", key)
+    return near.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).select(by, key)
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
 

@@ -233,12 +233,12 @@ def shards(items: DataFrame, item_id: str = "item_id", text: str = "text",
 
 
 def hits(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per row of ``docs`` and item that it holds."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for shard in shards(items):
+    for shard in shards(items, limit=shard_words):
         index = spark.sparkContext.broadcast(ItemIndex(shard))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

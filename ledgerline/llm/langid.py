@@ -27,11 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import text_blocks
+from ledgerline.llm.common import first_by_hash, text_blocks
 
 #: Labelled rows a language is learned from, at most.
 SAMPLE = 2000
@@ -78,21 +78,12 @@ class Model:
         return np.where(may, score, np.where(some[:, None], np.float32(-1e4), np.float32(0))), some
 
 
-def labelled(docs: DataFrame, learn_from: Column, lang: str, doc_id: str, sample: int) -> DataFrame:
-    """At most ``sample`` labelled rows a language (ids and languages)."""
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    return docs.where(learn_from & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()) \
-        .select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h")) \
-        .withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select("doc_id", "lang")
-
-
 def learn(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang",
           doc_id: str = "doc_id", sample: int = SAMPLE) -> Model:
-    ids = labelled(docs, learn_from, lang, doc_id, sample).select("doc_id").distinct()
-    # bounded: ``sample`` ids a language
-    rows = docs.where(learn_from & F.col(lang).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")) \
-        .join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    ids = first_by_hash(rows, "lang", "doc_id", sample).select("doc_id").distinct()
+    rows = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # bounded: ``sample`` ids a language
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

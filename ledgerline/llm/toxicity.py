@@ -26,11 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import text_blocks
+from ledgerline.llm.common import first_by_hash, text_blocks
 
 #: Rows of each class in the fitting sample, at most.
 SAMPLE = 6000
@@ -127,10 +127,9 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "t
     """``learn_from``: a condition on ``doc_id``."""
     y = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(learn_from) \
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     y = y.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = y.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).drop("k")
+    chosen = first_by_hash(y, "y", "doc_id", sample)
     # bounded: ``sample`` ids of each class
     sampled = rows.join(F.broadcast(chosen), "doc_id")
 
