@@ -2,8 +2,9 @@
 
 A ``Rule`` names a model, a check kind, its column(s) and parameters.
 ``run_checks`` evaluates all column-level rules of one table in a single
-aggregate pass (``count_if`` per rule; partial aggregation map-side), and
-each uniqueness / relationship rule as one grouped or anti-join pass. The
+global aggregate (``count_if`` per rule, no shuffled rows), and each
+uniqueness / relationship rule as one grouped or anti-join pass over its
+columns alone. The
 result has one row per rule: the number of failing rows (or groups).
 
 NULL handling follows the usual test semantics: value rules (regex,
@@ -94,36 +95,23 @@ def _keep(cols: Sequence[str]) -> Column:
 
 
 def _table_checks(df: DataFrame, rs: list[Rule], tables: Mapping[str, DataFrame]) -> list:
-    """All rules of one table. Row rules are ``count_if`` aggregates; the
-    first uniqueness rule is folded into the same pass as a two-level
-    aggregation (group by its key with partial counts, then one global
-    aggregate), so one scan and one shuffle cover them together. Further
-    uniqueness rules and relationships add one grouped pass each."""
+    """All rules of one table. Row rules and row counts are one global
+    aggregate (counts per task, one row at the end: no row is shuffled);
+    a uniqueness rule groups the key columns alone; a relationship counts
+    per child value before it joins."""
     row = [r for r in rs if r.kind not in ("unique", "compound_unique", "relationship",
                                            "row_count")]
     counts = [r for r in rs if r.kind == "row_count"]
     keys = [r for r in rs if r.kind in ("unique", "compound_unique")]
     rels = [r for r in rs if r.kind == "relationship"]
     parts = []
-    first = keys[0] if keys else None
-    partial = [F.count(F.lit(1)).alias("__cnt")] + [
-        F.count_if(failing_condition(r)).alias(f"r{i}") for i, r in enumerate(row)]
-    if first is not None:
-        cols = list(first.columns)
-        grouped = df.groupBy(*cols).agg(*partial)
-        one = grouped.agg(
-            F.coalesce(F.sum("__cnt"), F.lit(0)).alias("__n"),
-            *[F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(row))],
-            F.count_if((F.col("__cnt") > 1) & _keep(cols)).alias("k0"))
-    else:
-        grouped = None
+    if row or counts:
         one = df.agg(F.count(F.lit(1)).alias("__n"),
-                     *[c for c in partial[1:]])
-    results = ([_result(r, F.col(f"r{i}")) for i, r in enumerate(row)]
-               + [_result(r, _bad_count(r, F.col("__n"))) for r in counts]
-               + ([_result(first, F.col("k0"))] if first is not None else []))
-    parts.append(one.select(F.inline(F.array(*results))))
-    for r in keys[1:]:
+                     *[F.count_if(failing_condition(r)).alias(f"r{i}") for i, r in enumerate(row)])
+        results = ([_result(r, F.col(f"r{i}")) for i, r in enumerate(row)]
+                   + [_result(r, _bad_count(r, F.col("__n"))) for r in counts])
+        parts.append(one.select(F.inline(F.array(*results))))
+    for r in keys:
         cols = list(r.columns)
         dup = (df.where(_keep(cols)).groupBy(*cols).count().where(F.col("count") > 1)
                .agg(F.count(F.lit(1)).alias("n")))
@@ -131,13 +119,8 @@ def _table_checks(df: DataFrame, rs: list[Rule], tables: Mapping[str, DataFrame]
     for r in rels:
         col = r.columns[0]
         parent = tables[r.params["to"]].select(F.col(r.params["field"]).alias(col))
-        # Count per child value first (map-side partial aggregate), so a value
-        # held by a large share of rows is one row in the join; reuse the
-        # grouped pass when its key contains the column.
-        if grouped is not None and col in first.columns:
-            per_value = grouped.groupBy(col).agg(F.sum("__cnt").alias("__n"))
-        else:
-            per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+        # A value held by a large share of rows is one row in the join.
+        per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
         orphans = (per_value.where(F.col(col).isNotNull())
                    .join(parent.distinct(), col, "left_anti")
                    .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")))

@@ -49,11 +49,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when
-    the session has none (tests, local runs)."""
+    """Return the shared checkpoint folder. Only a session on one machine
+    (``local*``) may do without the setting: it gets a temporary folder."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -67,8 +69,4 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def as_local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "as_local_path"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "work_dir"]

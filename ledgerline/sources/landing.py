@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_PRUNING_CONF = "spark.sql.csv.parser.columnPruning.enabled"
+#: Reader option (not a session setting: other CSV reads keep theirs).
+PRUNING_OPTION = "columnPruning"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -71,8 +72,8 @@ def read_landing(spark: SparkSession, pattern: str, columns: Sequence[str],
     if not landing_has_files(spark, pattern):
         empty = T.StructType(schema.fields + [T.StructField(source_col, T.StringType())])
         return spark.createDataFrame([], empty)
-    spark.conf.set(CSV_PRUNING_CONF, "false")
     df = (spark.read.schema(schema)
+          .option(PRUNING_OPTION, "false")
           .option("header", "false")
           .option("mode", "DROPMALFORMED")
           .option("multiLine", str(multi_line).lower())

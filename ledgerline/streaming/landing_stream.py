@@ -23,15 +23,14 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as C
 from ledgerline.plans import daily_run as D
-from ledgerline.sources.landing import CSV_PRUNING_CONF, header_filter, text_schema
+from ledgerline.sources.landing import PRUNING_OPTION, header_filter, text_schema
 
 
 def landing_stream(spark: SparkSession, pattern: str, columns: list[str],
                    header_cols: list[str], archive_dir: str | None = None,
                    max_files_per_trigger: int | None = None,
                    multi_line: bool = True) -> DataFrame:
-    spark.conf.set(CSV_PRUNING_CONF, "false")
-    reader = (spark.readStream.schema(text_schema(columns))
+    reader = (spark.readStream.schema(text_schema(columns)).option(PRUNING_OPTION, "false")
               .option("header", "false").option("mode", "DROPMALFORMED")
               .option("multiLine", str(multi_line).lower())
               .option("quote", '"').option("escape", '"'))
