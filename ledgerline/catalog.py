@@ -23,7 +23,7 @@ from ledgerline.operators.validate import (
 )
 from ledgerline.plans import fixture as FX
 from ledgerline import constants as C
-from ledgerline.functions.parse import batch_date_of
+from ledgerline.functions.parse import batch_date_of, parse_amount, parse_ts
 from ledgerline.plans import raw as RAW
 from ledgerline.operators.checks import run_checks
 from ledgerline.plans.audit import file_audit
@@ -421,6 +421,40 @@ def q_new_files_only(spark, sf_dir):
     return _named_audit(file_audit(stores, sales, first, FX.RUN_STAMPS[2]))
 
 
+def q_parse_edges(spark, sf_dir):
+    """amounts and times of every order, written in the odd ways the
+    lenient parsers accept or refuse (by ``o_orderkey``)."""
+    o = table(spark, sf_dir, "orders")
+    k, day = F.col("o_orderkey"), F.replace(F.col("o_orderdate").cast("date").cast("string"), F.lit("-"), F.lit(""))
+    times = FX.pick(k % 11, [F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+                             for parts in FX.TIME_FORMS(day)])
+    cents = F.col("o_totalprice").cast("decimal(11,2)").cast("string")
+    amounts = FX.pick(k % 13, [F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+                               for parts in FX.AMOUNT_FORMS(cents)])
+    rows = o.select("o_orderkey", times.alias("time_text"), amounts.alias("amount_text"))
+    return rows.select("*", parse_ts("time_text").alias("parsed_time"), parse_amount("amount_text").alias("parsed_amount"))
+
+
+def q_missing_input(spark, sf_dir):
+    """A landing pattern without files is a typed empty frame, and a
+    table that was never written is None; beside them the files and tables
+    that are there."""
+    from ledgerline.sinks import tables as TB
+
+    root = landing_root(spark, sf_dir)
+    none = read_landing(spark, f"{root}/returns_*.csv", C.SALES_COLUMNS)
+    some = read_landing(spark, f"{root}/sales_*.csv", C.SALES_COLUMNS, C.SALES_COLUMNS[:3])
+    path = work_dir(spark, "probe")
+    before = TB.read(spark, path) is None
+    TB.append(some.select("receipt_token"), path)
+    after = TB.read(spark, path)
+    flags = spark.createDataFrame([("absent_table", int(before))], "probe string, n long")
+    return none.agg(F.count("*").alias("n")).select(F.lit("absent_files").alias("probe"), "n") \
+        .unionByName(some.agg(F.count("*").alias("n")).select(F.lit("present_files").alias("probe"), "n")) \
+        .unionByName(after.agg(F.count("*").alias("n")).select(F.lit("present_table").alias("probe"), "n")) \
+        .unionByName(flags)
+
+
 # ------------------------------------------------------ quality checks ---
 
 def _silver_tables(spark, sf_dir):
@@ -470,14 +504,14 @@ def q_stream_landing(spark, sf_dir):
 
 def q_export_roundtrip(spark, sf_dir):
     """Output 2 exported as zstd Parquet, re-registered as the view
-    ``gold_rpt_sales_by_transaction_date`` and queried back."""
+    ``gold.rpt_sales_by_transaction_date`` and queried back."""
     from ledgerline.sinks.export import export_parquet
     from ledgerline.sources.tables import register_exports
 
     root = work_dir(spark, "exports")
     export_parquet(spark, {"rpt_sales_by_transaction_date": q_output2(spark, sf_dir)}, root)
     register_exports(spark, root)
-    return spark.table("gold_rpt_sales_by_transaction_date")
+    return spark.sql("SELECT * FROM gold.rpt_sales_by_transaction_date")
 
 
 def _full_run(spark, sf_dir):
@@ -497,6 +531,71 @@ def q_daily_run_report(spark, sf_dir):
     return spark.read.parquet(f"{lay.exports}/gold/rpt_sales_by_transaction_date.parquet")
 
 
+def q_export_all(spark, sf_dir):
+    """A full run exports nine tables; their rows, counted
+    through the views ``layer.table``."""
+    from ledgerline.sinks.export import EXPORT_TABLES
+    from ledgerline.sources.tables import register_exports
+
+    lay = _full_run(spark, sf_dir)
+    register_exports(spark, lay.exports)
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{layer}.{t}' AS table_name, count(*) AS n_rows FROM {layer}.{t}"
+        for layer, names in EXPORT_TABLES.items() for t in names))
+
+
+def q_rerun_after_crash(spark, sf_dir):
+    """K1-K5/M6: the run of a second delivery (all batches) is cut off
+    between the two writes of the silver upsert; the run after it must give
+    what an undisturbed run gives. Returns silver_sales."""
+    from unittest import mock
+
+    from ledgerline.plans import daily_run as D
+    from ledgerline.sinks import tables as TB
+
+    root = landing_root(spark, sf_dir)
+    _, sales = _landing(spark, sf_dir)
+    first = sales.where(batch_date_of("source_file", C.SALES_FILE_RE) < "19980101")
+    lay = D.Layout(landing=root, warehouse=work_dir(spark, "crash"), n_buckets=8)
+    try:
+        D.ingest_sales(spark, lay, first, FX.RUN_STAMPS[1])
+        target, append = lay.path("silver", "silver_sales"), TB.BucketedTable.append
+
+        def stop(table, df):
+            if table.path == target:
+                raise InterruptedError("cut off")
+            return append(table, df)
+
+        with mock.patch.object(TB.BucketedTable, "append", stop):
+            try:
+                D.ingest_sales(spark, lay, sales, FX.RUN_STAMPS[2])
+            except InterruptedError:
+                pass
+        D.ingest_sales(spark, lay, sales, FX.RUN_STAMPS[3])
+    finally:
+        D._drop_scratch(spark)
+    out = TB.read(spark, lay.path("silver", "silver_sales"))
+    return out.select("store_token", "transaction_id", "receipt_token", "transaction_time", "amount", "user_role",
+                      "batch_date", file_name("source_file").alias("source_file"))
+
+
+def q_evolve_table(spark, sf_dir):
+    """K8: a stored table gets rows without and with a new column; one
+    bucket is rewritten in between; all is read back."""
+    from ledgerline.sinks import tables as TB
+
+    o = table(spark, sf_dir, "orders")
+    old = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")).select(
+        "o_orderkey", "o_custkey", "o_totalprice")
+    new = o.where(~(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"))).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    t = TB.BucketedTable(spark, work_dir(spark, "evolve"), ["o_orderkey"], 4)
+    t.append(old)
+    t.append(new)
+    t.rewrite([1], t.read().where(F.col(TB.BUCKET) == 1))
+    return t.read().drop(TB.BUCKET)
+
+
 def q_daily_run_top5(spark, sf_dir):
     """M1-M11 end to end; returns Output 3 from the warehouse."""
     lay = _full_run(spark, sf_dir)
@@ -533,10 +632,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_stores_csv": q_landing_stores_csv,
     "file_audit": q_file_audit,
     "new_files_only": q_new_files_only,
+    "parse_edges": q_parse_edges,
+    "missing_input": q_missing_input,
     "checks_silver": q_checks_silver,
     "checks_gold": q_checks_gold,
     "stream_landing": q_stream_landing,
     "export_roundtrip": q_export_roundtrip,
     "daily_run_report": q_daily_run_report,
     "daily_run_top5": q_daily_run_top5,
+    "export_all": q_export_all,
+    "rerun_after_crash": q_rerun_after_crash,
+    "evolve_table": q_evolve_table,
 }

@@ -24,8 +24,9 @@ TRANSACTION_ID_RE = (
 RECEIPT_TOKEN_RE = r"^[A-Za-z0-9]{5,30}\z"
 STORE_GROUP_RE = r"^[0-9A-F]{8}\z"
 RECEIPT_CHARS_RE = r"^[A-Za-z0-9]+\z"
-# YYYYMMDDTHHMMSS.f{1,6}; seconds 00-59
-TRANSACTION_TIME_RE = r"^\d{8}T\d{4}[0-5]\d\.\d{1,6}\z"
+# YYYYMMDDTHHMMSS.f{1,6}; a part of two digits may have one, and takes two if it can
+TRANSACTION_TIME_RE = (r"^(\d{4})(\d{1,2}+)(\d{1,2}+)T(\d{1,2}+)(\d{1,2}+)(\d{1,2}+)"
+                       r"\.(\d{1,6})\z")
 
 # --- fixed values: file-name patterns for the batch date ---
 STORES_FILE_RE = r"stores_(\d{8})\.csv"

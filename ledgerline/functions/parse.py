@@ -19,28 +19,34 @@ def matches(c: Column | str, pattern: str) -> Column:
 
 
 def parse_amount(c: Column | str, dtype: str = C.AMOUNT_TYPE) -> Column:
-    """Remove every '$' and ',' and try-cast to decimal(11,2).
+    """Remove every '$' and ',' and try-cast to decimal(11,2). One underscore
+    between two digits separates them and is dropped, as SQL literals allow.
 
     Unparseable or overflowing text gives NULL; rounding is half-up.
     """
     cleaned = F.replace(F.replace(_col(c), F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
-    return cleaned.try_cast(dtype)
+    plain = F.regexp_replace(cleaned, r"(?<=[0-9])_(?=[0-9])", "").try_cast(dtype)
+    return F.when(~cleaned.rlike(r"[^\x00-\x7F]"), plain)      # other scripts' digits are no number
 
 
 def parse_ts(c: Column | str) -> Column:
     """Parse ``YYYYMMDDTHHMMSS.f`` (1-6 fraction digits) to TIMESTAMP_NTZ.
 
-    Surrounding blanks are ignored. The shape is checked by regex first
-    (upper-case T only, seconds < 60); the calendar (Feb 29, hour 24, ...)
-    by the strict datetime parser, which yields NULL for impossible dates.
-    The text is read as UTC (explicit ``Z``) and the instant turned into a
-    wall-clock value by adding its microseconds to the epoch, so the result
-    does not depend on the session time zone. The input is referenced only
-    twice, which keeps the expression small when filters inline it.
+    White space around the value is ignored, and month, day, hour, minute
+    and second may have one digit: each takes two if it can. The shape is
+    checked and brought to full width by one regex (upper-case T only); the
+    calendar (Feb 29, hour 24, second 60, ...) by the strict datetime
+    parser, which yields NULL for impossible dates. The text is read as UTC
+    (explicit ``Z``) and the instant turned into a wall-clock value by adding
+    its microseconds to the epoch, so the result does not depend on the
+    session time zone.
     """
-    s = F.trim(_col(c))
-    instant = F.try_to_timestamp(F.concat(s, F.lit("Z")),
-                                 F.lit("yyyyMMdd'T'HHmmss.SSSSSSX"))
+    s = F.trim(_col(c), F.lit(" \t\n\x0b\f\r"))
+    # a zero before each part, of which the last two digits count
+    wide = F.regexp_replace(s, C.TRANSACTION_TIME_RE, "$1-0$2-0$3T0$4:0$5:0$6.$7")
+    full = F.regexp_replace(wide, r"([-T:])0(\d\d)(?=[-T:.])", "$1$2")
+    instant = F.try_to_timestamp(F.concat(full, F.lit("Z")),
+                                 F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     return F.when(s.rlike(C.TRANSACTION_TIME_RE), wall)

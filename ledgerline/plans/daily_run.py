@@ -1,15 +1,18 @@
 """One ELT run: landing → raw (SCD2) → silver → gold → checks → export.
 
 Every step reads its inputs from the warehouse tables written by the step
-before, so lineage never grows across steps, and a failed run can simply
-be re-run (snapshots and upserts are no-ops on equal input; appends are
-guarded by anti joins on their keys).
+before, so lineage never grows across steps. A failed run is simply run
+again: half-published buckets are finished first (``BucketedTable.recover``),
+snapshots and upserts are no-ops on equal input, appends are guarded by anti
+joins on their keys, and the silver tables' watermarks come from commit
+records that are written after all their rows, so rows that a crashed run
+did not get to are still newer than the watermark.
 
 Warehouse layout (``Layout.warehouse``)::
 
     raw/raw_stores_snapshot   bucketed by store_token
     raw/raw_sales_snapshot    bucketed by transaction_uid
-    raw/raw_file_audit        append-only
+    raw/raw_file_audit        append-only, a folder per kind of file
     silver/silver_stores      bucketed by store_token
     silver/silver_sales       bucketed by (store_token, transaction_id)
     silver/silver_sales_rejected        append-only
@@ -22,13 +25,12 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import constants as C
 from ledgerline.operators.checks import run_checks
-from ledgerline.operators.incremental import append_new, newer_than, watermark_of
+from ledgerline.operators.incremental import FLOOR_TS, append_new
 from ledgerline.operators.scd2 import current_versions, with_scd_columns
 from ledgerline.operators.validate import rejected_sales, stage_sales, valid_sales, valid_stores
 from ledgerline.plans import raw as RAW
@@ -37,10 +39,13 @@ from ledgerline.plans.audit import files_of
 from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
 from ledgerline.sinks import tables as TB
-from ledgerline.sinks.export import export_parquet
+from ledgerline.sinks.export import export_tables
 from ledgerline.sources.landing import read_landing
+from ledgerline.sources.tables import register_views
 
 SALES_KEYS = ["store_token", "transaction_id"]
+KIND = "kind"                           # folder level of the file audit
+WATERMARK = "watermark"                 # commit record: all rows up to this stamp are in
 REJECTED_KEYS = ["store_token", "transaction_id", "snapshot_updated_at"]
 
 
@@ -53,23 +58,11 @@ class Layout:
     store_buckets: int = 4
     multi_line: bool = True
     compact_above_files: int = 32        # per bucket; 0 disables compaction
-    export_large: bool = False           # also copy raw/silver keyed tables on export
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
 
 
-# A delta side up to this many rows is broadcast (its key columns only); a
-# larger one is joined with a sort-merge join instead.
-BROADCAST_ROWS = 2_000_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` (a materialized delta; counting it reads
-    Parquet footers only) has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 @dataclass
 class RunResult:
     tables: dict[str, str] = field(default_factory=dict)
@@ -126,20 +119,16 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-    # Inner join with the run's input (key + check columns), broadcast when
-    # its counted size allows: the current history is then scanned but not
-    # shuffled; above the bound it is a sort-merge join. The result has at
-    # most one small row per incoming key.
+    # One inner join with the run's input (key + check columns) gives at most
+    # one small row per incoming key; the input is then judged by one left
+    # join. Written tables have sizes in bytes, by which Spark picks the join.
     incoming = materialize(spark, incoming, "snapshot-input")
-    hits = materialize(spark, cur.join(small_side(incoming.select(key, *check_cols)), key,
-                                       "inner")
-                       .select(key, "__b", same.alias("__same")), "snapshot-hits")
-    changed = (incoming.join(hits.where(~F.col("__same")).drop("__same"), key, "inner")
-               .withColumn("__status", F.lit("changed")))
-    new = (incoming.join(hits.select(key), key, "left_anti")
-           .withColumn("__b", F.lit(None).cast("int"))
-           .withColumn("__status", F.lit("new")))
-    judged = materialize(spark, changed.unionByName(new), "snapshot-delta")
+    hits = (cur.join(incoming.select(key, *check_cols), key, "inner")
+            .select(F.col(key).alias("__k"), "__b", same.alias("__same")))
+    judged = materialize(spark, incoming.join(hits, F.col(key) == F.col("__k"), "left")
+                         .where(F.col("__k").isNull() | ~F.col("__same"))
+                         .withColumn("__status", F.when(F.col("__k").isNull(), "new").otherwise("changed"))
+                         .drop("__k", "__same"), "snapshot-delta")
     if judged.isEmpty():                     # replay of known content: nothing to write
         return {"changed_buckets": 0}
     touched = sorted(r[0] for r in judged.where(F.col("__status") == "changed")
@@ -174,8 +163,7 @@ def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
     if target is None:
         table.append(new)
         return {"replaced_buckets": 0}
-    hits = target.select(*keys, TB.BUCKET).join(small_side(new.select(*keys)), keys,
-                                                 "left_semi")
+    hits = target.select(*keys, TB.BUCKET).join(new.select(*keys), keys, "left_semi")
     touched = TB.touched_buckets(hits)
     if touched:
         part = target.where(F.col(TB.BUCKET).isin(touched))
@@ -191,14 +179,14 @@ def append_rows(spark: SparkSession, path: str, new: DataFrame, keys: list[str])
     """Idempotent append: rows whose ``keys`` are already present are skipped.
 
     The new rows are written first; the keys among them that the target
-    already holds are found with a (counted) broadcast semi join into the
-    target scan, so the growing target is never shuffled."""
+    already holds are found with a semi join (Spark broadcasts the new keys
+    where their written size allows, and the growing target isn't shuffled)."""
     target = TB.read(spark, path)
     new = materialize(spark, new, "append-input")
     if target is not None and new.isEmpty():
         return
     if target is not None:
-        present = target.select(*keys).join(small_side(new.select(*keys)), keys, "left_semi")
+        present = target.select(*keys).join(new.select(*keys), keys, "left_semi")
         new = materialize(spark, append_new(present, new, keys), "append-delta")
     TB.append(new, path)
 
@@ -244,52 +232,47 @@ def read_landing_files(spark: SparkSession, layout: Layout) -> tuple[DataFrame,
 def audit_files(spark: SparkSession, layout: Layout, landing: DataFrame, file_type: str,
                 run_ts) -> None:
     """Append audit rows for files of one kind not yet recorded."""
-    path = layout.path("raw", "raw_file_audit")
+    path = f"{layout.path('raw', 'raw_file_audit')}/{KIND}={file_type}"
     file_re = C.STORES_FILE_RE if file_type == "stores" else C.SALES_FILE_RE
     append_rows(spark, path, files_of(landing, file_type, file_re, run_ts), ["source_file"])
 
 
+def uncommitted(spark: SparkSession, df: DataFrame, path: str, ts_col: str) -> DataFrame:
+    """Rows of ``df`` newer than what the table's last complete run saw."""
+    mark = TB.committed(spark, path, WATERMARK) or FLOOR_TS
+    return df.where(F.col(ts_col) > _ts(mark))
+
+
 def ingest_stores(spark: SparkSession, layout: Layout, stores_land: DataFrame, run_ts) -> None:
     """Raw store snapshot + file audit + silver_stores upsert."""
     t = _tables(layout, spark)
-    stores_land = stores_land.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        snapshot_into(spark, t["raw_stores"], RAW.stores_input(stores_land, run_ts),
-                      RAW.STORES_KEY, RAW.STORES_CHECK, run_ts)
-        audit_files(spark, layout, stores_land, "stores", run_ts)
-    finally:
-        stores_land.unpersist()
-    vs = valid_stores(current_versions(t["raw_stores"].read()))
-    upsert_into(spark, t["silver_stores"],
-                newer_than(vs, _visible(t["silver_stores"].read()), "snapshot_updated_at"),
-                ["store_token"])
+    for table in (t["raw_stores"], t["silver_stores"]):
+        table.recover()
+    stores_land = materialize(spark, stores_land, "stores-landing")
+    snapshot_into(spark, t["raw_stores"], RAW.stores_input(stores_land, run_ts),
+                  RAW.STORES_KEY, RAW.STORES_CHECK, run_ts)
+    audit_files(spark, layout, stores_land, "stores", run_ts)
+    current = uncommitted(spark, current_versions(t["raw_stores"].read()), t["silver_stores"].path, "dbt_updated_at")
+    upsert_into(spark, t["silver_stores"], valid_stores(current), ["store_token"])
+    TB.commit(spark, t["silver_stores"].path, WATERMARK, str(run_ts))
 
 
 def ingest_sales(spark: SparkSession, layout: Layout, sales_land: DataFrame, run_ts) -> None:
     """Raw sales snapshot + file audit + silver_sales upsert + rejected append."""
     t = _tables(layout, spark)
-    sales_land = sales_land.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        snapshot_into(spark, t["raw_sales"], RAW.sales_input(sales_land, run_ts),
-                      RAW.SALES_KEY, RAW.SALES_CHECK, run_ts)
-        audit_files(spark, layout, sales_land, "sales", run_ts)
-    finally:
-        sales_land.unpersist()
-    silver_sales = t["silver_sales"]
+    for table in (t["raw_sales"], t["silver_sales"]):
+        table.recover()
+    sales_land = materialize(spark, sales_land, "sales-landing")
+    snapshot_into(spark, t["raw_sales"], RAW.sales_input(sales_land, run_ts),
+                  RAW.SALES_KEY, RAW.SALES_CHECK, run_ts)
+    audit_files(spark, layout, sales_land, "sales", run_ts)
     rejected_path = layout.path("silver", "silver_sales_rejected")
-    sv, rj = _visible(silver_sales.read()), TB.read(spark, rejected_path)
-    current = current_versions(t["raw_sales"].read())
-    if sv is not None and rj is not None:
-        # Only versions newer than the older of the two watermarks can pass
-        # either target's own (strict) filter: stage just those.
-        floor = F.least(watermark_of(sv, "snapshot_updated_at"),
-                        watermark_of(rj, "snapshot_updated_at"))
-        current = current.where(F.col("dbt_updated_at") > floor)
+    # one watermark for both targets: it is written when both are complete
+    current = uncommitted(spark, current_versions(t["raw_sales"].read()), t["silver_sales"].path, "dbt_updated_at")
     staged = materialize(spark, stage_sales(current.drop(TB.BUCKET)), "staged")
-    upsert_into(spark, silver_sales,
-                newer_than(valid_sales(staged), sv, "snapshot_updated_at"), SALES_KEYS)
-    append_rows(spark, rejected_path,
-                newer_than(rejected_sales(staged), rj, "snapshot_updated_at"), REJECTED_KEYS)
+    upsert_into(spark, t["silver_sales"], valid_sales(staged), SALES_KEYS)
+    append_rows(spark, rejected_path, rejected_sales(staged), REJECTED_KEYS)
+    TB.commit(spark, t["silver_sales"].path, WATERMARK, str(run_ts))
 
 
 def build_reports(spark: SparkSession, layout: Layout, run_date=None,
@@ -301,7 +284,7 @@ def build_reports(spark: SparkSession, layout: Layout, run_date=None,
     rejected_path = P("silver", "silver_sales_rejected")
     sv, rj = _visible(t["silver_sales"].read()), TB.read(spark, rejected_path)
     ss = _visible(t["silver_stores"].read())
-    audit = TB.read(spark, audit_path)
+    audit = _visible(TB.read(spark, audit_path))
     if sv is None or rj is None or audit is None or ss is None:
         return {}
     abb_path = P("silver", "silver_sales_audit_by_batch")
@@ -367,49 +350,39 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
     check_now({"silver_stores"})
     ingest_sales(spark, layout, sales_land, run_ts)
     check_now({"silver_sales", "silver_sales_rejected"})
+    return finish_run(spark, layout, res, run_date, checks, strict_batch_date, export, check_now)
+
+
+def finish_run(spark, layout, res, run_date=None, checks: str = "after_all", strict_batch_date: bool = True,
+               export: bool = True, check_now=None) -> RunResult:
+    """What follows the ingestion, of a batch run or a micro-batch:
+    compaction, reports, checks, export."""
     if layout.compact_above_files:
         for t in _tables(layout, spark).values():
             if t.exists():
                 TB.compact(t, layout.compact_above_files)
     res.tables = build_reports(spark, layout, run_date, strict_batch_date)
-    check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
-               "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})
+    if check_now is not None:
+        check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
+                   "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})
     if checks == "after_all" and res.tables:
         res.checks = check_tables(spark, res.tables)
         _raise_on_errors(res.checks)
     if export and layout.exports and res.tables:
-        # Report-sized tables are copied; the large keyed tables already are
-        # zstd Parquet in the warehouse and are read in place (see
-        # ``register_warehouse``) unless ``export_large`` asks for copies.
-        names = [n for n in res.tables if layout.export_large or n in SMALL_TABLES]
-        export_parquet(spark, {n: _visible(TB.read(spark, res.tables[n])) for n in names},
-                       layout.exports)
+        export_tables(spark, res.tables, layout.exports)
     return res
 
 
-SMALL_TABLES = {"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
-                "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"}
-
-
 def register_warehouse(spark: SparkSession, layout: Layout) -> list[str]:
-    """Temp views ``<layer>_<table>`` over the warehouse tables themselves
-    (no copy; the storage-only bucket column is hidden)."""
-    names = []
-    for name, path in _all_paths(layout).items():
-        df = _visible(TB.read(spark, path))
-        if df is None:
-            continue
-        layer = path.rstrip("/").rsplit("/", 2)[-2]
-        df.createOrReplaceTempView(f"{layer}_{name}")
-        names.append(f"{layer}_{name}")
-    return names
+    """Views ``layer.table`` over the warehouse tables themselves (no copy;
+    storage-only columns are hidden)."""
+    return register_views(spark, {path.rstrip("/").rsplit("/", 2)[-2] + "." + name: _visible(TB.read(spark, path))
+                                  for name, path in _all_paths(layout).items()})
 
 
 def _visible(df: DataFrame | None) -> DataFrame | None:
-    """A warehouse table without its storage-only bucket column."""
-    if df is None:
-        return None
-    return df.drop(TB.BUCKET) if TB.BUCKET in df.columns else df
+    """A warehouse table without its storage-only columns."""
+    return None if df is None else df.drop(TB.BUCKET, KIND)
 
 
 __all__ = ["Layout", "RunResult", "CheckFailed", "run_daily", "snapshot_into", "upsert_into",

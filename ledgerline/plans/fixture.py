@@ -149,6 +149,26 @@ def stores_run_from(stores_k: DataFrame, run: int) -> DataFrame:
     return land.where(run_of == run).drop("c_custkey")
 
 
+# --- odd spellings of a time and of an amount (text, or the given column) ---
+
+def TIME_FORMS(day) -> list[tuple]:
+    return [(day, "T101530.250"), ("\t", day, "T101530.25"), (" ", day, "T101530.2 \n"), (day, "T10153.5"),
+            (day, "T1015.5"), (day, "T101530"), (day, "t101530.250"), (day, "T241530.250"), (day, "T101560.250"),
+            (day, "T101530.1234567"), (day, " T101530.250")]
+
+
+def AMOUNT_FORMS(cents) -> list[tuple]:
+    return [("$", cents), ("$1_", cents), ("1__", cents), ("_", cents), (cents, "_"), (" ", cents, "\t"),
+            ("$-", cents), (cents, "e1"), ("+", cents), ("$,", cents), (cents, " 0"), ("--", cents), ("€", cents)]
+
+
+def pick(k: Column, forms: list[Column]) -> Column:
+    out = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        out = F.when(k == i, form).otherwise(out)
+    return out
+
+
 # ------------------------------------------------------- landing CSV files ---
 
 def csv_field(c: Column) -> Column:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.sinks import tables as TB
 
 # --- fixed values: exported tables per layer (the file audit is not exported) ---
 EXPORT_TABLES: dict[str, list[str]] = {
@@ -12,6 +17,11 @@ EXPORT_TABLES: dict[str, list[str]] = {
     "gold": ["rpt_transactions_by_batch", "rpt_sales_by_transaction_date",
              "rpt_top_5_stores_by_date"],
 }
+MANIFEST = "_manifest.json"
+
+
+def target_of(root: str, layer: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/{table}.parquet"
 
 
 def export_parquet(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> list[str]:
@@ -21,22 +31,52 @@ def export_parquet(spark: SparkSession, tables: dict[str, DataFrame], root: str)
     file-system renames, so a reader never sees a half-written table.
     Tables missing from ``tables`` are skipped. Returns the written paths.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
     written = []
+    for layer, names in EXPORT_TABLES.items():
+        for t in names:
+            if t in tables:
+                target = target_of(root, layer, t)
+                _swap(spark, tables[t], target)
+                written.append(target)
+    return written
+
+
+def _swap(spark: SparkSession, df: DataFrame, target: str) -> None:
+    tmp, old = target + ".tmp", target + ".old"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(tmp)
+    fs, p = TB._fs(spark, target)
+    if fs.exists(p):
+        fs.delete(TB._fs(spark, old)[1], True)
+        TB.rename(spark, target, old)
+    TB.rename(spark, tmp, target)
+    fs.delete(TB._fs(spark, old)[1], True)
+
+
+def export_tables(spark: SparkSession, tables: dict[str, str], root: str) -> dict[str, list[int] | None]:
+    """Export the warehouse tables at these paths, all nine of them. Of a
+    bucketed table only the buckets whose files have changed since the last
+    export are written (the export keeps the bucket folders and a manifest
+    of the files they were made from); others are swapped in whole. Returns
+    the written buckets of each table (None: all of it)."""
+    out: dict[str, list[int] | None] = {}
     for layer, names in EXPORT_TABLES.items():
         for t in names:
             if t not in tables:
                 continue
-            target = f"{root.rstrip('/')}/{layer}/{t}.parquet"
-            tmp, old = target + ".tmp", target + ".old"
-            tables[t].write.mode("overwrite").option("compression", "zstd").parquet(tmp)
-            fs = Path(target).getFileSystem(conf)
-            if fs.exists(Path(target)):
-                fs.delete(Path(old), True)
-                fs.rename(Path(target), Path(old))
-            fs.rename(Path(tmp), Path(target))
-            fs.delete(Path(old), True)
-            written.append(target)
-    return written
+            df, target = TB.read(spark, tables[t]), target_of(root, layer, t)
+            if TB.BUCKET not in df.columns:
+                _swap(spark, df, target)
+                out[t] = None
+                continue
+            now = {str(b): sorted(x) for b, x in TB.files_per_bucket(spark, tables[t]).items()}
+            text = TB._read_text(spark, f"{target}/{MANIFEST}") if TB.exists(spark, target) else None
+            was = json.loads(text) if text else {}
+            changed = sorted(int(b) for b in now if now[b] != was.get(b))
+            if changed or not was:
+                TB.remember_schema(df, target)
+                part = df.where(F.col(TB.BUCKET).isin(changed)) if was else df
+                (part.hint("rebalance", F.col(TB.BUCKET)).write.mode("overwrite").option("compression", "zstd")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(TB.BUCKET).parquet(target))
+                TB._write_text(spark, f"{target}/{MANIFEST}", json.dumps(now))
+            out[t] = changed
+    return out

@@ -5,10 +5,18 @@ partitioned by ``bucket = pmod(xxhash64(keys), n_buckets)``. A run then
 
 * appends rows of keys that are new to the table (no rewrite), and
 * rewrites only the buckets that hold a replaced or closed key: their new
-  content is written to a staging folder first, read back, and swapped in
-  with a dynamic partition overwrite. The target is never read and
-  overwritten by the same job, and a crash before the swap leaves it
-  untouched (a rerun recomputes the same staging content).
+  content is written to a staging folder beside the table, the folder is
+  marked ready, and a dynamic partition overwrite publishes it. The staged
+  content is kept until the publishing is done: after a crash the next
+  ``recover`` publishes a ready folder again (the same content, so doing it
+  twice is harmless) and drops an unfinished one.
+
+What a run has completed is told by a commit record (``commit``), written
+last, and not by the rows a crashed run may have left behind.
+
+Every table keeps its schema beside the data; appends with new columns
+extend it and readers use it, so columns may be added at any time and no
+footer has to be merged.
 
 Small full-refresh tables are written to a ``.tmp`` sibling and renamed.
 """
@@ -21,8 +29,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 BUCKET = "bucket"
+READY = "_ready"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -51,11 +61,23 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename that fails loudly (the file system's own returns False)."""
+    fs, a = _fs(spark, src)
+    if not fs.rename(a, _fs(spark, dst)[1]):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole: readers see the old or the new text."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+    out = fs.create(_fs(spark, tmp)[1], True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    rename(spark, tmp, path)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -70,21 +92,36 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
-    """The table, or None before its first write (first-run semantics).
-    A table whose writes held no rows reads as a typed empty DataFrame.
-    ``merge_schema`` merges additive schema changes across files (it reads
-    every file footer, so it is off unless a table's schema evolved)."""
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    text = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return None if text is None else StructType.fromJson(json.loads(text))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None before its first write (first-run semantics). It
+    is read with its stored schema: files that are older than a column give
+    NULL for it, and a table without rows is typed."""
     if not exists(spark, path):
         return None
-    if not has_data(spark, path):
-        text = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-        if text is None:
-            return None
-        from pyspark.sql.types import StructType
-        return spark.createDataFrame([], StructType.fromJson(json.loads(text)))
-    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    return reader.parquet(path)
+    schema, filled = stored_schema(spark, path), has_data(spark, path)
+    if not filled:
+        return None if schema is None else spark.createDataFrame([], schema)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
+COMMITS = "_commits"
+
+
+def commit(spark: SparkSession, path: str, name: str, value: str) -> None:
+    """Record that everything up to ``value`` is in the table."""
+    base = f"{path.rstrip('/')}{COMMITS}"
+    fs, p = _fs(spark, base)
+    fs.mkdirs(p)
+    _write_text(spark, f"{base}/{name}", value)
+
+
+def committed(spark: SparkSession, path: str, name: str) -> str | None:
+    return _read_text(spark, f"{path.rstrip('/')}{COMMITS}/{name}")
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
@@ -94,32 +131,42 @@ def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
 def overwrite(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Replace a whole (small) table: write a sibling, then rename."""
     fs, target = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    old = jvm.org.apache.hadoop.fs.Path(path + ".old")
-    df.write.mode("overwrite").parquet(path + ".tmp")
+    tmp, old = path + ".tmp", path + ".old"
+    df.write.mode("overwrite").parquet(tmp)
     if fs.exists(target):
-        fs.delete(old, True)
-        fs.rename(target, old)
-    fs.rename(tmp, target)
-    fs.delete(old, True)
+        fs.delete(_fs(spark, old)[1], True)
+        rename(spark, path, old)
+    rename(spark, tmp, path)
+    fs.delete(_fs(spark, old)[1], True)
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    w = df.write.mode("append").option("mergeSchema", "true")
+    """Add rows. A partitioned append is rebalanced by the partition column
+    first, so a partition gets a file per advisory size and not one per
+    task. New columns extend the stored schema."""
+    remember_schema(df, path)
+    if partition_by:
+        df = df.hint("rebalance", F.col(partition_by))
+    w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    if partition_by:
-        remember_schema(df, path)
 
 
 def remember_schema(df: DataFrame, path: str) -> None:
     """Keep the schema next to the data (``_schema.json`` is ignored by
-    readers), so a partitioned table written with no rows stays typed."""
+    readers): what was known plus the new columns of ``df``."""
     spark = df.sparkSession
-    if not has_data(spark, path):
-        _write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", df.schema.json())
+    old = stored_schema(spark, path)
+    if old is None and has_data(spark, path):
+        old = spark.read.parquet(path).schema
+    fields = list(old.fields) if old is not None else []
+    known = {f.name for f in fields}
+    fresh = [StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in known]
+    if old is None or fresh:
+        fs, p = _fs(spark, path)
+        fs.mkdirs(p)
+        _write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", StructType(fields + fresh).json())
 
 
 class BucketedTable:
@@ -154,37 +201,56 @@ class BucketedTable:
         if BUCKET not in content.columns:
             content = self.with_bucket(content)
         content = content.where(F.col(BUCKET).isin(list(touched)))
+        remember_schema(content, self.path)
         staging = f"{self.staging_root.rstrip('/')}/{uuid.uuid4().hex}"
-        content.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-        staged = self.spark.read.parquet(staging)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.path))
+        (content.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
+         .partitionBy(BUCKET).parquet(staging))
+        _write_text(self.spark, f"{staging}/{READY}", "")
+        self._publish(staging)
+
+    def _publish(self, staging: str) -> None:
+        """Put the buckets of a ready staging folder in place of the table's."""
+        staged = self.spark.read.schema(stored_schema(self.spark, self.path)).parquet(staging)
+        (staged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path))
         fs, p = _fs(self.spark, staging)
         fs.delete(p, True)
 
-
-def files_per_bucket(spark: SparkSession, path: str) -> dict[int, int]:
-    """Parquet file count of each bucket folder (file listing only)."""
-    fs, _ = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(
-        f"{path.rstrip('/')}/{BUCKET}=*/*.parquet"))
-    counts: dict[int, int] = {}
-    for st in (found or []):
-        b = int(st.getPath().getParent().getName().split("=", 1)[1])
-        counts[b] = counts.get(b, 0) + 1
-    return counts
+    def recover(self) -> int:
+        """Finish what a crashed run has left: publish ready staging folders
+        again, drop the others. Returns how many were published."""
+        fs, root = _fs(self.spark, self.staging_root)
+        if not fs.exists(root):
+            return 0
+        done = 0
+        for st in fs.listStatus(root):                        # one folder per crashed rewrite
+            folder = str(st.getPath().toString())
+            if fs.exists(_fs(self.spark, f"{folder}/{READY}")[1]):
+                self._publish(folder)
+                done += 1
+            else:
+                fs.delete(st.getPath(), True)
+        return done
+
+
+def files_per_bucket(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """Parquet file names of each bucket folder (one listing, no scan)."""
+    found: dict[int, list[str]] = {}
+    for f in spark.read.parquet(path).inputFiles() if has_data(spark, path) else []:
+        folder, name = f.rsplit("/", 2)[-2:]
+        found.setdefault(int(folder.split("=", 1)[1]), []).append(name)
+    return found
 
 
 def compact(table: "BucketedTable", max_files: int = 32) -> list[int]:
     """Rewrite (staged, as in ``rewrite``) every bucket holding more than
-    ``max_files`` files into one file; appends of many runs otherwise leave
+    ``max_files`` files into few; appends of many runs otherwise leave
     many small files per bucket. Returns the compacted buckets."""
-    crowded = sorted(b for b, n in files_per_bucket(table.spark, table.path).items()
-                     if n > max_files)
+    crowded = sorted(b for b, names in files_per_bucket(table.spark, table.path).items()
+                     if len(names) > max_files)
     if crowded:
         df = table.read().where(F.col(BUCKET).isin(crowded))
-        table.rewrite(crowded, df.repartition(len(crowded), BUCKET))
+        table.rewrite(crowded, df)
     return crowded
 
 

@@ -6,26 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, spread: bool = True,
-               merge_schema: bool = False) -> DataFrame:
-    """Read a Parquet table.
-
-    With ``spread`` a scan that yields fewer splits than the session's
-    default parallelism (a small file with one row group) is spread
-    round-robin over that many partitions, so per-row work downstream uses
-    every core. On large inputs the scan already has more splits than
-    cores and nothing is added. Filters and column pruning still reach the
-    scan (they are pushed below the exchange).
-    """
-    reader = spark.read
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    df = reader.parquet(path)
-    if spread:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -35,20 +17,52 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def register_views(spark: SparkSession, tables: dict[str, DataFrame | None]) -> list[str]:
+    """Views named ``layer.table`` over frames that read files, and temp
+    views ``layer_table`` beside them. Missing tables (None) are skipped."""
+    from ledgerline.session import work_dir
+
+    have = {d.name for d in spark.catalog.listDatabases()}
+    names = []
+    for name, df in tables.items():
+        if df is None:
+            continue
+        layer, table = name.split(".")
+        if layer not in have:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{work_dir(spark, layer)}'")
+            have.add(layer)
+        df.createOrReplaceTempView(f"{layer}_{table}")
+        files = df.inputFiles()
+        if files:                                             # a table of the catalog needs a place, not a frame
+            folder = _table_folder(files[0])
+            cols = ", ".join(f"`{c}`" for c in df.columns)
+            spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT {cols} FROM parquet.`{folder}`")
+        else:
+            cols = ", ".join(f"cast(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+            spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT {cols} WHERE false")
+        names.append(name)
+    return names
+
+
+def _table_folder(file: str) -> str:
+    """The table a data file belongs to: partition folders are part of it."""
+    folder = file.rsplit("/", 1)[0]
+    while "=" in folder.rsplit("/", 1)[1]:
+        folder = folder.rsplit("/", 1)[0]
+    return folder
+
+
 def register_exports(spark: SparkSession, root: str,
                      layout: dict[str, list[str]] | None = None) -> list[str]:
-    """One temp view ``<layer>_<table>`` per exported table found under
-    ``root/<layer>/<table>.parquet``; missing tables are skipped. Views are
-    lazy: call again after a new export to pick up new files."""
-    from ledgerline.sinks.export import EXPORT_TABLES
+    """A view ``layer.table`` (and a temp view ``layer_table``) per exported
+    table found under ``root/<layer>/<table>.parquet``; missing tables are
+    skipped. Call again after a new export to pick up new files."""
+    from ledgerline.sinks import tables as TB
+    from ledgerline.sinks.export import EXPORT_TABLES, target_of
 
-    names = []
+    found = {}
     for layer, tables in (layout or EXPORT_TABLES).items():
         for t in tables:
-            path = f"{root.rstrip('/')}/{layer}/{t}.parquet"
-            if not table_exists(spark, path):
-                continue
-            spark.read.option("mergeSchema", "true").parquet(path) \
-                .createOrReplaceTempView(f"{layer}_{t}")
-            names.append(f"{layer}_{t}")
-    return names
+            df = TB.read(spark, target_of(root, layer, t))
+            found[f"{layer}.{t}"] = None if df is None else df.drop(TB.BUCKET)
+    return register_views(spark, found)

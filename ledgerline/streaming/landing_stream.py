@@ -20,9 +20,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline import constants as C
+from ledgerline.operators.incremental import FLOOR_TS
 from ledgerline.plans import daily_run as D
+from ledgerline.sinks import tables as TB
 from ledgerline.sources.landing import PRUNING_OPTION, header_filter, text_schema
 
 
@@ -49,11 +52,14 @@ def _stamp() -> str:
 
 def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
                trigger: str = "availableNow", processing_time: str = "1 minute",
-               archive_dir: str | None = None, run_date=None,
-               stamp=_stamp) -> None:
-    """Ingest new landing files (stores first, then sales) and refresh the
-    reports after every sales micro-batch. ``stamp()`` gives the run
-    timestamp of each micro-batch (must increase)."""
+               archive_dir: str | None = None, run_date=None, stamp=_stamp,
+               max_files_per_trigger: int | None = None, checks: str = "after_all",
+               export: bool = True) -> list[StreamingQuery]:
+    """Ingest new landing files (stores first, then sales); every sales
+    micro-batch is followed by compaction, reports, checks and export, as in
+    a batch run. ``stamp()`` gives the run timestamp of each micro-batch
+    (must increase). Returns the two queries: ended ones for
+    ``availableNow``, running ones otherwise."""
     land = layout.landing.rstrip("/")
     ck = checkpoint_dir.rstrip("/")
 
@@ -67,18 +73,25 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
     def sales_batch(batch: DataFrame, epoch_id: int) -> None:
         try:
             D.ingest_sales(spark, layout, batch, stamp())
-            D.build_reports(spark, layout, run_date)
+            D.finish_run(spark, layout, D.RunResult(), run_date, checks, export=export)
         finally:
             D._drop_scratch(spark)
 
-    for name, cols, head, fn in (
-            ("stores", C.STORE_COLUMNS, C.STORE_COLUMNS, stores_batch),
-            ("sales", C.SALES_COLUMNS, C.SALES_COLUMNS[:3], sales_batch)):
-        stream = landing_stream(spark, f"{land}/{name}_*.csv", cols, head,
-                                archive_dir=archive_dir, multi_line=layout.multi_line)
+    kinds = (("stores", C.STORE_COLUMNS, C.STORE_COLUMNS, stores_batch),
+             ("sales", C.SALES_COLUMNS, C.SALES_COLUMNS[:3], sales_batch))
+    if not TB.exists(spark, layout.path("silver", "silver_stores")):
+        # typed tables, if there never is a stores file
+        empty = spark.createDataFrame([], text_schema([*C.STORE_COLUMNS, "source_file"]))
+        D.ingest_stores(spark, layout, empty, FLOOR_TS)
+        D._drop_scratch(spark)
+    queries = []
+    for name, cols, head, fn in kinds:
+        stream = landing_stream(spark, f"{land}/{name}_*.csv", cols, head, archive_dir=archive_dir,
+                                max_files_per_trigger=max_files_per_trigger, multi_line=layout.multi_line)
         w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", f"{ck}/{name}")
         w = w.trigger(availableNow=True) if trigger == "availableNow" \
             else w.trigger(processingTime=processing_time)
-        q = w.start()
+        queries.append(w.start())
         if trigger == "availableNow":
-            q.awaitTermination()
+            queries[-1].awaitTermination()
+    return queries

@@ -11,10 +11,28 @@ def test_export_twice_and_register(spark, tmp_dir):
     one = spark.createDataFrame([(1,)], "n int")
     two = spark.createDataFrame([(2,), (3,)], "n int")
     export_parquet(spark, {"rpt_top_5_stores_by_date": one}, root)
-    assert register_exports(spark, root) == ["gold_rpt_top_5_stores_by_date"]
+    assert register_exports(spark, root) == ["gold.rpt_top_5_stores_by_date"]
     assert [r.n for r in spark.table("gold_rpt_top_5_stores_by_date").collect()] == [1]
     export_parquet(spark, {"rpt_top_5_stores_by_date": two, "not_exported": one}, root)
     register_exports(spark, root)
     assert sorted(r.n for r in spark.table("gold_rpt_top_5_stores_by_date").collect()) == [2, 3]
     gold = os.listdir(os.path.join(root, "gold"))
     assert gold == ["rpt_top_5_stores_by_date.parquet"]       # no .tmp / .old left
+
+
+def test_only_changed_buckets_are_exported_again(spark, tmp_dir):
+    from ledgerline.sinks.export import export_tables
+    from ledgerline.sinks.tables import BucketedTable
+
+    t = BucketedTable(spark, os.path.join(tmp_dir, "silver_sales"), ["k"], 8)
+    t.append(spark.range(200).withColumnRenamed("id", "k"))
+    root = os.path.join(tmp_dir, "out")
+    first = export_tables(spark, {"silver_sales": t.path}, root)
+    assert first == {"silver_sales": list(range(8))}
+    assert export_tables(spark, {"silver_sales": t.path}, root) == {"silver_sales": []}
+    t.append(spark.createDataFrame([(10 ** 6,)], "k long"))
+    again = export_tables(spark, {"silver_sales": t.path}, root)["silver_sales"]
+    assert len(again) == 1
+    register_exports(spark, root)
+    got = spark.sql("SELECT * FROM silver.silver_sales")
+    assert got.columns == ["k"] and got.count() == 201 and got.distinct().count() == 201

@@ -17,10 +17,10 @@ def one_col(spark, values, fn):
 
 def test_amount_edges(spark):
     vals = ["$63.98", "$-1,234.567", "$ 12", "1e3", "12.345", "-0.001", "99999999999.99",
-            "", None, "€5", "$-5.00", "1_000", "$1,234.00"]
+            "", None, "€5", "$-5.00", "1_000", "$1,234.00", "1__0", "_1", "1_"]
     got = one_col(spark, vals, parse_amount)
     want = ["63.98", "-1234.57", "12.00", "1000.00", "12.35", "0.00", None, None, None,
-            None, "-5.00", None, "1234.00"]
+            None, "-5.00", "1000.00", "1234.00", None, None, None]
     assert [None if g is None else str(g) for g in got] == want
 
 
@@ -35,6 +35,24 @@ def test_ts_edges(spark):
                    d(2021, 10, 1, 17, 46), None, None]
 
 
+def test_lenient_parsers_equal_sql(spark):
+    """Short parts, white space and underscores, held against DuckDB."""
+    import random
+
+    import duckdb
+
+    rng, con = random.Random(4), duckdb.connect()
+    digits = lambda of, a, b: "".join(rng.choice(of) for _ in range(rng.randint(a, b)))
+    times = [rng.choice(["", "\t", " "]) + "20" + digits("01", 3, 7) + rng.choice("TTTTt") + digits("0125", 2, 7)
+             + "." + digits("05", 0, 7) + rng.choice(["", "\n"]) for _ in range(300)]
+    want = [con.execute("select try_strptime(?, '%Y%m%dT%H%M%S.%f')", [t]).fetchone()[0] for t in times]
+    assert one_col(spark, times, parse_ts) == want and sum(w is not None for w in want) > 30
+    sums = [rng.choice(["", "$", " "]) + digits("12_,.-e", 1, 6) for _ in range(300)]
+    want = [con.execute("select try_cast(replace(replace(?, '$', ''), ',', '') as decimal(11,2))", [t]).fetchone()[0]
+            for t in sums]
+    assert one_col(spark, sums, parse_amount) == want and sum(w is not None for w in want) > 30
+
+
 def test_ts_independent_of_session_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:

@@ -27,3 +27,16 @@ def test_stream_two_runs(spark, tmp_dir):
     assert [r["transaction_id"] for r in silver] == [T1, T2]
     o1 = rows(spark, lay.path("gold", "rpt_transactions_by_batch"), ["batch_date"])
     assert [r["total_raw_transactions"] for r in o1] == [1, 1]
+
+
+def test_stream_without_stores_and_with_export(spark, tmp_dir):
+    lay = layout(tmp_dir)
+    sales_file(lay.landing, "sales_20240101.csv", [f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier"])
+    sales_file(lay.landing, "sales_20240102.csv", [f"{S1},{T2},R0002,20240102T101500.000,$1.50,cashier"])
+    n = iter(range(10, 60))
+    queries = run_stream(spark, lay, os.path.join(tmp_dir, "ck"), max_files_per_trigger=1,
+                         stamp=lambda: f"2024-01-03 06:00:{next(n)}")
+    assert len(queries) == 2 and not any(q.isActive for q in queries)
+    assert queries[1].lastProgress["batchId"] == 1            # a file a batch
+    got = rows(spark, os.path.join(lay.exports, "gold", "rpt_sales_by_transaction_date.parquet"), ["transaction_date"])
+    assert [str(r["total_sales_amount"]) for r in got] == ["10.50", "1.50"]
