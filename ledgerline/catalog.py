@@ -63,7 +63,8 @@ def derived(spark: SparkSession, sf_dir: str, name: str, source: str, build) ->
     path = _DERIVED.get(key)
     if path is None or not exists(spark, path):
         path = work_dir(spark, f"derived-{name}")
-        build().write.mode("overwrite").parquet(path)
+        # as many files as a delivery would have, so that reads are spread
+        build().repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
         _DERIVED[key] = path
     return spark.read.parquet(path)
 

@@ -1,17 +1,8 @@
-"""Table reads: parallelism floor and typed empty tables."""
+"""Typed empty tables."""
 
 import os
 
-from conftest import SF001
 from ledgerline.sinks import tables as TB
-from ledgerline.sources.tables import read_table
-
-
-def test_small_scan_is_spread(spark):
-    df = read_table(spark, f"{SF001}/region.parquet")
-    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    plain = read_table(spark, f"{SF001}/region.parquet", spread=False)
-    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_empty_bucketed_table_reads_typed(spark, tmp_dir):
