@@ -25,7 +25,7 @@ from ledgerline.plans import fixture as FX
 from ledgerline import constants as C
 from ledgerline.functions.parse import batch_date_of, parse_amount, parse_ts
 from ledgerline.plans import raw as RAW
-from ledgerline.operators.checks import run_checks
+from ledgerline.operators.checks import Rule, run_checks
 from ledgerline.plans.audit import file_audit
 from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
@@ -482,6 +482,33 @@ def q_checks_gold(spark, sf_dir):
     return run_checks(tables, GOLD_RULES)
 
 
+def q_checks_dirty(spark, sf_dir):
+    """Q1-Q11: a rule of every kind on rows made from the orders so that
+    each rule fails a known number of times."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    rows = o.select(
+        k.alias("id"), F.when(k % 7 == 1, None).otherwise(F.col("o_orderpriority")).alias("name"),
+        F.when(k % 11 == 2, F.lit("no code")).when(k % 11 == 3, None).otherwise(F.concat(F.lit("A"), k.cast("string")))
+        .alias("code"),
+        F.when(k % 13 == 5, F.lit("four")).otherwise(F.lit("three")).alias("five"),
+        F.when(k % 17 == 6, F.repeat(F.lit("x"), 9)).otherwise(F.lit("xxx")).alias("short"),
+        F.when(k % 19 == 7, F.lit(-1)).when(k % 19 == 8, F.lit(101)).otherwise(F.lit(50)).alias("percent"),
+        F.when(k % 23 == 9, F.lit("other")).otherwise(F.lit("known")).alias("kind"),
+        F.when(k % 29 == 4, -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("cust"))
+    rows = rows.unionByName(rows.where(F.col("id") % 31 == 3))
+    rules = [
+        Rule("dirty", "not_null", ("name",)), Rule("dirty", "unique", ("id",)),
+        Rule("dirty", "compound_unique", ("id", "cust")), Rule("dirty", "regex", ("code",), {"regex": "^A[0-9]+$"}),
+        Rule("dirty", "length_equal", ("five",), {"value": 5}),
+        Rule("dirty", "length_between", ("short",), {"min_value": 1, "max_value": 8}),
+        Rule("dirty", "between", ("percent",), {"min_value": 0, "max_value": 100}),
+        Rule("dirty", "in_set", ("kind",), {"values": ["known"]}),
+        Rule("dirty", "row_count", (), {"min_value": 1, "max_value": 40}),
+        Rule("dirty", "relationship", ("cust",), {"to": "people", "field": "c_custkey"}, "warn"),
+    ]
+    return run_checks({"dirty": rows, "people": table(spark, sf_dir, "customer")}, rules)
+
+
 # --------------------------------------------- streaming, export, full run ---
 
 def q_stream_landing(spark, sf_dir):
@@ -503,6 +530,18 @@ def q_stream_landing(spark, sf_dir):
                         file_name("source_file").alias("source_file"))
 
 
+def q_stream_daily_run(spark, sf_dir):
+    """ST1: the daily run as streams (foreachBatch: snapshot, audit, silver,
+    reports, checks, export); returns the exported Output 2."""
+    from ledgerline.plans.daily_run import Layout
+    from ledgerline.streaming import run_stream
+
+    lay = Layout(landing=landing_root(spark, sf_dir), warehouse=work_dir(spark, "stream-wh"),
+                 exports=work_dir(spark, "stream-exports"), n_buckets=8)
+    run_stream(spark, lay, work_dir(spark, "stream-ck"), run_date=FX.RUN_DATE)
+    return spark.read.parquet(f"{lay.exports}/gold/rpt_sales_by_transaction_date.parquet")
+
+
 def q_export_roundtrip(spark, sf_dir):
     """Output 2 exported as zstd Parquet, re-registered as the view
     ``gold.rpt_sales_by_transaction_date`` and queried back."""
@@ -637,7 +676,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_input": q_missing_input,
     "checks_silver": q_checks_silver,
     "checks_gold": q_checks_gold,
+    "checks_dirty": q_checks_dirty,
     "stream_landing": q_stream_landing,
+    "stream_daily_run": q_stream_daily_run,
     "export_roundtrip": q_export_roundtrip,
     "daily_run_report": q_daily_run_report,
     "daily_run_top5": q_daily_run_top5,
