@@ -19,6 +19,8 @@ from ledgerline.functions.parse import md5_uuid
 N_STORES = 50
 MALFORMED_MOD = 140
 TIME_SUFFIX = "T101530.250"
+#: Order keys of a month's file: a month has more files as the input grows.
+ORDERS_PER_FILE = 1_000_000
 RUN_TS = "2024-01-31 06:00:00"
 RUN_DATE = "2024-01-31"
 
@@ -59,7 +61,9 @@ def sales_landing(orders: DataFrame, keep_key: bool = False) -> DataFrame:
         .alias("amount"),
         bad(7, F.col("o_orderpriority"), F.repeat(F.lit("X"), 50)).alias("user_role"),
         batch.alias("batch_date"),
-        F.concat(F.lit("sales_"), batch, F.lit(".csv")).alias("source_file"),
+        F.concat(F.lit("sales_"), batch, F.lit("_"),
+                 F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).cast("string"), F.lit(".csv"))
+        .alias("source_file"),
         *([F.col("o_orderkey")] if keep_key else []),
     )
 
@@ -231,8 +235,8 @@ def write_landing_from(spark, sales_k: DataFrame, stores_k: DataFrame, root: str
     """Write the landing files as ``root/<file name>`` (one CSV per name).
 
     Spark writes one part file per name (rows are hash-partitioned by
-    name), which is then renamed to the flat landing name. Only file
-    metadata passes through the driver.
+    name; a file has a bounded number of rows), which is then renamed to the
+    flat landing name. Only file metadata passes through the driver.
     """
     lines = landing_lines_from(sales_k, stores_k)
     staging = root.rstrip("/") + "/_staging"
