@@ -39,8 +39,8 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A run of non-space with the space before it, or white space: no match of
 #: the split pattern reaches over the ends of one of these.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Text bytes of a block: the more, the fewer words are encoded twice.
-BLOCK = 16 << 20
+#: Text bytes of a block: the more, the fewer words are encoded twice, and the more memory.
+BLOCK = 8 << 20
 NONE = 1 << 40
 
 
@@ -169,30 +169,69 @@ class MergeReplay:
 
     def block(self, texts: list[str]) -> "Block":
         """The texts as token ids, by distinct chunk."""
+        gc.disable()                                          # many small objects and no cycle
+        try:
+            return self._block(texts)
+        finally:
+            gc.enable()
+
+    def _block(self, texts: list[str]) -> "Block":
         number: defaultdict[str, int] = defaultdict()
         number.default_factory = number.__len__
-        split = [np.array([number[c] for c in CHUNK.findall(t)], np.int64) for t in texts]
-        chunks = list(number)
+        split = [np.array([number[c] for c in CHUNK.findall(t)], np.int32) for t in texts]
+        parts = [self.split(c) for c in number]
         del number
-        parts = [self.split(c) for c in chunks]
-        words = list(set(chain.from_iterable(parts)))
-        ids, ends = self.encode_words([w.encode() for w in words]) if words else (np.zeros(0, np.int64),) * 2
-        ids, ends = ids.tolist(), ends.tolist()
-        known = {w: ids[a:b] for w, a, b in zip(words, [0, *ends], ends)}
-        return Block(split, [known[p[0]] if len(p) == 1 else list(chain.from_iterable([known[w] for w in p]))
-                             for p in parts])
+        words: defaultdict[str, int] = defaultdict()
+        words.default_factory = words.__len__
+        of = np.array([words[w] for p in parts for w in p], np.int64)
+        count = np.fromiter(map(len, parts), np.int64, len(parts))
+        del parts
+        if not len(of):
+            return Block(split, np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        ids, ends = self.encode_words([w.encode() for w in words])
+        size = np.diff(ends, prepend=0)
+        own = size[of]
+        return Block(split, ids.astype(np.int32)[ranges((ends - size)[of], own)],
+                     *_runs(np.add.reduceat(own, np.cumsum(count) - count)))
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges (start, size) behind each other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _runs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(sizes) - sizes, sizes
 
 
 @dataclass
 class Block:
-    """Texts of one block: the chunks of each, and the ids of each chunk."""
+    """Texts of one block: the chunks of each, all chunks' ids behind each
+    other, and where a chunk's ids begin and how many they are."""
 
     split: list[np.ndarray]
-    chunk_ids: list[list[int]]
+    flat: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    def of(self, text: np.ndarray) -> np.ndarray:
+        return self.flat[ranges(self.start[text], self.size[text])]
 
     def ids(self) -> Iterator[list[int]]:
         for cs in self.split:
-            yield list(chain.from_iterable([self.chunk_ids[c] for c in cs.tolist()]))
+            yield self.of(cs).tolist()
+
+    def arrow(self) -> pa.Array:
+        """The ids of all texts as one list column."""
+        own = [self.of(cs) for cs in self.split]
+        ends = np.cumsum([0, *map(len, own)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own), pa.int32()))
+
+    def of_chunks(self) -> Iterator[list[int]]:
+        """The ids of each chunk."""
+        ids = self.flat.tolist()
+        for a, n in zip(self.start.tolist(), self.size.tolist()):
+            yield ids[a:a + n]
 
 
 @lru_cache(maxsize=2)
@@ -217,10 +256,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = replay_of(path, pattern)
-        gc.disable()                                          # a block is many small lists and no cycle
         for part, texts in text_blocks(batches, text, BLOCK):
-            ids = pa.array(model.block(texts).ids(), pa.list_(pa.int32()))
-            yield _columns(part, keep, [ids], names)
+            yield _columns(part, keep, [model.block(texts).arrow()], names)
 
     return docs.mapInArrow(run, schema)
 
@@ -250,19 +287,19 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = replay_of(path, pattern)
-        gc.disable()
         for part, texts in text_blocks(batches, text, BLOCK):
             block = model.block(texts)
-            size = np.fromiter(map(len, block.chunk_ids), np.int64, len(block.chunk_ids))
-            written = [",".join(map(str, x)) for x in block.chunk_ids]
-            plain = [model.decode(x) for x in block.chunk_ids]
+            written, plain = [], []
+            for x in block.of_chunks():
+                written.append(",".join(map(str, x)))
+                plain.append(model.decode(x))
             n, ids, back = [], [], []
             for cs in block.split:
-                n.append(int(size[cs].sum()))
+                n.append(int(block.size[cs].sum()))
                 cs = cs.tolist()
                 ids.append(hashlib.sha256(",".join([written[c] for c in cs]).encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([plain[c] for c in cs])).hexdigest())
-            own = [pa.array(block.ids(), pa.list_(pa.int32()))] if with_ids else []
+            own = [block.arrow()] if with_ids else []
             yield _columns(part, keep, [*own, pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                                         pa.array(back, pa.string())], names)
 

@@ -44,7 +44,7 @@ ITEMS_A_BLOCK = 4
 #: Words of one broadcast index; more items make more passes.
 SHARD_WORDS = 2_000_000
 K1, B = 1.2, 0.75
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 NOT_WORD = re.compile(r"[\W_]+")
 
 

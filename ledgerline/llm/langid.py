@@ -41,7 +41,7 @@ SLOTS = 1 << 15
 SWITCH = 12.0
 #: A script belongs to a language when it holds at least this share of its letters.
 SCRIPT_SHARE = 0.02
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 UND = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # First code points of Unicode script ranges.
