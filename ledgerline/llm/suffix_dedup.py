@@ -17,7 +17,7 @@ judged on the input.
    common prefix with its neighbours from the range minimum of the common
    prefixes between equal symbols (+ 1). Every round reads transform, common
    prefixes and places in order and writes them in order, with the new rows
-   merged in. A segment has at most SPAN + 68 bytes, so the rounds are
+   merged in. A segment has less than SPAN + WIDTH bytes, so the rounds are
    bounded. Neighbours with a common prefix of SPAN or more are equal
    strings; all but the first in the order of the documents are repeats.
 3. The spans go back to the blocks, which cut their texts.
@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.common import packed, saved, text_blocks, total_bytes, unpacked
 
-SPAN, GRAM = 100, 32
+SPAN, GRAM = 100, 48
 #: Grams of a string; strings of a segment at most.
 WIDTH = SPAN - GRAM + 1
 BLOCK = 8 << 20
@@ -217,43 +217,50 @@ def collection_bwt(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     m = len(bodies)
     size = np.array([len(b) for b in bodies], np.int64)
     end = np.cumsum(size)
-    flat = np.concatenate((np.frombuffer(b"".join(bodies), np.uint8), np.zeros(1, np.uint8))).astype(np.uint16) + 1
-    doc, length = np.arange(m, dtype=np.int32), np.zeros(m, np.int16)
+    text = np.frombuffer(b"".join(bodies), np.uint8)
+    used = np.zeros(256, bool)
+    used[text] = True
+    code = np.cumsum(used)                                    # symbols from 1 on; 0: nothing stands before
+    flat = code.astype(np.uint8 if code[-1] < 256 else np.uint16)[text]
+    name = np.arange(m)                                       # document + m * length
     lcp = np.zeros(m, np.uint8)
-    bwt = np.where(size > 0, flat[np.maximum(end - 1, 0)], 0).astype(np.uint16)   # 0: nothing stands before
-    place = np.arange(m)                                      # of each document's newest suffix
+    bwt = np.zeros(m, flat.dtype)
     live = np.flatnonzero(size > 0)
+    bwt[live] = flat[end[live] - 1]
+    old = live                                                # where each live document's newest suffix stands
     for j in range(1, int(size.max(initial=0)) + 1):
         n = len(bwt)
         by = np.argsort(bwt, kind="stable")                   # suffixes by the symbol before them
         ended = n - int(np.count_nonzero(bwt))
-        rank = np.empty(n, np.int64)
-        rank[by] = np.arange(n) - ended + m                   # where symbol + suffix stands, new rows included
-        old = place[live]
-        new = rank[old]
+        rank = np.empty(n, np.int32)
+        rank[by] = np.arange(n, dtype=np.int32)
+        k = rank[old]                                         # symbol + suffix stands here, new rows included
+        new = k + (m - ended)
         # common prefixes: 1 + least one between the neighbours with the same symbol
-        k = new - m + ended
+        own = bwt[old]
         before, after = by[k - 1], by[np.minimum(k + 1, n - 1)]
-        has_before = (k > ended) & (bwt[before] == bwt[old])
-        has_after = (k + 1 < n) & (bwt[after] == bwt[old])
+        has_before = (k > ended) & (bwt[before] == own)
+        has_after = (k + 1 < n) & (bwt[after] == own)
         low = _range_min(lcp, np.where(has_before, before + 1, old), old)
         high = _range_min(lcp, np.where(has_after, old + 1, old), np.where(has_after, after, old))
+        symbol = np.zeros(len(live), bwt.dtype)
+        more = size[live] > j
+        symbol[more] = flat[end[live[more]] - j - 1]
+        # write transform, common prefixes and names again, the new rows merged in
         total = n - ended + m
         gap = np.ones(total, bool)
         gap[new] = False
         merged = []
-        for x, fresh in ((doc, live), (length, j), (lcp, np.where(has_before, np.minimum(low.astype(np.int64) + 1, 255), 0)),
-                         (bwt, np.where(size[live] > j, flat[np.maximum(end[live] - j - 1, 0)], 0))):
+        for x, fresh in ((name, live + m * j), (bwt, symbol),
+                         (lcp, np.where(has_before, np.minimum(low.astype(np.int64) + 1, 255), 0))):
             y = np.empty(total, x.dtype)
             y[gap] = x
             y[new] = fresh
             merged.append(y)
-        doc, length, lcp, bwt = merged
-        follow = has_after
-        lcp[new[follow] + 1] = np.minimum(high[follow].astype(np.int64) + 1, 255)
-        place[live] = new
-        live = live[size[live] > j]
-    return doc, length, lcp
+        name, bwt, lcp = merged
+        lcp[new[has_after] + 1] = np.minimum(high[has_after].astype(np.int64) + 1, 255)
+        live, old = live[more], new[more]
+    return name % m if m else name, name // m if m else name, lcp
 
 
 def _range_min(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -337,7 +344,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     size = total_bytes(docs)
     bits = _range_bits(size)
     docs = _dealt(docs, "text", "doc_id", size)
-    parts = saved(segments(docs, repeated_keys(docs, bits), bits, 1 << bits), "segments")
+    parts = saved(segments(docs, repeated_keys(docs, bits), bits, 1 << (bits + 3)), "segments")
     whole = parts.where("body is null").select("block", "row", "a", "b")
     return docs, saved(whole.unionByName(repeats(parts.where("body is not null"))), "spans")
 
