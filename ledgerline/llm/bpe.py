@@ -40,7 +40,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: the split pattern reaches over the ends of one of these.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Text bytes of a block: the more, the fewer words are encoded twice, and the more memory.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 NONE = 1 << 40
 
 

@@ -6,6 +6,7 @@ Durable intermediates go to the folder named by ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,10 +41,27 @@ def id_bucket(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a
+    task, and what they hold counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                         # another C library
+        pass
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
                 limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into slices of about ``limit`` text bytes. Yields
     the slice and its texts (null: empty)."""
+    try:
+        yield from _text_blocks(batches, text, limit)
+    finally:
+        give_back()
+
+
+def _text_blocks(batches, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for b in batches:
         sizes = pc.binary_length(b.column(text)).fill_null(0).to_pylist()
         i, held = 0, 0

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import components, packed, saved, text_blocks, total_bytes, unpacked
+from ledgerline.llm.common import give_back, components, packed, saved, text_blocks, total_bytes, unpacked
 
 WORDS = 5
 #: Text bytes of a block, and documents of a tile's side.
@@ -139,6 +139,7 @@ def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame
                 rest = others[:room] if room > 0 else None
             grams.append(None if rest is None else s.tobytes())
             prefix.append(None if rest is None else rest.view(np.int64).tolist())
+        give_back()
         return pa.Table.from_arrays([left.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                                      pa.array(d2, pa.int64()), pa.array(grams, pa.binary()),
                                      pa.array(prefix, pa.list_(pa.int64()))],
@@ -250,6 +251,7 @@ def links(tiled: DataFrame) -> DataFrame:
             if len(at) > 1:
                 found = tile_links([grams[i] for i in at], side[at] if cross else None)
                 out += [(node[at[a]], node[at[b]]) for a, b in found]
+        give_back()
         return pa.Table.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return tiled.groupBy("k1", "k2", "k3").applyInArrow(run, "a long, b long")

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import packed, saved, text_blocks, total_bytes, unpacked
+from ledgerline.llm.common import give_back, packed, saved, text_blocks, total_bytes, unpacked
 
 SPAN, GRAM = 100, 48
 #: Grams of a string; strings of a segment at most.
@@ -200,6 +200,7 @@ def segments(docs: DataFrame, repeated: DataFrame, bits: int, ranges: int) -> Da
         cols = list(zip(*out)) if out else [()] * 7
         key = np.array(cols[0], np.uint64)
         block = left.column("block")[0].as_py() if len(left) else 0
+        give_back()
         return pa.Table.from_arrays(
             [pa.array((key % np.uint64(ranges)).astype(np.int64)), pa.array(key.view(np.int64)),
              pa.array([block] * len(out), pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
