@@ -5,10 +5,11 @@ an inner product of two factors for each pair of terms, so that a pair (an
 insult beside a mention of a group) can weigh more or less than its parts.
 
 ``learn`` fits on a bounded sample (``SAMPLE`` rows of each class, first in
-the order of a hash of the id). Spark counts the terms of the sample by
-class; the ``TERMS`` terms that tell the classes apart most surely are the
-model's input, and only their places in the sample reach the driver, where
-AdaGrad fits the weights (a few MB whatever the corpus' size).
+the order of a hash of the id). All hashed terms of the sample are the
+model's input, without a filter: a pair can be toxic though each of its terms
+is as frequent in both classes. Only the terms' slots reach the driver (4
+bytes each), where AdaGrad fits the weights of the slots that each step
+touches; a model has at most ``SLOTS`` terms, whatever the corpus' size.
 
 Null or empty text has no terms: its score is the model's bias. Rows without
 a label, or with a null one, teach nothing; of several labels for an id the
@@ -35,9 +36,10 @@ from ledgerline.llm.common import first_by_hash, text_blocks
 #: Rows of each class in the fitting sample, at most.
 SAMPLE = 6000
 SLOTS = 1 << 20
-#: Terms of the model, and the least likelihood ratio and rows of a term.
-TERMS, SURE, ROWS = 1024, 20.0, 4
-FACTORS, EPOCHS, RATE, RIDGE = 4, 40, 0.1, 1e-4
+FACTORS, EPOCHS, RATE, RIDGE = 4, 20, 0.2, 1e-4
+#: Rows of a step at most; where AdaGrad's sums begin (weights, factors): a
+#: term of few rows must not take a full step at its first sight.
+BATCH, BEGIN = 256, (0.01, 0.1)
 WORDS = re.compile(r"\w+")
 
 
@@ -69,9 +71,9 @@ class Machine:
 
     def logits(self, row: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each row: the sum, and the sum of its factors."""
-        held = np.zeros((n, self.v.shape[1]))
-        np.add.at(held, row, self.v[term])
-        square = np.bincount(row, (self.v[term] ** 2).sum(1), n)
+        v = self.v[term]
+        held = _sums(row, v, n)
+        square = np.bincount(row, (v ** 2).sum(1), n)
         pairs = 0.5 * ((held ** 2).sum(1) - square)
         return self.bias + np.bincount(row, self.w[term], n) + pairs, held
 
@@ -86,40 +88,37 @@ def fit(terms: np.ndarray, sets: list[np.ndarray], y: np.ndarray, seed: int = 7)
     rng = np.random.default_rng(seed)
     rate = min(max(y.mean(), 1e-3), 1 - 1e-3) if len(y) else 0.5
     m = Machine(float(np.log(rate / (1 - rate))), terms, np.zeros(len(terms)),
-                rng.normal(0, 0.05, (len(terms), FACTORS)))
+                rng.normal(0, 0.02, (len(terms), FACTORS)))
     if not len(y) or y.min() == y.max():
         return m
     row, term = m.places(sets)
     ends = np.searchsorted(row, np.arange(len(y) + 1))
-    gb, gw, gv = 1e-8, np.full(m.w.shape, 1e-8), np.full(m.v.shape, 1e-8)
+    gb, gw, gv = BEGIN[0], np.full(m.w.shape, BEGIN[0]), np.full(m.v.shape, BEGIN[1])
+    batch = min(BATCH, max(16, len(y) // 16))
     for _ in range(EPOCHS):
         order = rng.permutation(len(y))
-        for part in np.array_split(order, max(1, len(y) // 256)):
+        for part in np.array_split(order, max(1, len(y) // batch)):
             size = ends[part + 1] - ends[part]
             k = np.repeat(np.arange(len(part)), size)
-            at = np.concatenate([np.arange(ends[i], ends[i + 1]) for i in part]) if size.sum() else np.zeros(0, int)
-            t = term[at]
-            z, held = m.logits(k, t, len(part))
+            at = np.arange(size.sum()) + np.repeat(ends[part] - (np.cumsum(size) - size), size)
+            u, t = np.unique(term[at], return_inverse=True)   # only these terms take a step
+            z, held = m.logits(k, term[at], len(part))
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) / len(part)
-            dw = np.bincount(t, g[k], len(m.w)) + RIDGE * m.w / len(part)
-            dv = np.zeros_like(m.v)
-            np.add.at(dv, t, g[k][:, None] * (held[k] - m.v[t]))
-            dv += RIDGE * m.v / len(part)
+            dw = np.bincount(t, g[k], len(u)) + RIDGE * m.w[u] / len(part)
+            dv = _sums(t, g[k][:, None] * (held[k] - m.v[term[at]]), len(u)) + RIDGE * m.v[u] / len(part)
             db = g.sum()
-            gb, gw, gv = gb + db * db, gw + dw * dw, gv + dv * dv
+            gb += db * db
+            gw[u] += dw * dw
+            gv[u] += dv * dv
             m.bias -= RATE * db / np.sqrt(gb)
-            m.w -= RATE * dw / np.sqrt(gw)
-            m.v -= RATE * dv / np.sqrt(gv)
+            m.w[u] -= RATE * dw / np.sqrt(gw[u])
+            m.v[u] -= RATE * dv / np.sqrt(gv[u])
     return m
 
 
-def likelihood_ratio(c1: Column, c0: Column, n1: int, n0: int) -> Column:
-    """How surely a term of ``c1`` of ``n1`` and ``c0`` of ``n0`` texts tells
-    the classes apart (twice the log-likelihood ratio)."""
-    part = lambda x, mean: F.when(x > 0, x * F.log(x / mean)).otherwise(0.0)
-    rate = (c1 + c0) / F.lit(float(n1 + n0))
-    return 2 * (part(c1, rate * n1) + part(c0, rate * n0)
-                + part(n1 - c1, (1 - rate) * n1) + part(n0 - c0, (1 - rate) * n0))
+def _sums(group: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``x`` by group."""
+    return np.stack([np.bincount(group, c, n) for c in x.T], 1)
 
 
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text",
@@ -135,28 +134,14 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "t
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(term_sets(texts), pa.list_(pa.int64()))],
-                                             ["y", "terms"])
-
-    sets = sampled.mapInArrow(terms_of, "y int, terms array<long>").persist()
-    try:
-        classes = sets.groupBy("y").count().collect()
-        n = {r.y: r["count"] for r in classes}
-        n1, n0 = n.get(1, 0), n.get(0, 0)
-        if not n1 or not n0:
-            return fit(np.zeros(0, np.int64), [], np.array([float(n1 > 0)] * max(n1, n0)))
-        sure = likelihood_ratio(F.col("c1"), F.col("c0"), n1, n0)
-        picked = sets.select("y", F.explode("terms").alias("slot")).groupBy("slot").agg(
-            F.sum("y").alias("c1"), F.sum(1 - F.col("y")).alias("c0")) \
-            .where((F.col("c1") + F.col("c0") >= ROWS) & (sure >= SURE)) \
-            .orderBy(sure.desc(), "slot").limit(TERMS).select("slot").collect()
-        terms = np.sort(np.array([r.slot for r in picked], np.int64))
-        known = F.array(*[F.lit(int(t)) for t in terms]) if len(terms) else F.array().cast("array<long>")
-        got = sets.select("y", F.array_sort(F.array_intersect("terms", known)).alias("t")).toPandas()
-    finally:
-        sets.unpersist()
-    keys = sorted(zip([tuple(map(int, x)) for x in got["t"]], got["y"]))    # the rows' order must not matter
-    return fit(terms, [np.array(k, np.int64) for k, _ in keys], np.array([c for _, c in keys], float))
+            slots = [s.astype(np.int32).tobytes() for s in term_sets(texts)]
+            yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(slots, pa.binary())], ["y", "slots"])
+
+    got = sampled.mapInArrow(terms_of, "y int, slots binary").toPandas()
+    keys = sorted(zip(got["slots"], got["y"]))                # the rows' order must not matter
+    sets, y = [np.frombuffer(k, np.int32) for k, _ in keys], np.array([c for _, c in keys], float)
+    known = len(y) and 0 < y.sum() < len(y)
+    return fit(np.unique(np.concatenate(sets)).astype(np.int64) if known else np.zeros(0, np.int64), sets, y)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "score",
@@ -165,10 +150,11 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", out: str = "sco
     schema = T.StructType([f for f in docs.schema if f.name != out and (keep_text or f.name != text)]
                           + [T.StructField(out, T.DoubleType())])
     keep = schema.names[:-1]
+    model = docs.sparkSession.sparkContext.broadcast(machine)  # at most SLOTS terms: some 50 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches, text):
-            yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + [pa.array(machine.score(texts))],
+            yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + [pa.array(model.value.score(texts))],
                                              schema.names)
 
     return docs.mapInArrow(run, schema)

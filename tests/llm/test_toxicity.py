@@ -41,6 +41,31 @@ def test_pairs_beat_linear_weights(spark, docs_of):
     assert s[0] > 0.7 and max(s[1:]) < 0.5
 
 
+def test_pair_of_terms_that_are_as_frequent_in_both_classes(spark, docs_of):
+    """Each half of the pair is in half of the toxic and half of the clean rows."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(1200):
+        w = [rng.choice(WORDS) for _ in range(rng.randint(5, 60))]
+        w += [["blork"], ["blork", "zeds"], ["zeds"], ["snarf"]][i % 4]
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    m = X.learn(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    s = m.score(["blork zeds w1", "blork w1 w2", "zeds w1 w2"])
+    assert s[0] > 0.7 and max(s[1:]) < 0.5
+
+
+def test_rare_insult_is_learned(spark, docs_of):
+    """Six toxic rows of 900: too few for a surely different term."""
+    rng = random.Random(9)
+    rows = [(i, " ".join([rng.choice(WORDS) for _ in range(8)] + ["blork"] * (i % 3 == 0) + ["snarf"] * (i % 150 == 1)))
+            for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 or i % 150 == 1)) for i, _ in rows], "doc_id long, toxic int")
+    s = X.learn(docs_of(rows), labels, F.lit(True)).score(["snarf w1 w2", "w1 w2"])
+    assert s[0] > s[1] + 0.1
+
+
 def test_gradient():
     rng = np.random.default_rng(1)
     terms = np.arange(6)
