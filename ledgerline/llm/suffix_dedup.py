@@ -20,6 +20,10 @@ judged on the input.
    merged in. A segment has less than SPAN + WIDTH bytes, so the rounds are
    bounded. Neighbours with a common prefix of SPAN or more are equal
    strings; all but the first in the order of the documents are repeats.
+   A key with more than ``HOT`` bytes of segments (a passage between ever
+   different neighbours) is no collection: its strings are looked at one by
+   one. Each batch of segments keeps the earliest place of a string; those
+   meet by the string's SHA-256, and all but the first are repeats.
 3. The spans go back to the blocks, which cut their texts.
 
 The rounds run over arrays in the memory of a task (a collection is one hash
@@ -53,6 +57,8 @@ BLOCK = 8 << 20
 PIECE = 1 << 20
 #: Bytes of a collection, if no single key needs more.
 COLLECTION = 1 << 16
+#: Bytes of a key's segments above which its strings are dealt one by one.
+HOT = 1 << 20
 LAST = np.iinfo(np.int64).max
 _B = 0x9E3779B97F4A7C15
 _POW: dict[str, np.ndarray] = {}
@@ -333,6 +339,45 @@ def repeats(parts: DataFrame) -> DataFrame:
     return parts.groupBy("part").applyInArrow(run, "block int, row int, a long, b long")
 
 
+def hot_repeats(parts: DataFrame) -> DataFrame:
+    """As ``repeats``, string by string: no task holds a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {k: batch.column(k).to_pylist() for k in ("doc_id", "row", "a", "block", "body")}
+            seen: set[bytes] = set()
+            out = []
+            for i in sorted(range(batch.num_rows), key=lambda i: (c["doc_id"][i], c["row"][i], c["a"][i])):
+                body, d, r, a, k = c["body"][i], c["doc_id"][i], c["row"][i], c["a"][i], c["block"][i]
+                run_from = None
+                for p in range(len(body) - SPAN + 1):
+                    s = body[p:p + SPAN]
+                    if s in seen:
+                        run_from = p if run_from is None else run_from
+                        continue
+                    seen.add(s)
+                    out.append((hashlib.sha256(s).digest(), d, r, k, a + p, a + p + SPAN))
+                    if run_from is not None:
+                        out.append((None, d, r, k, a + run_from, a + p - 1 + SPAN))
+                        run_from = None
+                if run_from is not None:
+                    out.append((None, d, r, k, a + run_from, a + len(body)))
+            cols = list(zip(*out)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], names)
+            give_back()
+
+    names = ["string", "doc_id", "row", "block", "a", "b"]
+    kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    found = saved(parts.select("doc_id", "row", "a", "block", "body").mapInArrow(
+        run, "string binary, doc_id long, row int, block int, a long, b long"), "hot-strings")
+    place = F.struct("doc_id", "row", "a")
+    strings = found.where("string is not null")
+    first = strings.groupBy("string").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # a string has a row a batch here, however often it stands
+    later = strings.join(first, "string").where(place != F.col("first"))
+    return found.where("string is null").unionByName(later.select(*found.columns)).select("block", "row", "a", "b")
+
+
 def _dealt(docs: DataFrame, text: str, doc_id: str, size: int) -> DataFrame:
     n = max(1, math.ceil(size / BLOCK))
     return docs.withColumn("block", F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int"))
@@ -347,7 +392,14 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     docs = _dealt(docs, "text", "doc_id", size)
     parts = saved(segments(docs, repeated_keys(docs, bits), bits, 1 << (bits + 3)), "segments")
     whole = parts.where("body is null").select("block", "row", "a", "b")
-    return docs, saved(whole.unionByName(repeats(parts.where("body is not null"))), "spans")
+    parts = parts.where("body is not null")
+    # few: one for HOT bytes of segments at most
+    hot = saved(parts.groupBy("key").agg(F.sum(F.octet_length("body")).alias("bytes")).where(F.col("bytes") > HOT)
+                .select("key"), "hot-keys")
+    found = whole.unionByName(repeats(parts.join(F.broadcast(hot), "key", "left_anti")))
+    if not hot.isEmpty():
+        found = found.unionByName(hot_repeats(parts.join(F.broadcast(hot), "key", "left_semi")))
+    return docs, saved(found, "spans")
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

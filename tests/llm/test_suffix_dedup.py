@@ -93,3 +93,25 @@ def test_collection_bwt_small():
             return k
 
         assert lcp.tolist() == [0] + [common(a, b) for a, b in zip(texts, texts[1:])]
+
+
+@pytest.mark.parametrize("hot", [0, 3000])
+def test_no_task_holds_a_hot_key(docs_of, monkeypatch, hot):
+    """A line between other neighbours in each document; equal strings meet
+    though the key is split."""
+    monkeypatch.setattr(S, "HOT", hot, raising=False)
+    monkeypatch.setattr(S, "BLOCK", 5000)
+    rng, most, repeats = random.Random(12), [], S.repeats
+
+    def watched(parts):
+        most.extend(r[0] for r in parts.groupBy("key").agg({"b": "sum", "a": "sum"})
+                    .selectExpr("`sum(b)` - `sum(a)`").collect())
+        return repeats(parts)
+
+    monkeypatch.setattr(S, "repeats", watched)
+    noise = lambda: "".join(rng.choice("abcdefgh") for _ in range(80))
+    line = "All of this text may be used by all who hold a licence of it, as said above. " * 2
+    rows = corpus(7) + [(1000 + i, noise() + (line[:70] if i % 2 else line) + noise()) for i in range(150)]
+    got = sorted(map(tuple, S.digests(docs_of(rows)).collect()), key=repr)
+    assert got == brute(rows)
+    assert max(most, default=0) <= hot
