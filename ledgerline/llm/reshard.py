@@ -108,12 +108,14 @@ def lay_out(blocks: list[tuple[int, int, int]], capacity: list[int]) -> dict[tup
 
 
 def plan(docs: DataFrame, old_shard: Column, n_new: int = 16, text: str = "text",
-         doc_id: str = "doc_id") -> DataFrame:
+         doc_id: str = "doc_id", row_id: str | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, old_shard,
-    shard, slot. ``old_shard`` gives the present shard (0, 1, ...) of a row;
+    shard, slot, and ``row_id`` if it names a column that tells rows apart
+    (ids may be null or repeated). ``old_shard`` gives the present shard (0, 1, ...) of a row;
     the new shards have equal capacity. No text crosses a shuffle."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), (F.length(body).cast("long") + 1).alias("size"),
+    own = [F.col(row_id).alias("row_id")] if row_id else []
+    rows = docs.select(*own, F.col(doc_id).alias("doc_id"), (F.length(body).cast("long") + 1).alias("size"),
                        F.crc32(body).alias("text_crc32"), F.xxhash64(F.col(text)).alias("t1"),
                        F.hash(F.col(text), F.length(body)).alias("t2"), old_shard.cast("int").alias("was"))
     groups = rows.groupBy("t1", "t2", "was").agg(F.sum("size").alias("bytes"))
@@ -130,7 +132,7 @@ def plan(docs: DataFrame, old_shard: Column, n_new: int = 16, text: str = "text"
         .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("rows")), F.lit(BLOCKS)))
     grouped = tagged.where("hot is null").join(small, ["t1", "t2"]) \
         .withColumn("block", F.pmod(F.xxhash64("t1", "t2"), F.lit(BLOCKS)))
-    cols = ["doc_id", "size", "text_crc32", "was", "home", "block", "t1"]
+    cols = ["doc_id", "size", "text_crc32", "was", "home", "block", "t1"] + ["row_id"] * len(own)
     placed = saved(grouped.select(*cols).unionByName(alone.select(*cols)), "placed")
     sizes = placed.groupBy("home", "block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     share, over = divmod(total, n_new)
@@ -144,23 +146,30 @@ def plan(docs: DataFrame, old_shard: Column, n_new: int = 16, text: str = "text"
     to = docs.sparkSession.createDataFrame(
         [(h, b, j, first[(h, b)]) for (h, b), j in goes.items()], "home int, block long, shard int, first long")
     # a row per block: at most BLOCKS x old shards
-    inside = Window.partitionBy("home", "block").orderBy(F.col("doc_id").asc_nulls_first(), "t1")
+    inside = Window.partitionBy("home", "block").orderBy(F.col("doc_id").asc_nulls_first(), "t1", *cols[7:])
     return placed.join(F.broadcast(to), ["home", "block"]).select(
         "doc_id", "size", "text_crc32", F.col("was").alias("old_shard"), "shard",
-        (F.col("first") + F.row_number().over(inside) - 1).alias("slot"))
+        (F.col("first") + F.row_number().over(inside) - 1).alias("slot"), *[F.col("row_id").alias(row_id) for _ in own])
 
 
-def rewrite(old: DataFrame, moves: DataFrame, path: str, doc_id: str = "doc_id") -> list[int]:
+def rewrite(old: DataFrame, moves: DataFrame, path: str, doc_id: str = "doc_id",
+            row_id: str | None = None) -> list[int]:
     """Write the new content of every affected shard (one that gains or
     loses a row) below ``path``/shard=N, in slot order; returns the affected
-    shards. ``old`` has unique ids; shards that keep their rows are left
-    alone."""
+    shards. ``row_id`` names a column of ``old`` and ``moves`` that tells
+    rows apart; without it the ids must, and null or repeated ones raise.
+    Shards that keep their rows are left alone; a rerun replaces what it
+    wrote."""
+    key = row_id or doc_id
+    n, ids = old.agg(F.count("*"), F.count_distinct(key)).first()
+    if n != ids:
+        raise ValueError(f"{key} is null or repeated: rewrite needs a row_id that tells rows apart")
     changed = moves.where("old_shard <> shard").select(
         F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
     affected = sorted(r.s for r in changed.collect())         # bounded by the number of shards
     if affected:
         rows = old.join(moves.where(F.col("shard").isin(affected)).select(
-            F.col("doc_id").alias(doc_id), "shard", "slot"), doc_id)
+            F.col(row_id or "doc_id").alias(key), "shard", "slot"), key)
         rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot") \
-            .write.mode("append").partitionBy("shard").parquet(path)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return affected

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import reshard as R
@@ -75,6 +76,21 @@ def test_rewrite_touches_affected_shards_only(spark, docs_of, tmp_path):
     assert sorted((r.shard, r.slot, r.text) for r in got.collect()) == [(0, 0, "t1"), (1, 0, "t2"), (1, 1, "t4")]
 
 
+def test_rewrite_keeps_null_and_repeated_ids_and_can_be_rerun(spark, docs_of, tmp_path):
+    rows = ODD + [(20, f"t{i % 7}") for i in range(30)] + [(None, f"n{i}") for i in range(10)]
+    docs = spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(rows)], "rid long, doc_id long, text string")
+    moves = R.plan(docs, F.lit(0), 3, row_id="rid")
+    path = str(tmp_path / "s")
+    for _ in range(2):
+        affected = R.rewrite(docs, moves, path, row_id="rid")
+        got = spark.read.parquet(path)
+        want = [r for r in moves.collect() if r.shard in affected]
+        assert sorted((r.rid, r.shard, r.slot) for r in got.collect()) == sorted((r.rid, r.shard, r.slot) for r in want)
+    assert len(want) == len(rows) and affected == [0, 1, 2]
+    with pytest.raises(ValueError):
+        R.rewrite(docs, moves, path)
+
+
 def test_odd_rows(docs_of):
     out = R.plan(docs_of(ODD), F.lit(0), 4).collect()
     assert len(out) == len(ODD)
