@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, decontam, gru_lm, langid, ngram_join, reshard, suffix_dedup, toxicity, winnow
+from ledgerline.llm import (bpe, chat, decontam, fim, gru_lm, langid, ngram_join, phrase_dedup, prefix_trie, reshard,
+                            suffix_dedup, toxicity, winnow)
 from ledgerline.llm.common import id_bucket, table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -76,6 +77,19 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = prefix_trie.with_shared_heads(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(turns, members)
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -87,8 +101,13 @@ QUERIES = {
     "op8_gru_lm": op8_gru_lm,
     "op9_reshard": op9_reshard,
     "op10_winnow": op10_winnow,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_fim": op12_fim,
+    "op13_phrase_dedup": op13_phrase_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": chat.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_fim": fim.ORACLE,
 }
