@@ -263,8 +263,9 @@ def ranges(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     windows; ranges of one text may touch or overlap."""
     anchors = saved(texts.mapInArrow(lambda b: _anchor_batches(b, window),
                                      "key long, tid long, first long, n int, weight long"), "phrase-anchors")
-    known = anchors.groupBy("key").agg(F.sum("weight").alias("_w"), F.count("*").alias("_n")).where("_w > 1") \
-        .select("key", (F.col("_n") > HOT).alias("hot"))
+    # a written table: a join of two plain exchanges is what Spark can split at a frequent anchor
+    known = saved(anchors.groupBy("key").agg(F.sum("weight").alias("_w"), F.count("*").alias("_n")).where("_w > 1")
+                  .select("key", (F.col("_n") > HOT).alias("hot")), "phrase-known")
     places = saved(anchors.select("key", "tid", "first", "n").join(known, "key"), "phrase-places")
     words = places.agg(F.sum(F.when(F.col("hot"), F.col("n") * window).otherwise(F.col("n") + window - 1))).first()[0]
     shards = max(1, -(-int(words or 0) // SHARD_WORDS))
