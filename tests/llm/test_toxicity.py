@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity as X
+from ledgerline.llm.common import id_bucket
 from tests.llm.conftest import ODD
 
 WORDS = [f"w{i}" for i in range(300)]
@@ -89,3 +91,37 @@ def test_odd_rows(spark, docs_of):
     none = X.learn(docs, labels.where("toxic = 0"), F.lit(True))
     assert all(r.score < 0.01 for r in X.score(docs_of(ODD), none).collect())
     assert X.score(docs_of(ODD), X.learn(docs_of([]), labels, F.lit(True))).count() == len(ODD)
+
+
+@pytest.mark.parametrize("sf,auc,share", [("sf0.01", 0.80, 0.4), ("sf0.1", 0.95, 0.75)])
+def test_held_out_rows_of_the_given_labels(spark, sf, auc, share):
+    """Rows that no fit has seen; one per cent of false alarms at most."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").where("toxic IS NOT NULL")
+    m = X.learn(docs, labels, id_bucket(F.col("doc_id"), 3) != 1)
+    held = X.score(docs.select("doc_id", "text"), m).join(labels, "doc_id").where(id_bucket(F.col("doc_id"), 3) == 1)
+    rows = sorted((r.score, r.toxic) for r in held.select("score", "toxic").collect())
+    bad = [i for i, (_, t) in enumerate(rows) if t == 1]
+    clean = len(rows) - len(bad)
+    assert (sum(bad) - len(bad) * (len(bad) - 1) / 2) / (len(bad) * clean) >= auc
+    assert sum(s >= 0.7 and t == 1 for s, t in rows) >= share * len(bad)
+    assert sum(s >= 0.7 and t == 0 for s, t in rows) <= 0.01 * clean
+
+
+def test_calibration():
+    rng = np.random.default_rng(2)
+    z = rng.normal(0, 2, 20_000)
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-(1.7 * z - 0.8)))).astype(float)
+    a, b = X.calibration(z, y)
+    assert abs(a - 1.7) < 0.1 and abs(b + 0.8) < 0.1
+    assert X.calibration(z, np.ones(len(z))) == (1.0, 0.0) == X.calibration(z[:0], y[:0])
+
+
+def test_shrinkage_drops_words_of_one_row():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.append(rng.integers(0, 5, 3), 100 + i)) for i in range(400)]
+    y = np.array([float(i % 4 == 0) for i in range(400)])
+    sets = [np.union1d(s, [50]) if t else s for s, t in zip(sets, y)]
+    m = X.fit(np.unique(np.concatenate(sets)), sets, y)
+    alone = m.w[m.terms >= 100]
+    assert (alone == 0).mean() > 0.9 and m.w[m.terms == 50][0] > 1
