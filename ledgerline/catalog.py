@@ -459,11 +459,17 @@ def q_missing_input(spark, sf_dir):
 # ------------------------------------------------------ quality checks ---
 
 def _silver_tables(spark, sf_dir):
+    """The silver tables, each written once, as a warehouse has them when
+    they are checked."""
+    staged = stored(spark, _staged(spark, sf_dir), "staged")
+    sales = stored(spark, valid_sales(staged), "silver-sales")
+    rejected = stored(spark, rejected_sales(staged), "silver-rejected")
+    audit = R.audit_by_batch(_fixture_file_audit(spark, sf_dir), sales, rejected)
     return {
-        "silver_stores": _silver_stores(spark, sf_dir),
-        "silver_sales": _silver_sales(spark, sf_dir),
-        "silver_sales_rejected": _silver_rejected(spark, sf_dir),
-        "silver_sales_audit_by_batch": q_audit_by_batch(spark, sf_dir),
+        "silver_stores": stored(spark, _silver_stores(spark, sf_dir), "silver-stores"),
+        "silver_sales": sales,
+        "silver_sales_rejected": rejected,
+        "silver_sales_audit_by_batch": stored(spark, audit, "silver-audit"),
     }
 
 
@@ -474,12 +480,13 @@ def q_checks_silver(spark, sf_dir):
 
 def q_checks_gold(spark, sf_dir):
     """Q1-Q10: the 34 gold assertions, failing rows per rule."""
+    t = _silver_tables(spark, sf_dir)
     tables = {
-        "rpt_transactions_by_batch": q_output1(spark, sf_dir),
-        "rpt_sales_by_transaction_date": q_output2(spark, sf_dir),
-        "rpt_top_5_stores_by_date": q_output3(spark, sf_dir),
+        "rpt_transactions_by_batch": R.output1(t["silver_sales_audit_by_batch"], run_date=FX.RUN_DATE),
+        "rpt_sales_by_transaction_date": R.output2(t["silver_sales"], run_date=FX.RUN_DATE),
+        "rpt_top_5_stores_by_date": R.output3(t["silver_sales"], t["silver_stores"], run_date=FX.RUN_DATE),
     }
-    return run_checks(tables, GOLD_RULES)
+    return run_checks({n: stored(spark, df, n) for n, df in tables.items()}, GOLD_RULES)
 
 
 def q_checks_dirty(spark, sf_dir):
@@ -585,11 +592,10 @@ def q_export_all(spark, sf_dir):
 
 
 def q_rerun_after_crash(spark, sf_dir):
-    """K1-K5/M6: the run of a second delivery (all batches) is cut off
-    between the two writes of the silver upsert; the run after it must give
-    what an undisturbed run gives. Returns silver_sales."""
-    from unittest import mock
-
+    """K1-K5/M6: the run of a second delivery (all batches) is cut off after
+    the silver upsert's files are written, before they are published; the
+    run after it must give what an undisturbed run gives. Returns
+    silver_sales."""
     from ledgerline.plans import daily_run as D
     from ledgerline.sinks import tables as TB
 
@@ -599,18 +605,11 @@ def q_rerun_after_crash(spark, sf_dir):
     lay = D.Layout(landing=root, warehouse=work_dir(spark, "crash"), n_buckets=8)
     try:
         D.ingest_sales(spark, lay, first, FX.RUN_STAMPS[1])
-        target, append = lay.path("silver", "silver_sales"), TB.BucketedTable.append
-
-        def stop(table, df):
-            if table.path == target:
-                raise InterruptedError("cut off")
-            return append(table, df)
-
-        with mock.patch.object(TB.BucketedTable, "append", stop):
-            try:
-                D.ingest_sales(spark, lay, sales, FX.RUN_STAMPS[2])
-            except InterruptedError:
-                pass
+        t = D._tables(lay, spark)
+        D.snapshot_into(spark, t["raw_sales"], RAW.sales_input(sales, FX.RUN_STAMPS[2]), RAW.SALES_KEY,
+                        RAW.SALES_CHECK, FX.RUN_STAMPS[2])
+        staged = stage_sales(D.uncommitted(t["raw_sales"], D.Done.of(spark, t["silver_sales"].path)))
+        t["silver_sales"].write(valid_sales(staged), t["silver_sales"].manifest())      # cut off here
         D.ingest_sales(spark, lay, sales, FX.RUN_STAMPS[3])
     finally:
         D._drop_scratch(spark)
@@ -636,10 +635,104 @@ def q_evolve_table(spark, sf_dir):
     return t.read().drop(TB.BUCKET)
 
 
+def _orders_by_key(spark, sf_dir, name: str, **kw):
+    """The orders as a bucketed table, delivered year by year."""
+    from ledgerline.sinks import tables as TB
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    t = TB.BucketedTable(spark, work_dir(spark, name), ["o_orderkey"], 8, **kw)
+    return t, o
+
+
+def q_key_lookup(spark, sf_dir):
+    """The orders of the three latest days, looked up by key in a
+    table of all orders (delivered in three parts): only files of the keys'
+    buckets whose key filter may match are opened. Returns the rows found;
+    fails if more files are opened than those buckets have."""
+    t, o = _orders_by_key(spark, sf_dir, "lookup")
+    for some in ("o_orderdate < '1997-01-01'", "o_orderdate >= '1997-01-01' AND o_orderdate < '1999-01-01'",
+                 "o_orderdate >= '1999-01-01'"):
+        t.append(o.where(some))
+    days = latest_n(o.select(F.to_date("o_orderdate").alias("day")), "day", 3, distinct=True)
+    keys = o.withColumn("day", F.to_date("o_orderdate")).join(F.broadcast(days), "day", "left_semi").select("o_orderkey")
+    keys = stored(spark, t.with_bucket(keys), "lookup-keys")
+    found = t.lookup(keys)
+    if not found.files_read <= found.files_in_buckets <= found.files:
+        raise AssertionError(f"{found.files_read} of {found.files_in_buckets} files opened")
+    return found.rows.join(keys, ["bucket", "o_orderkey"], "left_semi") \
+        .select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+def q_small_change(spark, sf_dir):
+    """K1/M2: a snapshot of all orders, then a run in which one order in a
+    thousand has another total. What the history holds, and how many closed
+    rows the second run has written (its own alone; the rest stays)."""
+    from ledgerline.plans import daily_run as D
+
+    t, o = _orders_by_key(spark, sf_dir, "small-change", segments=True)
+    rows = o.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    cols = ["o_custkey", "o_totalprice"]
+    try:
+        D.snapshot_into(spark, t, rows, "o_orderkey", cols, FX.RUN_STAMPS[1])
+        changed = F.when(F.col("o_orderkey") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+        for run in (2, 3):                                    # the third brings nothing new
+            D.snapshot_into(spark, t, rows.withColumn("o_totalprice", changed.cast("decimal(18,2)")), "o_orderkey", cols,
+                            FX.RUN_STAMPS[run])
+    finally:
+        D._drop_scratch(spark)
+    m = t.manifest()
+    last = max(p.run for p in m.parts)
+    wrote = t.read(m, keep=lambda p: p.run == last and not t.is_open(p))
+    return t.read(m).agg(
+        F.count_if(F.col("dbt_valid_to").isNull()).alias("open_rows"),
+        F.count_if(F.col("dbt_valid_to").isNotNull()).alias("closed_rows"),
+        F.count_if((F.col("segment") == "open") != F.col("dbt_valid_to").isNull()).alias("misplaced_rows")) \
+        .withColumn("closed_rows_written", wrote.select(F.count("*")).scalar())
+
+
+def q_evolve_view(spark, sf_dir):
+    """The view ``layer.table`` of a table that got a column between
+    two deliveries, read by SQL."""
+    from ledgerline.sources.tables import register_views
+
+    t, o = _orders_by_key(spark, sf_dir, "evolve-view")
+    old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    t.append(o.where(old).select("o_orderkey", "o_totalprice"))
+    t.append(o.where(~old).select("o_orderkey", "o_totalprice", "o_custkey"))
+    register_views(spark, {"evolving.orders": t.path}, {"bucket"})
+    return spark.sql("SELECT o_orderkey, o_totalprice, o_custkey FROM evolving.orders")
+
+
+def q_distinct_states(spark, sf_dir):
+    """Distinct users per day from stored sketches of two runs (the
+    second run brings some of the first one's events again), beside the
+    exact number; whether the estimate is within three standard errors."""
+    from ledgerline.operators import sketches as K
+
+    ev = _events_daily(spark, sf_dir)
+    first, second = ev.where("event_id % 3 <> 0"), ev.where("event_id % 3 <> 1")
+    states = [stored(spark, K.distinct_state(x, ["event_date"], "user_id"), f"states-{i}")
+              for i, x in enumerate((first, second))]
+    merged = K.estimate(K.merge_states(states[0].unionByName(states[1]), ["event_date"]))
+    exact = ev.groupBy("event_date").agg(F.countDistinct("user_id").alias("distinct_users"))
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_users")) <= 3 * K.error() * F.col("distinct_users") + 0.5
+    return exact.join(merged, "event_date").select("event_date", "distinct_users", near.alias("within_error"))
+
+
+def q_landing_auto(spark, sf_dir):
+    """All sales files read with ``multi_line="auto"`` (files without an
+    open quote in splits, others whole)."""
+    sales = read_landing(spark, f"{landing_root(spark, sf_dir)}/sales_*.csv", C.SALES_COLUMNS, C.SALES_COLUMNS[:3], "auto")
+    return sales.select(*C.SALES_COLUMNS, batch_date_of(file_name("source_file"), C.SALES_FILE_RE).alias("batch_date"),
+                        file_name("source_file").alias("source_file"))
+
+
 def q_daily_run_top5(spark, sf_dir):
     """M1-M11 end to end; returns Output 3 from the warehouse."""
+    from ledgerline.sinks import tables as TB
+
     lay = _full_run(spark, sf_dir)
-    return spark.read.parquet(lay.path("gold", "rpt_top_5_stores_by_date"))
+    return TB.read(spark, lay.path("gold", "rpt_top_5_stores_by_date"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -685,4 +778,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_all": q_export_all,
     "rerun_after_crash": q_rerun_after_crash,
     "evolve_table": q_evolve_table,
+    "key_lookup": q_key_lookup,
+    "small_change": q_small_change,
+    "evolve_view": q_evolve_view,
+    "distinct_states": q_distinct_states,
+    "landing_auto": q_landing_auto,
 }

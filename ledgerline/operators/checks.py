@@ -2,10 +2,11 @@
 
 A ``Rule`` names a model, a check kind, its column(s) and parameters.
 ``run_checks`` evaluates all column-level rules of one table in a single
-global aggregate (``count_if`` per rule, no shuffled rows), and each
-uniqueness / relationship rule as one grouped or anti-join pass over its
-columns alone. The
-result has one row per rule: the number of failing rows (or groups).
+global aggregate (``count_if`` per rule, no shuffled rows), all uniqueness
+rules of one table in one grouped pass over their columns, and each
+relationship rule as one anti join of distinct values. A table that is not
+a stored one is computed once a pass: write it first. The result has one
+row per rule: the number of failing rows (or groups).
 
 NULL handling follows the usual test semantics: value rules (regex,
 length, range, set) let NULL pass; ``unique`` ignores NULL; compound
@@ -97,8 +98,8 @@ def _keep(cols: Sequence[str]) -> Column:
 def _table_checks(df: DataFrame, rs: list[Rule], tables: Mapping[str, DataFrame]) -> list:
     """All rules of one table. Row rules and row counts are one global
     aggregate (counts per task, one row at the end: no row is shuffled);
-    a uniqueness rule groups the key columns alone; a relationship counts
-    per child value before it joins."""
+    the uniqueness rules group their key columns in one pass; a relationship
+    counts per child value before it joins."""
     row = [r for r in rs if r.kind not in ("unique", "compound_unique", "relationship",
                                            "row_count")]
     counts = [r for r in rs if r.kind == "row_count"]
@@ -111,11 +112,17 @@ def _table_checks(df: DataFrame, rs: list[Rule], tables: Mapping[str, DataFrame]
         results = ([_result(r, F.col(f"r{i}")) for i, r in enumerate(row)]
                    + [_result(r, _bad_count(r, F.col("__n"))) for r in counts])
         parts.append(one.select(F.inline(F.array(*results))))
-    for r in keys:
-        cols = list(r.columns)
-        dup = (df.where(_keep(cols)).groupBy(*cols).count().where(F.col("count") > 1)
-               .agg(F.count(F.lit(1)).alias("n")))
-        parts.append(dup.select(F.inline(F.array(_result(r, F.col("n"))))))
+    if keys:
+        # One row per rule and source row; a rule's columns stand in a struct
+        # of their own, so each is grouped with its own types.
+        marked = [F.struct(F.lit(i).alias("rule"), _keep(r.columns).alias("keep"),
+                           *[(F.struct(*r.columns) if i == j else F.lit(None).cast(df.select(F.struct(*k.columns))
+                              .schema[0].dataType)).alias(f"k{j}") for j, k in enumerate(keys)])
+                  for i, r in enumerate(keys)]
+        dup = (df.select(F.inline(F.array(*marked))).where("keep")
+               .groupBy("rule", *[f"k{j}" for j in range(len(keys))]).count().where(F.col("count") > 1)
+               .agg(*[F.count_if(F.col("rule") == i).alias(f"n{i}") for i in range(len(keys))]))
+        parts.append(dup.select(F.inline(F.array(*[_result(r, F.col(f"n{i}")) for i, r in enumerate(keys)]))))
     for r in rels:
         col = r.columns[0]
         parent = tables[r.params["to"]].select(F.col(r.params["field"]).alias(col))

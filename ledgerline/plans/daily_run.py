@@ -1,36 +1,47 @@
 """One ELT run: landing → raw (SCD2) → silver → gold → checks → export.
 
 Every step reads its inputs from the warehouse tables written by the step
-before, so lineage never grows across steps. A failed run is simply run
-again: half-published buckets are finished first (``BucketedTable.recover``),
-snapshots and upserts are no-ops on equal input, appends are guarded by anti
-joins on their keys, and the silver tables' watermarks come from commit
-records that are written after all their rows, so rows that a crashed run
-did not get to are still newer than the watermark.
+before, so lineage never grows across steps. All tables are versioned
+(``sinks.versions``), so a step's result appears at once or not at all. A
+failed run is simply run again: landing files are recorded as taken in after
+all tables are complete, snapshots and upserts are no-ops on equal input,
+appends are guarded by anti joins on their keys, and the silver tables'
+watermarks come from commit records that are written after all their rows,
+so rows that a crashed run did not get to are still newer than the watermark.
+
+A run does what its input asks for: without new landing files nothing is
+read; without a new raw version the silver tables stay; reports, checks and
+exports are made again only if a table below them (or the run date) has
+changed.
 
 Warehouse layout (``Layout.warehouse``)::
 
-    raw/raw_stores_snapshot   bucketed by store_token
-    raw/raw_sales_snapshot    bucketed by transaction_uid
+    raw/_landing_files        landing files taken in (path, length, time)
+    raw/raw_stores_snapshot   bucketed by store_token; open and closed rows apart
+    raw/raw_sales_snapshot    bucketed by transaction_uid; open and closed rows apart
     raw/raw_file_audit        append-only, a folder per kind of file
     silver/silver_stores      bucketed by store_token
     silver/silver_sales       bucketed by (store_token, transaction_id)
     silver/silver_sales_rejected        append-only
-    silver/silver_sales_audit_by_batch  full refresh
-    gold/rpt_*                          full refresh
+    silver/silver_sales_audit_by_batch  made from counts by batch
+    gold/_*_by_*                        sums and counts kept by signed deltas
+    gold/rpt_*                          made from those
 """
 
 from __future__ import annotations
 
+import json
 import threading
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import constants as C
 from ledgerline.operators.checks import run_checks
 from ledgerline.operators.incremental import FLOOR_TS, append_new
+from ledgerline.operators.maintained import refresh
 from ledgerline.operators.scd2 import current_versions, with_scd_columns
 from ledgerline.operators.validate import rejected_sales, stage_sales, valid_sales, valid_stores
 from ledgerline.plans import raw as RAW
@@ -40,12 +51,15 @@ from ledgerline.plans.quality import GOLD_RULES, SILVER_RULES
 from ledgerline.session import work_dir
 from ledgerline.sinks import tables as TB
 from ledgerline.sinks.export import export_tables
+from ledgerline.sinks.versions import KEEP, VersionedTable
+from ledgerline.sources import ingest
 from ledgerline.sources.landing import read_landing
 from ledgerline.sources.tables import register_views
 
 SALES_KEYS = ["store_token", "transaction_id"]
 KIND = "kind"                           # folder level of the file audit
 WATERMARK = "watermark"                 # commit record: all rows up to this stamp are in
+BUILT = "built"                         # commit record: what the reports were made from
 REJECTED_KEYS = ["store_token", "transaction_id", "snapshot_updated_at"]
 
 
@@ -56,8 +70,9 @@ class Layout:
     exports: str | None = None
     n_buckets: int = 64
     store_buckets: int = 4
-    multi_line: bool = True
+    multi_line: bool | str = "auto"      # which landing files are read whole (see sources.landing)
     compact_above_files: int = 32        # per bucket; 0 disables compaction
+    keep_versions: int = KEEP            # of each table; older ones expire after a run
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
@@ -103,51 +118,46 @@ def _drop_scratch(spark: SparkSession) -> None:
 
 def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFrame,
                   key: str, check_cols: list[str], run_ts) -> dict:
-    """Apply one snapshot run to a bucketed SCD2 table.
+    """Apply one snapshot run to a bucketed SCD2 table with segments.
 
-    New keys are appended; keys whose check columns changed get their open
-    version closed and a new version, which rewrites only their buckets.
+    The open versions that a key of the input may have are looked up (by
+    bucket and by the files' key filters). Rows of new keys and new versions
+    are inserted; a changed key's open version is closed, which rewrites the
+    open rows of its bucket and adds one closed row. Closed rows are never
+    read or written again. All of it is one write and one new version.
     """
-    ts = _ts(run_ts)
-    hist = table.read()
-    if hist is None:
-        table.append(with_scd_columns(incoming, key, ts))
+    ts, base = _ts(run_ts), table.manifest()
+    if base is None:
+        table.change(with_scd_columns(incoming, key, ts).withColumn(TB.SEGMENT, F.lit(TB.OPEN)))
         return {"inserted": None, "changed_buckets": 0}
-    cur = current_versions(hist).select(
-        key, *[F.col(c).alias(f"__c_{c}") for c in check_cols],
-        F.col(TB.BUCKET).alias("__b"))
+    incoming = materialize(spark, table.with_bucket(incoming), "snapshot-input")
+    found = table.lookup(incoming, base)
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-    # One inner join with the run's input (key + check columns) gives at most
-    # one small row per incoming key; the input is then judged by one left
-    # join. Written tables have sizes in bytes, by which Spark picks the join.
-    incoming = materialize(spark, incoming, "snapshot-input")
-    hits = (cur.join(incoming.select(key, *check_cols), key, "inner")
-            .select(F.col(key).alias("__k"), "__b", same.alias("__same")))
-    judged = materialize(spark, incoming.join(hits, F.col(key) == F.col("__k"), "left")
-                         .where(F.col("__k").isNull() | ~F.col("__same"))
-                         .withColumn("__status", F.when(F.col("__k").isNull(), "new").otherwise("changed"))
-                         .drop("__k", "__same"), "snapshot-delta")
-    if judged.isEmpty():                     # replay of known content: nothing to write
-        return {"changed_buckets": 0}
-    touched = sorted(r[0] for r in judged.where(F.col("__status") == "changed")
-                     .select("__b").distinct().collect())
-    inserts = table.with_bucket(with_scd_columns(
-        judged.drop("__status", "__b"), key, ts))
+    new = incoming.withColumn("__known", F.lit(False))
+    if found.rows is not None:
+        cur = found.rows.select(F.col(key).alias("__k"), F.col(TB.BUCKET).alias("__b"),
+                                *[F.col(c).alias(f"__c_{c}") for c in check_cols])
+        joined = incoming.join(cur, (F.col(TB.BUCKET) == F.col("__b")) & (F.col(key) == F.col("__k")), "left")
+        new = joined.where(F.col("__k").isNull() | ~same).withColumn("__known", F.col("__k").isNotNull()) \
+            .select(*incoming.columns, "__known")
+    new = materialize(spark, new, "snapshot-delta")
+    if new.isEmpty():                        # replay of known content: nothing to write
+        return {"changed_buckets": 0, "files_read": found.files_read}
+    changed = new.where("__known")
+    touched = set(TB.touched_buckets(changed))
+    content = with_scd_columns(new.drop("__known"), key, ts).withColumn(TB.SEGMENT, F.lit(TB.OPEN))
     if touched:
-        closes = (judged.where(F.col("__status") == "changed")
-                  .select(key, F.lit(True).alias("__close")))
-        part = hist.where(F.col(TB.BUCKET).isin(touched))
-        closed = (part.join(closes, key, "left")
-                  .withColumn("dbt_valid_to",
-                              F.when(F.col("__close") & F.col("dbt_valid_to").isNull(), ts)
-                              .otherwise(F.col("dbt_valid_to")))
-                  .drop("__close"))
-        table.rewrite(touched, closed.unionByName(
-            inserts.where(F.col(TB.BUCKET).isin(touched)), allowMissingColumns=True))
-    table.append(inserts.where(~F.col(TB.BUCKET).isin(touched)) if touched else inserts)
-    return {"changed_buckets": len(touched)}
+        old = table.read(base, keep=lambda p: table.is_open(p) and table.bucket(p) in touched)
+        closing = changed.select(F.col(key).alias("__k"), F.col(TB.BUCKET).alias("__b"))
+        old = old.join(closing, (F.col(TB.BUCKET) == F.col("__b")) & (F.col(key) == F.col("__k")), "left")
+        closed = F.col("__k").isNotNull()
+        old = old.withColumn("dbt_valid_to", F.when(closed, ts).otherwise(F.col("dbt_valid_to"))) \
+            .withColumn(TB.SEGMENT, F.when(closed, TB.CLOSED).otherwise(TB.OPEN)).drop("__k", "__b")
+        content = content.unionByName(old, allowMissingColumns=True)
+    table.change(content, drop=lambda p: table.is_open(p) and table.bucket(p) in touched, base=base)
+    return {"changed_buckets": len(touched), "files_read": found.files_read}
 
 
 # ----------------------------------------------------------------- silver ---
@@ -155,53 +165,57 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
 def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
                 keys: list[str]) -> dict:
     """delete+insert by ``keys``: rows of existing keys are replaced (their
-    buckets rewritten), rows of new keys appended."""
-    new = materialize(spark, table.with_bucket(new), "upsert-delta")
-    target = table.read()
-    if target is not None and new.isEmpty():     # nothing new; first run still creates
-        return {"replaced_buckets": 0}
-    if target is None:
+    buckets rewritten), rows of new keys added, as one new version."""
+    base = table.manifest()
+    if base is None:
         table.append(new)
         return {"replaced_buckets": 0}
-    hits = target.select(*keys, TB.BUCKET).join(new.select(*keys), keys, "left_semi")
-    touched = TB.touched_buckets(hits)
+    new = materialize(spark, table.with_bucket(new), "upsert-delta")
+    if new.isEmpty():
+        return {"replaced_buckets": 0}
+    found = table.lookup(new, base)
+    touched: set[int] = set()
+    on = [TB.BUCKET, *keys]
+    if found.rows is not None:
+        touched = set(TB.touched_buckets(found.rows.select(*on).join(new.select(*on), on, "left_semi")))
+    content = new
     if touched:
-        part = target.where(F.col(TB.BUCKET).isin(touched))
-        kept = part.join(new.select(*keys), keys, "left_anti")
-        table.rewrite(touched, kept.unionByName(
-            new.where(F.col(TB.BUCKET).isin(touched)), allowMissingColumns=True))
-        new = new.where(~F.col(TB.BUCKET).isin(touched))
-    table.append(new)
+        old = table.read(base, keep=lambda p: table.bucket(p) in touched)
+        content = old.join(new.select(*on), on, "left_anti").unionByName(new, allowMissingColumns=True)
+    table.change(content, drop=lambda p: table.bucket(p) in touched, base=base)
     return {"replaced_buckets": len(touched)}
 
 
-def append_rows(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> None:
+def append_rows(spark: SparkSession, table: VersionedTable, new: DataFrame, keys: list[str],
+                since: int = 0, newer: Column | None = None) -> None:
     """Idempotent append: rows whose ``keys`` are already present are skipped.
 
-    The new rows are written first; the keys among them that the target
-    already holds are found with a semi join (Spark broadcasts the new keys
-    where their written size allows, and the growing target isn't shuffled)."""
-    target = TB.read(spark, path)
-    new = materialize(spark, new, "append-input")
-    if target is not None and new.isEmpty():
-        return
-    if target is not None:
-        present = target.select(*keys).join(new.select(*keys), keys, "left_semi")
-        new = materialize(spark, append_new(present, new, keys), "append-delta")
-    TB.append(new, path)
+    Only rows that a crashed run may have left can be present, so a caller
+    that knows what is complete restricts the target: to parts added since
+    a version, and to rows for which ``newer`` holds."""
+    base = table.manifest()
+    if base is not None:
+        target = table.read(base, keep=lambda p: p.since >= since)
+        target = target if newer is None else target.where(newer)
+        new = materialize(spark, new, "append-input")
+        if new.isEmpty():
+            return
+        new = append_new(target, new, keys)
+    table.change(new, base=base)
 
 
 # ------------------------------------------------------------------- run ---
 
 def run_daily(spark: SparkSession, layout: Layout, run_ts, run_date=None,
               checks: str = "after_all", strict_batch_date: bool = True,
-              export: bool = True) -> RunResult:
+              export: bool = True, files: Sequence[tuple[str, int, int]] | None = None) -> RunResult:
     """Run every model once at ``run_ts`` (a strictly increasing stamp per
-    run). ``checks``: "after_all" (raise on failed error-severity rules
+    run) on the landing files that no run has taken in yet (``files``: on
+    those of these (URI, length, modification time) alone). ``checks``: "after_all" (raise on failed error-severity rules
     after all models), "after_each" (after each model group, stopping at
     the first failure) or "off"."""
     try:
-        return _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export)
+        return _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export, files)
     finally:
         _drop_scratch(spark)
 
@@ -210,97 +224,174 @@ def _tables(layout: Layout, spark: SparkSession) -> dict:
     P = layout.path
     return {
         "raw_stores": TB.BucketedTable(spark, P("raw", "raw_stores_snapshot"),
-                                       [RAW.STORES_KEY], layout.store_buckets),
+                                       [RAW.STORES_KEY], layout.store_buckets, segments=True, filters=False),
         "raw_sales": TB.BucketedTable(spark, P("raw", "raw_sales_snapshot"),
-                                      [RAW.SALES_KEY], layout.n_buckets),
+                                      [RAW.SALES_KEY], layout.n_buckets, segments=True),
+        "file_audit": VersionedTable(spark, P("raw", "raw_file_audit"), {KIND: "string"}),
         "silver_stores": TB.BucketedTable(spark, P("silver", "silver_stores"),
-                                          ["store_token"], layout.store_buckets),
+                                          ["store_token"], layout.store_buckets, filters=False),
         "silver_sales": TB.BucketedTable(spark, P("silver", "silver_sales"), SALES_KEYS,
                                          layout.n_buckets),
+        "rejected": VersionedTable(spark, P("silver", "silver_sales_rejected")),
     }
 
 
-def read_landing_files(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
-    land = layout.landing.rstrip("/")
-    stores = read_landing(spark, f"{land}/stores_*.csv", C.STORE_COLUMNS,
-                          header_cols=C.STORE_COLUMNS, multi_line=layout.multi_line)
-    sales = read_landing(spark, f"{land}/sales_*.csv", C.SALES_COLUMNS,
-                         header_cols=C.SALES_COLUMNS[:3], multi_line=layout.multi_line)
-    return stores, sales
+def taken_table(spark: SparkSession, layout: Layout) -> VersionedTable:
+    """The record of landing files that have been taken in."""
+    return VersionedTable(spark, layout.path("raw", "_landing_files"))
+
+
+KINDS = {"stores": (C.STORE_COLUMNS, C.STORE_COLUMNS), "sales": (C.SALES_COLUMNS, C.SALES_COLUMNS[:3])}
+
+
+def landing_pattern(layout: Layout, kind: str) -> str:
+    return f"{layout.landing.rstrip('/')}/{kind}_*.csv"
+
+
+def read_landing_files(spark: SparkSession, layout: Layout,
+                       files: dict[str, list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(stores, sales) rows of these files by kind, or of all files."""
+    return tuple(read_landing(spark, landing_pattern(layout, kind) if files is None else files.get(kind, []), cols,
+                              header_cols=head, multi_line=layout.multi_line)
+                 for kind, (cols, head) in KINDS.items())
 
 
 def audit_files(spark: SparkSession, layout: Layout, landing: DataFrame, file_type: str,
                 run_ts) -> None:
     """Append audit rows for files of one kind not yet recorded."""
-    path = f"{layout.path('raw', 'raw_file_audit')}/{KIND}={file_type}"
     file_re = C.STORES_FILE_RE if file_type == "stores" else C.SALES_FILE_RE
-    append_rows(spark, path, files_of(landing, file_type, file_re, run_ts), ["source_file"])
+    rows = files_of(landing, file_type, file_re, run_ts).withColumn(KIND, F.lit(file_type))
+    append_rows(spark, _tables(layout, spark)["file_audit"], rows, ["source_file"],
+                newer=F.col(KIND) == file_type)
+
+
+@dataclass(frozen=True)
+class Done:
+    """What the silver layer has completed: the run stamp it has seen, and
+    the versions of raw table and rejected table at that time."""
+
+    stamp: str = FLOOR_TS
+    raw: int = 0
+    rejected: int = 0
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str) -> "Done":
+        text = TB.committed(spark, path, WATERMARK)
+        return cls(**json.loads(text)) if text else cls()
 
 
-def uncommitted(spark: SparkSession, df: DataFrame, path: str, ts_col: str) -> DataFrame:
-    """Rows of ``df`` newer than what the table's last complete run saw."""
-    mark = TB.committed(spark, path, WATERMARK) or FLOOR_TS
-    return df.where(F.col(ts_col) > _ts(mark))
+def _version(table: VersionedTable) -> int:
+    return (table.versions() or [0])[-1]
+
+
+def uncommitted(raw: TB.BucketedTable, done: Done) -> DataFrame:
+    """Current versions newer than what the silver layer has completed.
+    They can only stand in files that were added since."""
+    rows = raw.read(keep=lambda p: raw.is_open(p) and p.since >= done.raw)
+    return current_versions(rows).where(F.col("dbt_updated_at") > _ts(done.stamp)).drop(TB.BUCKET, TB.SEGMENT)
 
 
 def ingest_stores(spark: SparkSession, layout: Layout, stores_land: DataFrame, run_ts) -> None:
     """Raw store snapshot + file audit + silver_stores upsert."""
     t = _tables(layout, spark)
-    for table in (t["raw_stores"], t["silver_stores"]):
-        table.recover()
     stores_land = materialize(spark, stores_land, "stores-landing")
     snapshot_into(spark, t["raw_stores"], RAW.stores_input(stores_land, run_ts),
                   RAW.STORES_KEY, RAW.STORES_CHECK, run_ts)
     audit_files(spark, layout, stores_land, "stores", run_ts)
-    current = uncommitted(spark, current_versions(t["raw_stores"].read()), t["silver_stores"].path, "dbt_updated_at")
-    upsert_into(spark, t["silver_stores"], valid_stores(current), ["store_token"])
-    TB.commit(spark, t["silver_stores"].path, WATERMARK, str(run_ts))
+    refresh_silver_stores(spark, layout, run_ts)
+
+
+def refresh_silver_stores(spark: SparkSession, layout: Layout, run_ts) -> None:
+    """Upsert what the raw stores have that silver has not; nothing to do
+    if the raw table has not changed."""
+    t = _tables(layout, spark)
+    done, now = Done.of(spark, t["silver_stores"].path), _version(t["raw_stores"])
+    if now > done.raw:
+        upsert_into(spark, t["silver_stores"], valid_stores(uncommitted(t["raw_stores"], done)), ["store_token"])
+        TB.commit(spark, t["silver_stores"].path, WATERMARK, json.dumps(asdict(Done(str(run_ts), now))))
 
 
 def ingest_sales(spark: SparkSession, layout: Layout, sales_land: DataFrame, run_ts) -> None:
     """Raw sales snapshot + file audit + silver_sales upsert + rejected append."""
     t = _tables(layout, spark)
-    for table in (t["raw_sales"], t["silver_sales"]):
-        table.recover()
     sales_land = materialize(spark, sales_land, "sales-landing")
     snapshot_into(spark, t["raw_sales"], RAW.sales_input(sales_land, run_ts),
                   RAW.SALES_KEY, RAW.SALES_CHECK, run_ts)
     audit_files(spark, layout, sales_land, "sales", run_ts)
-    rejected_path = layout.path("silver", "silver_sales_rejected")
-    # one watermark for both targets: it is written when both are complete
-    current = uncommitted(spark, current_versions(t["raw_sales"].read()), t["silver_sales"].path, "dbt_updated_at")
-    staged = materialize(spark, stage_sales(current.drop(TB.BUCKET)), "staged")
+    refresh_silver_sales(spark, layout, run_ts)
+
+
+def refresh_silver_sales(spark: SparkSession, layout: Layout, run_ts) -> None:
+    """As ``refresh_silver_stores``, for the two tables fed by the raw sales.
+    One record serves both: it is written when both are complete."""
+    t = _tables(layout, spark)
+    done, now = Done.of(spark, t["silver_sales"].path), _version(t["raw_sales"])
+    if now == done.raw:
+        return
+    staged = materialize(spark, stage_sales(uncommitted(t["raw_sales"], done)), "staged")
     upsert_into(spark, t["silver_sales"], valid_sales(staged), SALES_KEYS)
-    append_rows(spark, rejected_path, rejected_sales(staged), REJECTED_KEYS)
-    TB.commit(spark, t["silver_sales"].path, WATERMARK, str(run_ts))
+    append_rows(spark, t["rejected"], rejected_sales(staged), REJECTED_KEYS, done.rejected,
+                F.col("snapshot_updated_at") > _ts(done.stamp))
+    TB.commit(spark, t["silver_sales"].path, WATERMARK,
+              json.dumps(asdict(Done(str(run_ts), now, _version(t["rejected"])))))
+
+
+def _states(layout: Layout, spark: SparkSession) -> dict[str, VersionedTable]:
+    """Report inputs that are kept by signed deltas (``operators.maintained``)."""
+    P = layout.path
+    return {"by_day_store": VersionedTable(spark, P("gold", "_sales_by_day_store"), {"month": "string"}),
+            "valid": VersionedTable(spark, P("gold", "_valid_by_batch")),
+            "rejected": VersionedTable(spark, P("gold", "_rejected_by_batch"))}
+
+
+def _day_store_rows(sales: DataFrame) -> DataFrame:
+    day = F.to_date("transaction_time")
+    return sales.select(F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none")).alias("month"),
+                        day.alias("transaction_date"), "store_token",
+                        F.coalesce(F.col("amount"), F.lit(0)).cast("decimal(38,2)").alias("store_total"),
+                        F.col("amount").isNotNull().cast("long").alias("n_amount"))
+
+
+def refresh_states(spark: SparkSession, layout: Layout) -> dict[str, dict]:
+    """Bring the report inputs to the newest silver tables; tells what was read and written."""
+    t, s = _tables(layout, spark), _states(layout, spark)
+    batch = lambda df: df.select("batch_date")
+    return {
+        "by_day_store": refresh(s["by_day_store"], t["silver_sales"], _day_store_rows,
+                                ["month", "transaction_date", "store_token"], ["store_total", "n_amount"]),
+        "valid": refresh(s["valid"], t["silver_sales"], batch, ["batch_date"]),
+        "rejected": refresh(s["rejected"], t["rejected"], batch, ["batch_date"]),
+    }
 
 
 def build_reports(spark: SparkSession, layout: Layout, run_date=None,
                   strict_batch_date: bool = True) -> dict[str, str]:
-    """Full refresh of the per-batch audit and the three gold reports."""
+    """The per-batch audit and the three gold reports, from sums by (day,
+    store) and counts by batch that are kept from run to run."""
     P = layout.path
     t = _tables(layout, spark)
-    audit_path = P("raw", "raw_file_audit")
-    rejected_path = P("silver", "silver_sales_rejected")
-    sv, rj = _visible(t["silver_sales"].read()), TB.read(spark, rejected_path)
-    ss = _visible(t["silver_stores"].read())
-    audit = _visible(TB.read(spark, audit_path))
-    if sv is None or rj is None or audit is None or ss is None:
+    ss, audit = (_visible(t[n].read()) for n in ("silver_stores", "file_audit"))
+    if audit is None or ss is None or not t["silver_sales"].exists() or not t["rejected"].exists():
         return {}
+    refresh_states(spark, layout)
+    state = {n: x.read() for n, x in _states(layout, spark).items()}
+    ds = state["by_day_store"].withColumn("store_total", F.when(F.col("n_amount") > 0, F.col("store_total")))
     abb_path = P("silver", "silver_sales_audit_by_batch")
-    TB.overwrite(spark, R.audit_by_batch(audit, sv, rj), abb_path)
+    TB.overwrite(spark, R.audit_from_counts(
+        audit, state["valid"].withColumnRenamed("n_rows", "valid_transactions"),
+        state["rejected"].withColumnRenamed("n_rows", "invalid_transactions")), abb_path)
     abb = TB.read(spark, abb_path)
     gold = {
         "rpt_transactions_by_batch": R.output1(abb, run_date, strict_batch_date),
-        "rpt_sales_by_transaction_date": R.output2(sv, run_date),
-        "rpt_top_5_stores_by_date": R.output3(sv, ss, run_date),
+        "rpt_sales_by_transaction_date": R.output2_of(ds, run_date),
+        "rpt_top_5_stores_by_date": R.output3_of(ds, ss, run_date),
     }
     for name, df in gold.items():
         TB.overwrite(spark, df, P("gold", name))
     return {
         "raw_stores_snapshot": t["raw_stores"].path, "raw_sales_snapshot": t["raw_sales"].path,
-        "raw_file_audit": audit_path, "silver_stores": t["silver_stores"].path,
-        "silver_sales": t["silver_sales"].path, "silver_sales_rejected": rejected_path,
+        "raw_file_audit": t["file_audit"].path, "silver_stores": t["silver_stores"].path,
+        "silver_sales": t["silver_sales"].path, "silver_sales_rejected": t["rejected"].path,
         "silver_sales_audit_by_batch": abb_path,
         **{name: P("gold", name) for name in gold},
     }
@@ -332,7 +423,7 @@ def _all_paths(layout: Layout) -> dict[str, str]:
     return {n: P(layer, n) for layer, ns in names.items() for n in ns}
 
 
-def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) -> RunResult:
+def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export, files=None) -> RunResult:
     if checks not in ("after_all", "after_each", "off"):
         raise ValueError(f"checks must be after_all, after_each or off, not {checks!r}")
     res = RunResult()
@@ -345,44 +436,84 @@ def _run(spark, layout, run_ts, run_date, checks, strict_batch_date, export) ->
             res.checks += out
             _raise_on_errors(out)
 
-    stores_land, sales_land = read_landing_files(spark, layout)
-    ingest_stores(spark, layout, stores_land, run_ts)
+    taken = taken_table(spark, layout)
+    if files is None:
+        files = [f for kind in KINDS for f in ingest.listing(spark, landing_pattern(layout, kind))]
+    files = ingest.unseen(spark, files, taken)
+    by_kind = {k: [f[0] for f in files if f[0].rsplit("/", 1)[1].startswith(f"{k}_")] for k in KINDS}
+    stores_land, sales_land = read_landing_files(spark, layout, by_kind)
+    t = _tables(layout, spark)
+    if by_kind["stores"] or not t["raw_stores"].exists():
+        ingest_stores(spark, layout, stores_land, run_ts)
+    else:
+        refresh_silver_stores(spark, layout, run_ts)         # what a crashed run has left
     check_now({"silver_stores"})
-    ingest_sales(spark, layout, sales_land, run_ts)
+    if by_kind["sales"] or not t["raw_sales"].exists():
+        ingest_sales(spark, layout, sales_land, run_ts)
+    else:
+        refresh_silver_sales(spark, layout, run_ts)
+    ingest.record(spark, files, taken, run_ts)
     check_now({"silver_sales", "silver_sales_rejected"})
     return finish_run(spark, layout, res, run_date, checks, strict_batch_date, export, check_now)
 
 
+def _built_from(spark: SparkSession, layout: Layout, run_date, strict_batch_date: bool) -> dict:
+    """What the reports depend on: table versions, the stamp date, the option."""
+    t = _tables(layout, spark)
+    day = str(run_date) if run_date is not None else str(spark.range(1).select(F.current_date()).first()[0])
+    return {"run_date": day, "strict": strict_batch_date,
+            **{n: _version(t[n]) for n in ("file_audit", "silver_stores", "silver_sales", "rejected")}}
+
+
 def finish_run(spark, layout, res, run_date=None, checks: str = "after_all", strict_batch_date: bool = True,
                export: bool = True, check_now=None) -> RunResult:
     """What follows the ingestion, of a batch run or a micro-batch:
-    compaction, reports, checks, export."""
+    compaction, reports, checks, export, expiry of old versions. Reports and
+    checks that were made from the same table versions stand."""
+    tables = _tables(layout, spark)
     if layout.compact_above_files:
-        for t in _tables(layout, spark).values():
-            if t.exists():
+        for t in tables.values():
+            if isinstance(t, TB.BucketedTable) and t.exists():
                 TB.compact(t, layout.compact_above_files)
-    res.tables = build_reports(spark, layout, run_date, strict_batch_date)
+    gold = layout.path("gold", "reports")
+    now, text = _built_from(spark, layout, run_date, strict_batch_date), TB.committed(spark, gold, BUILT)
+    last = json.loads(text) if text else {}
+    fresh = last.get("from") == now
+    if fresh:
+        res.tables = _all_paths(layout)
+    else:
+        res.tables = build_reports(spark, layout, run_date, strict_batch_date)
+        last = {"from": now, "checks": None}
     if check_now is not None:
         check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
                    "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})
     if checks == "after_all" and res.tables:
-        res.checks = check_tables(spark, res.tables)
+        if last["checks"] is None:
+            last["checks"] = check_tables(spark, res.tables)
+            fresh = False
+        res.checks = last["checks"]
+    if res.tables and not fresh:
+        TB.commit(spark, gold, BUILT, json.dumps(last))
+    if checks == "after_all":
         _raise_on_errors(res.checks)
     if export and layout.exports and res.tables:
         export_tables(spark, res.tables, layout.exports)
+    for t in [*tables.values(), taken_table(spark, layout), *_states(layout, spark).values(), *[VersionedTable(spark, p) for p in res.tables.values()
+                                                             if "/gold/" in p or p.endswith("_audit_by_batch")]]:
+        t.expire(layout.keep_versions)
     return res
 
 
 def register_warehouse(spark: SparkSession, layout: Layout) -> list[str]:
     """Views ``layer.table`` over the warehouse tables themselves (no copy;
     storage-only columns are hidden)."""
-    return register_views(spark, {path.rstrip("/").rsplit("/", 2)[-2] + "." + name: _visible(TB.read(spark, path))
-                                  for name, path in _all_paths(layout).items()})
+    return register_views(spark, {path.rstrip("/").rsplit("/", 2)[-2] + "." + name: path
+                                  for name, path in _all_paths(layout).items()}, {TB.BUCKET, TB.SEGMENT, KIND})
 
 
 def _visible(df: DataFrame | None) -> DataFrame | None:
     """A warehouse table without its storage-only columns."""
-    return None if df is None else df.drop(TB.BUCKET, KIND)
+    return None if df is None else df.drop(TB.BUCKET, TB.SEGMENT, KIND)
 
 
 __all__ = ["Layout", "RunResult", "CheckFailed", "run_daily", "snapshot_into", "upsert_into",

@@ -36,13 +36,19 @@ def audit_by_batch(file_audit: DataFrame, silver_sales: DataFrame,
     silver tables per batch; processing_date = latest audit stamp.
     Batches absent from the audit are not reported (audit is the left side).
     """
+    valid = silver_sales.groupBy("batch_date").agg(F.count("*").alias("valid_transactions"))
+    invalid = silver_rejected.groupBy("batch_date").agg(
+        F.count("*").alias("invalid_transactions"))
+    return audit_from_counts(file_audit, valid, invalid)
+
+
+def audit_from_counts(file_audit: DataFrame, valid: DataFrame, invalid: DataFrame) -> DataFrame:
+    """``audit_by_batch`` from (batch_date, valid_transactions) and
+    (batch_date, invalid_transactions)."""
     totals = (file_audit.where(F.col("file_type") == "sales")
               .groupBy("batch_date")
               .agg(F.sum("row_count").cast("bigint").alias("total_raw_transactions"),
                    F.max("processed_at").alias("processing_date")))
-    valid = silver_sales.groupBy("batch_date").agg(F.count("*").alias("valid_transactions"))
-    invalid = silver_rejected.groupBy("batch_date").agg(
-        F.count("*").alias("invalid_transactions"))
     return (totals.join(valid, "batch_date", "left")
             .join(invalid, "batch_date", "left")
             .select("batch_date",
@@ -108,7 +114,11 @@ def output2(silver_sales: DataFrame, run_date=None, n: int = C.OUTPUT2_ROWS) ->
     over that (stores, totals, top store); a running-sum window over the
     per-day rows; then the global top-``n``.
     """
-    ds = daily_store_totals(silver_sales)
+    return output2_of(daily_store_totals(silver_sales), run_date, n)
+
+
+def output2_of(ds: DataFrame, run_date=None, n: int = C.OUTPUT2_ROWS) -> DataFrame:
+    """``output2`` from (transaction_date, store_token, store_total, n_amount)."""
     # count(distinct store) per day == number of non-NULL store groups of the day.
     daily = ds.groupBy("transaction_date").agg(
         F.count("store_token").alias("stores_with_transactions"),
@@ -150,6 +160,19 @@ def output3(silver_sales: DataFrame, silver_stores: DataFrame, run_date=None,
     daily_store = (sales.join(F.broadcast(last), "transaction_date", "left_semi")
                    .groupBy("transaction_date", "store_token")
                    .agg(F.sum("amount").alias("store_total_sales")))
+    return _ranked_stores(daily_store, silver_stores, run_date, k)
+
+
+def output3_of(ds: DataFrame, silver_stores: DataFrame, run_date=None,
+               n_dates: int = C.OUTPUT3_DATES, k: int = C.OUTPUT3_TOP_K) -> DataFrame:
+    """``output3`` from (transaction_date, store_token, store_total, ...)."""
+    last = latest_n(ds, "transaction_date", n_dates, distinct=True)
+    daily_store = ds.join(F.broadcast(last), "transaction_date", "left_semi").select(
+        "transaction_date", "store_token", F.col("store_total").alias("store_total_sales"))
+    return _ranked_stores(daily_store, silver_stores, run_date, k)
+
+
+def _ranked_stores(daily_store: DataFrame, silver_stores: DataFrame, run_date, k: int) -> DataFrame:
     ranked = top_k_per(
         daily_store, "transaction_date",
         [F.col("store_total_sales").desc_nulls_last(), F.col("store_token").asc_nulls_last()],

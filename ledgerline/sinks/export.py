@@ -53,30 +53,41 @@ def _swap(spark: SparkSession, df: DataFrame, target: str) -> None:
 
 
 def export_tables(spark: SparkSession, tables: dict[str, str], root: str) -> dict[str, list[int] | None]:
-    """Export the warehouse tables at these paths, all nine of them. Of a
-    bucketed table only the buckets whose files have changed since the last
-    export are written (the export keeps the bucket folders and a manifest
-    of the files they were made from); others are swapped in whole. Returns
-    the written buckets of each table (None: all of it)."""
+    """Export the warehouse tables at these paths, all nine of them. A
+    manifest in the export tells what it was made from: a table of the same
+    version is left alone; of a bucketed one only the buckets whose files
+    have changed are written (the export keeps the bucket folders); others
+    are swapped in whole. Returns the written buckets of each table (None:
+    all of it)."""
     out: dict[str, list[int] | None] = {}
     for layer, names in EXPORT_TABLES.items():
         for t in names:
             if t not in tables:
                 continue
-            df, target = TB.read(spark, tables[t]), target_of(root, layer, t)
+            table, target = TB.table_at(spark, tables[t]), target_of(root, layer, t)
+            m = table.manifest()
+            text = TB._read_text(spark, f"{target}/{MANIFEST}") if TB.exists(spark, target) else None
+            was = json.loads(text) if text else {}
+            now: dict = {"version": m.version}
+            if was.get("version") == m.version:
+                out[t] = []
+                continue
+            df = table.read(m)
             if TB.BUCKET not in df.columns:
                 _swap(spark, df, target)
                 out[t] = None
-                continue
-            now = {str(b): sorted(x) for b, x in TB.files_per_bucket(spark, tables[t]).items()}
-            text = TB._read_text(spark, f"{target}/{MANIFEST}") if TB.exists(spark, target) else None
-            was = json.loads(text) if text else {}
-            changed = sorted(int(b) for b in now if now[b] != was.get(b))
-            if changed or not was:
-                TB.remember_schema(df, target)
-                part = df.where(F.col(TB.BUCKET).isin(changed)) if was else df
-                (part.hint("rebalance", F.col(TB.BUCKET)).write.mode("overwrite").option("compression", "zstd")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy(TB.BUCKET).parquet(target))
-                TB._write_text(spark, f"{target}/{MANIFEST}", json.dumps(now))
-            out[t] = changed
+            else:
+                now["buckets"] = buckets = {}
+                for p in m.parts:
+                    buckets.setdefault(table.value(p, TB.BUCKET), []).extend([p.run, *p.files])
+                old = was.get("buckets", {})
+                changed = sorted(int(b) for b in buckets if buckets[b] != old.get(b))
+                if changed or not was:
+                    df = table.read(m, keep=lambda p: int(table.value(p, TB.BUCKET)) in changed) if was else df
+                    df = df.drop(TB.SEGMENT)
+                    TB.remember_schema(df, target)
+                    (df.hint("rebalance", F.col(TB.BUCKET)).write.mode("overwrite").option("compression", "zstd")
+                     .option("partitionOverwriteMode", "dynamic").partitionBy(TB.BUCKET).parquet(target))
+                out[t] = changed
+            TB._write_text(spark, f"{target}/{MANIFEST}", json.dumps(now))
     return out

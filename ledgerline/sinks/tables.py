@@ -1,44 +1,38 @@
 """Table writes for the layered warehouse (plain Parquet, no MERGE).
 
-Large keyed targets (snapshots, upserted silver tables) are stored
-partitioned by ``bucket = pmod(xxhash64(keys), n_buckets)``. A run then
+All warehouse tables are versioned (``sinks.versions``): a step writes its
+files once and publishes them by reference, together with what they
+replace. Large keyed tables are ``BucketedTable``: partitioned by ``bucket
+= pmod(xxhash64(keys), n_buckets)``, and by segment (open or closed rows)
+where rows get closed. A run rewrites only the open rows of buckets that
+hold a replaced key; closed rows are only ever appended.
 
-* appends rows of keys that are new to the table (no rewrite), and
-* rewrites only the buckets that hold a replaced or closed key: their new
-  content is written to a staging folder beside the table, the folder is
-  marked ready, and a dynamic partition overwrite publishes it. The staged
-  content is kept until the publishing is done: after a crash the next
-  ``recover`` publishes a ready folder again (the same content, so doing it
-  twice is harmless) and drops an unfinished one.
+``BucketedTable.lookup`` finds the rows that may have one of some keys: the
+buckets of the keys first, then a Bloom filter of the keys of every file,
+kept beside the data, so files without a match are not opened.
 
 What a run has completed is told by a commit record (``commit``), written
 last, and not by the rows a crashed run may have left behind.
-
-Every table keeps its schema beside the data; appends with new columns
-extend it and readers use it, so columns may be added at any time and no
-footer has to be merged.
-
-Small full-refresh tables are written to a ``.tmp`` sibling and renamed.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
-BUCKET = "bucket"
-READY = "_ready"
+from ledgerline.sinks.versions import (RUN, Manifest, Part, VersionedTable, fs_of as _fs,
+                                       read_text as _read_text, with_fields)
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+BUCKET, SEGMENT = "bucket", "segment"
+OPEN, CLOSED = "open", "closed"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -69,7 +63,8 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file as a whole: readers see the old or the new text."""
+    """Write a small file as a whole: readers see the old or the new text,
+    or for a moment none."""
     fs, p = _fs(spark, path)
     tmp = f"{path}.{uuid.uuid4().hex}.tmp"
     out = fs.create(_fs(spark, tmp)[1], True)
@@ -80,29 +75,27 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     rename(spark, tmp, path)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        scanner = spark.sparkContext._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
-        return scanner.next() if scanner.hasNext() else ""
-    finally:
-        stream.close()
-
-
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
     text = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
     return None if text is None else StructType.fromJson(json.loads(text))
 
 
+def table_at(spark: SparkSession, path: str) -> VersionedTable | None:
+    """The versioned table at a path, with the levels that its manifest names."""
+    m = VersionedTable(spark, path).manifest()
+    return None if m is None else VersionedTable(spark, path, m.levels)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None before its first write (first-run semantics). It
-    is read with its stored schema: files that are older than a column give
-    NULL for it, and a table without rows is typed."""
+    """The table (its newest version), or None before its first write. A
+    folder without versions (an export) is read with its stored schema, if
+    it has one: files that are older than a column give NULL for it, and a
+    table without rows is typed."""
     if not exists(spark, path):
         return None
+    t = table_at(spark, path)
+    if t is not None:
+        return t.read()
     schema, filled = stored_schema(spark, path), has_data(spark, path)
     if not filled:
         return None if schema is None else spark.createDataFrame([], schema)
@@ -113,7 +106,8 @@ COMMITS = "_commits"
 
 
 def commit(spark: SparkSession, path: str, name: str, value: str) -> None:
-    """Record that everything up to ``value`` is in the table."""
+    """Record what a run has completed. A record that is missing (a crash
+    while it is replaced) means that nothing is known to be complete."""
     base = f"{path.rstrip('/')}{COMMITS}"
     fs, p = _fs(spark, base)
     fs.mkdirs(p)
@@ -129,129 +123,195 @@ def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
 
 
 def overwrite(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a whole (small) table: write a sibling, then rename."""
-    fs, target = _fs(spark, path)
-    tmp, old = path + ".tmp", path + ".old"
-    df.write.mode("overwrite").parquet(tmp)
-    if fs.exists(target):
-        fs.delete(_fs(spark, old)[1], True)
-        rename(spark, path, old)
-    rename(spark, tmp, path)
-    fs.delete(_fs(spark, old)[1], True)
+    """Replace a whole table (or create it)."""
+    VersionedTable(spark, path).overwrite(df)
 
 
-def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Add rows. A partitioned append is rebalanced by the partition column
-    first, so a partition gets a file per advisory size and not one per
-    task. New columns extend the stored schema."""
-    remember_schema(df, path)
-    if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+def append(df: DataFrame, path: str) -> None:
+    """Add rows (or create the table). New columns extend its schema."""
+    VersionedTable(df.sparkSession, path).append(df)
 
 
 def remember_schema(df: DataFrame, path: str) -> None:
-    """Keep the schema next to the data (``_schema.json`` is ignored by
-    readers): what was known plus the new columns of ``df``."""
+    """Keep the schema next to the data of a plain folder (``_schema.json``
+    is ignored by readers): what was known plus the new columns of ``df``."""
     spark = df.sparkSession
     old = stored_schema(spark, path)
     if old is None and has_data(spark, path):
         old = spark.read.parquet(path).schema
-    fields = list(old.fields) if old is not None else []
-    known = {f.name for f in fields}
-    fresh = [StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name not in known]
-    if old is None or fresh:
+    new = with_fields(old, df.schema)
+    if old is None or len(new) > len(old):
         fs, p = _fs(spark, path)
         fs.mkdirs(p)
-        _write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", StructType(fields + fresh).json())
+        _write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", new.json())
 
 
-class BucketedTable:
-    """A keyed Parquet table hash-partitioned into ``n_buckets`` folders."""
+# --------------------------------------------------------------- filters ---
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 n_buckets: int = 64, staging_root: str | None = None):
-        self.spark, self.path, self.keys, self.n = spark, path, list(keys), n_buckets
-        self.staging_root = staging_root or path.rstrip("/") + "_staging"
+BLOOMS = "_blooms"
+#: Keys in one Bloom filter (a larger file has several), bits a key, and probes.
+BLOOM_KEYS, BLOOM_BITS, BLOOM_PROBES = 1 << 20, 10, 6
 
-    def exists(self) -> bool:
-        return exists(self.spark, self.path)
 
-    def read(self) -> DataFrame | None:
-        df = read(self.spark, self.path)
-        return None if df is None else df
+def _probes(hashes: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
+    h = hashes.view(np.uint64)
+    low, high = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
+    for i in range(BLOOM_PROBES):
+        yield ((low + np.uint64(i) * high) % np.uint64(n_bits)).astype(np.int64)
+
+
+def bloom(hashes: np.ndarray) -> bytes:
+    bits = np.zeros(max(64, -(-BLOOM_BITS * len(hashes) // 8) * 8), np.uint8)
+    for at in _probes(hashes, len(bits)):
+        bits[at] = 1
+    return np.packbits(bits).tobytes()
 
-    def with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, bucket_of(self.keys, self.n))
 
-    def append(self, df: DataFrame) -> None:
-        """Add rows (with their bucket) without touching existing files."""
-        if BUCKET not in df.columns:
-            df = self.with_bucket(df)
-        append(df, self.path, BUCKET)
+def may_hold(filter_bits: bytes, hashes: np.ndarray) -> bool:
+    """Whether any of the hashes may be in the filter (never False for one that is)."""
+    bits = np.frombuffer(filter_bits, np.uint8)
+    some = np.ones(len(hashes), bool)
+    for at in _probes(hashes, len(bits) * 8):
+        some &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return bool(some.any())
+
+
+def _bloom_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, file, bits) of keys that stream by, a filter per file and BLOOM_KEYS keys."""
+    held: dict[tuple[int, str], list[np.ndarray]] = {}
+
+    def out(keys):
+        made = [(b, f, bloom(np.concatenate(held.pop((b, f))))) for b, f in keys]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), (pa.int32(), pa.string(), pa.binary()))],
+                                          names=["bucket", "file", "bits"])
+
+    for batch in batches:
+        files = batch.column("file").dictionary_encode()
+        names, codes = files.dictionary.to_pylist(), files.indices.to_numpy()
+        hashes, buckets = batch.column("h").to_numpy(), batch.column("bucket").to_numpy()
+        for i, name in enumerate(names):
+            mine = codes == i
+            held.setdefault((int(buckets[mine][0]), name), []).append(hashes[mine])
+        full = [k for k, v in held.items() if sum(map(len, v)) >= BLOOM_KEYS]
+        if full:
+            yield out(full)
+    if held:
+        yield out(list(held))
+
+
+def _files_hit(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    hashes = keys.column("h").to_numpy()
+    hit = {f for f, b in zip(filters.column("file").to_pylist(), filters.column("bits").to_pylist())
+           if len(hashes) and may_hold(b, hashes)}
+    return pa.table({"file": pa.array(sorted(hit), pa.string())})
+
+
+@dataclass
+class Lookup:
+    """Rows that may have a key, and how many files were opened for them:
+    of the table, of the buckets of the keys, and read."""
+
+    rows: DataFrame | None
+    files: int
+    files_in_buckets: int
+    files_read: int
+
+
+class BucketedTable(VersionedTable):
+    """A keyed table hash-partitioned into ``n_buckets``; with ``segments``,
+    rows carry a segment (open or closed) that is a folder level too.
+    ``filters``: whether a Bloom filter of the keys of every open file is kept."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = 64,
+                 segments: bool = False, filters: bool = True):
+        super().__init__(spark, path, {SEGMENT: "string", BUCKET: "int"} if segments else {BUCKET: "int"})
+        self.keys, self.n, self.segments, self.filters = list(keys), n_buckets, segments, filters
+
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        return df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(self.keys, self.n))
+
+    def is_open(self, part: Part) -> bool:
+        return not self.segments or self.value(part, SEGMENT) == OPEN
+
+    def bucket(self, part: Part) -> int:
+        return int(self.value(part, BUCKET))
+
+    def write(self, df: DataFrame, base: Manifest | None) -> str:
+        df = self.with_bucket(df)
+        if self.segments and SEGMENT not in df.columns:
+            df = df.withColumn(SEGMENT, F.lit(OPEN))
+        run = super().write(df, base)
+        if self.filters:                                      # before the run is published
+            names = [f for p in self.parts_of(run) if self.is_open(p) for f in self.paths(p)]
+            if names:
+                rows = self.spark.read.schema(df.schema).option("basePath", f"{self.path}/{RUN}={run}").parquet(*names)
+                rows = rows.select(BUCKET, F.xxhash64(*self.keys).alias("h"), F.regexp_extract(
+                    F.col("_metadata.file_path"), f"({RUN}=.*)$", 1).alias("file"))
+                rows.mapInArrow(_bloom_rows, "bucket int, file string, bits binary") \
+                    .write.parquet(f"{self.path}/{BLOOMS}/{RUN}={run}")
+        return run
 
     def rewrite(self, touched: Sequence[int], content: DataFrame) -> None:
-        """Replace the listed buckets with ``content`` (which must hold the
-        complete new rows of exactly those buckets)."""
+        """Replace the (open) rows of the listed buckets with ``content``,
+        which must hold the complete new rows of exactly those buckets."""
         if not touched:
             return
-        if BUCKET not in content.columns:
-            content = self.with_bucket(content)
-        content = content.where(F.col(BUCKET).isin(list(touched)))
-        remember_schema(content, self.path)
-        staging = f"{self.staging_root.rstrip('/')}/{uuid.uuid4().hex}"
-        (content.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
-         .partitionBy(BUCKET).parquet(staging))
-        _write_text(self.spark, f"{staging}/{READY}", "")
-        self._publish(staging)
-
-    def _publish(self, staging: str) -> None:
-        """Put the buckets of a ready staging folder in place of the table's."""
-        staged = self.spark.read.schema(stored_schema(self.spark, self.path)).parquet(staging)
-        (staged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path))
-        fs, p = _fs(self.spark, staging)
-        fs.delete(p, True)
-
-    def recover(self) -> int:
-        """Finish what a crashed run has left: publish ready staging folders
-        again, drop the others. Returns how many were published."""
-        fs, root = _fs(self.spark, self.staging_root)
-        if not fs.exists(root):
-            return 0
-        done = 0
-        for st in fs.listStatus(root):                        # one folder per crashed rewrite
-            folder = str(st.getPath().toString())
-            if fs.exists(_fs(self.spark, f"{folder}/{READY}")[1]):
-                self._publish(folder)
-                done += 1
-            else:
-                fs.delete(st.getPath(), True)
-        return done
+        some = set(touched)
+        content = self.with_bucket(content).where(F.col(BUCKET).isin(list(touched)))
+        self.change(content, drop=lambda p: self.is_open(p) and self.bucket(p) in some)
+
+    def lookup(self, keys: DataFrame, manifest: Manifest | None = None) -> Lookup:
+        """The (open) rows that may have one of ``keys`` (a written table
+        with the key columns and their bucket)."""
+        m = manifest or self.manifest()
+        opened = [p for p in m.parts if self.is_open(p)] if m else []
+        buckets = set(touched_buckets(keys)) if opened else set()
+        parts = [p for p in opened if self.bucket(p) in buckets]
+        total, near = sum(len(p.files) for p in opened), {f for p in parts for f in self.paths(p)}
+        if self.filters and near:
+            runs = sorted({p.run for p in parts})
+            filters = self.spark.read.schema("bucket int, file string, bits binary") \
+                .parquet(*[f"{self.path}/{BLOOMS}/{RUN}={r}" for r in runs]).where(F.col(BUCKET).isin(sorted(buckets)))
+            hashed = keys.select(BUCKET, F.xxhash64(*self.keys).alias("h"))
+            hit = hashed.groupBy(BUCKET).cogroup(filters.groupBy(BUCKET)).applyInArrow(_files_hit, "file string")
+            near &= {f"{self.path}/{r[0]}" for r in hit.distinct().collect()}      # at most a name a file
+        rows = self.read(m, keep=lambda p: self.is_open(p) and self.bucket(p) in buckets, files=near) if near else None
+        return Lookup(rows, total, sum(len(p.files) for p in parts), len(near))
+
+    def expire(self, keep: int | None = None, orphan_s: float | None = None) -> list[str]:
+        given = {k: v for k, v in (("keep", keep), ("orphan_s", orphan_s)) if v is not None}
+        gone = super().expire(**given)
+        runs = {p.run for v in self.versions() for p in self.manifest(v).parts}
+        fs, root = _fs(self.spark, f"{self.path}/{BLOOMS}")
+        for name in [f[len(self.path) + 1:] for f in gone]:
+            if "/" not in name and name.split("=", 1)[1] not in runs:
+                fs.delete(_fs(self.spark, f"{self.path}/{BLOOMS}/{name}")[1], True)
+        return gone
 
 
 def files_per_bucket(spark: SparkSession, path: str) -> dict[int, list[str]]:
-    """Parquet file names of each bucket folder (one listing, no scan)."""
+    """Files (below the table) of each bucket, from the manifest."""
+    t = table_at(spark, path)
     found: dict[int, list[str]] = {}
-    for f in spark.read.parquet(path).inputFiles() if has_data(spark, path) else []:
-        folder, name = f.rsplit("/", 2)[-2:]
-        found.setdefault(int(folder.split("=", 1)[1]), []).append(name)
+    for p in t.manifest().parts if t else ():
+        for f in t.paths(p):
+            found.setdefault(int(t.value(p, BUCKET)), []).append(f[len(t.path) + 1:])
     return found
 
 
-def compact(table: "BucketedTable", max_files: int = 32) -> list[int]:
-    """Rewrite (staged, as in ``rewrite``) every bucket holding more than
-    ``max_files`` files into few; appends of many runs otherwise leave
-    many small files per bucket. Returns the compacted buckets."""
-    crowded = sorted(b for b, names in files_per_bucket(table.spark, table.path).items()
-                     if len(names) > max_files)
+def compact(table: "BucketedTable", max_files: int = 32) -> list[tuple[str, ...]]:
+    """Write every (segment,) bucket of more than ``max_files`` files anew
+    with few; appends of many runs otherwise leave many small files.
+    Returns the level values of the compacted ones."""
+    m = table.manifest()
+    count: dict[tuple, int] = {}
+    for p in m.parts if m else ():
+        count[p.values] = count.get(p.values, 0) + len(p.files)
+    crowded = {v for v, n in count.items() if n > max_files}
     if crowded:
-        df = table.read().where(F.col(BUCKET).isin(crowded))
-        table.rewrite(crowded, df)
-    return crowded
+        inside: Callable[[Part], bool] = lambda p: p.values in crowded
+        table.change(table.read(m, keep=inside), drop=inside, base=m)
+    return sorted(crowded)
 
 
 def touched_buckets(df: DataFrame) -> list[int]:

@@ -11,12 +11,16 @@ Two Spark specifics matter for exact results:
   ``groupBy(file)`` parses no field and counts malformed lines too;
 * quoting follows RFC 4180 (``""`` inside quotes), and ``multiLine`` is on
   by default so a quoted line break never splits a row. ``multiLine``
-  makes each file one split; turn it off for very large files that are
-  known to hold no quoted line break, so they can be split across tasks.
+  makes each file one task. ``"auto"`` looks at the lines first: a quoted
+  break leaves a line with an odd number of quotes before it, so a file all
+  of whose lines have an even number is read in splits by several tasks,
+  and only the others are read whole.
 """
 
 from __future__ import annotations
 
+import re
+import urllib.parse
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,15 +67,22 @@ def file_name(source_file: Column | str) -> Column:
     return F.regexp_extract(c, r"([^/]*)$", 1)
 
 
-def read_landing(spark: SparkSession, pattern: str, columns: Sequence[str],
-                 header_cols: Sequence[str] | None = None, multi_line: bool = True,
+def read_landing(spark: SparkSession, pattern: str | Sequence[str], columns: Sequence[str],
+                 header_cols: Sequence[str] | None = None, multi_line: bool | str = True,
                  source_col: str = "source_file") -> DataFrame:
-    """Rows of every file matching ``pattern`` plus ``source_col`` (file
-    URI). An empty match gives a typed empty DataFrame instead of an error."""
+    """Rows of every file matching ``pattern`` (or of a list of files) plus
+    ``source_col`` (file URI). An empty match or list gives a typed empty
+    DataFrame instead of an error."""
     schema = text_schema(columns)
-    if not landing_has_files(spark, pattern):
+    if not (landing_has_files(spark, pattern) if isinstance(pattern, str) else pattern):
         empty = T.StructType(schema.fields + [T.StructField(source_col, T.StringType())])
         return spark.createDataFrame([], empty)
+    if multi_line == "auto":
+        files = list_files(spark, pattern) if isinstance(pattern, str) else list(pattern)
+        whole = files_with_open_lines(spark, files)
+        parts = [read_landing(spark, some, columns, header_cols, flag, source_col)
+                 for some, flag in (([f for f in files if f not in whole], False), (sorted(whole), True)) if some]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     df = (spark.read.schema(schema)
           .option(PRUNING_OPTION, "false")
           .option("header", "false")
@@ -79,13 +90,28 @@ def read_landing(spark: SparkSession, pattern: str, columns: Sequence[str],
           .option("multiLine", str(multi_line).lower())
           .option("quote", '"')
           .option("escape", '"')
-          .csv(pattern)
+          .csv(pattern if isinstance(pattern, str) else list(pattern))
           .select(*columns, F.col("_metadata.file_path").alias(source_col)))
     if header_cols:
         df = df.where(header_filter(header_cols))
     return df
 
 
+def files_with_open_lines(spark: SparkSession, files: Sequence[str]) -> set[str]:
+    """Those of ``files`` that have a line with an odd number of quotes
+    (one scan in splits; at most a name a file reaches the driver)."""
+    lines = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("f"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    found = {r.f for r in lines.where(quotes % 2 == 1).select("f").distinct().collect()}
+    plain = {_bare(f) for f in found}
+    return {f for f in files if _bare(f) in plain}
+
+
+def _bare(uri: str) -> str:
+    """A URI as the listing and the scan both write it."""
+    return re.sub(r"^file:/+", "/", urllib.parse.unquote(uri))
+
+
 def new_files(df: DataFrame, audit: DataFrame | None, key: str = "source_file") -> DataFrame:
     """Rows of files not yet recorded in ``audit`` (NOT IN as left anti)."""
     if audit is None:

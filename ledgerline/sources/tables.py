@@ -1,9 +1,14 @@
-"""Parquet tables: read (with a parallelism floor), existence checks, and
-exported-table views."""
+"""Parquet tables: reading, existence checks, and views ``layer.table``."""
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType, StringType
+
+from ledgerline.sinks import tables as TB
+from ledgerline.sinks.versions import RUN, VersionedTable
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -11,45 +16,61 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    return TB.exists(spark, path)
+
 
+def register_views(spark: SparkSession, paths: Mapping[str, str], hidden: Collection[str] = ()) -> list[str]:
+    """A view ``layer.table`` (and a temp view ``layer_table``) for each
+    table at a path; tables without a first write are skipped, ``hidden``
+    columns are not shown.
 
-def register_views(spark: SparkSession, tables: dict[str, DataFrame | None]) -> list[str]:
-    """Views named ``layer.table`` over frames that read files, and temp
-    views ``layer_table`` beside them. Missing tables (None) are skipped."""
+    A view of the catalog can't hold a frame. It stands on an external table
+    (``layer._table``) with the stored schema, so rows that are older than a
+    column give NULL for it, whose partitions are the parts of the table's
+    newest version, or the partition folders of a plain folder. Call again
+    after a run to see its version."""
     from ledgerline.session import work_dir
 
     have = {d.name for d in spark.catalog.listDatabases()}
     names = []
-    for name, df in tables.items():
+    for name, path in paths.items():
+        df = TB.read(spark, path)
         if df is None:
             continue
         layer, table = name.split(".")
         if layer not in have:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{work_dir(spark, layer)}'")
             have.add(layer)
-        df.createOrReplaceTempView(f"{layer}_{table}")
-        files = df.inputFiles()
-        if files:                                             # a table of the catalog needs a place, not a frame
-            folder = _table_folder(files[0])
-            cols = ", ".join(f"`{c}`" for c in df.columns)
-            spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT {cols} FROM parquet.`{folder}`")
-        else:
-            cols = ", ".join(f"cast(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
-            spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT {cols} WHERE false")
+        shown = [c for c in df.columns if c not in hidden]
+        df.select(*shown).createOrReplaceTempView(f"{layer}_{table}")
+        schema, levels, parts = _parts(spark, path, df)
+        spark.sql(f"DROP TABLE IF EXISTS {layer}._{table}")
+        typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f"PARTITIONED BY ({', '.join(levels)})" if levels else ""
+        spark.sql(f"CREATE TABLE {layer}._{table} ({typed}) USING parquet {by} LOCATION '{path}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {layer}._{table} ADD " + " ".join(
+                f"PARTITION ({', '.join(f'{k}={v!r}' for k, v in values.items())}) LOCATION '{folder}'"
+                for values, folder in parts))
+        cols = ", ".join(f"`{c}`" for c in shown)
+        spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT {cols} FROM {layer}._{table}")
         names.append(name)
     return names
 
 
-def _table_folder(file: str) -> str:
-    """The table a data file belongs to: partition folders are part of it."""
-    folder = file.rsplit("/", 1)[0]
-    while "=" in folder.rsplit("/", 1)[1]:
-        folder = folder.rsplit("/", 1)[0]
-    return folder
+def _parts(spark: SparkSession, path: str, df: DataFrame) -> tuple[StructType, list[str], list[tuple[dict, str]]]:
+    """Schema with partition columns, their names, and (values, folder) of each partition."""
+    t = TB.table_at(spark, path)
+    if t is not None:
+        m = t.manifest()
+        levels = [RUN, *t.levels]
+        run = StructField(RUN, StringType())
+        return (StructType([*df.schema.fields, run]), levels,
+                [(dict(zip(levels, (p.run, *p.values))), t._folder(p)) for p in m.parts])
+    folders = sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+    found = [(dict(x.split("=", 1) for x in f.split("/") if "=" in x), f) for f in folders]
+    levels = list(found[0][0]) if found else []
+    return df.schema, levels, found if levels else []
 
 
 def register_exports(spark: SparkSession, root: str,
@@ -57,12 +78,7 @@ def register_exports(spark: SparkSession, root: str,
     """A view ``layer.table`` (and a temp view ``layer_table``) per exported
     table found under ``root/<layer>/<table>.parquet``; missing tables are
     skipped. Call again after a new export to pick up new files."""
-    from ledgerline.sinks import tables as TB
     from ledgerline.sinks.export import EXPORT_TABLES, target_of
 
-    found = {}
-    for layer, tables in (layout or EXPORT_TABLES).items():
-        for t in tables:
-            df = TB.read(spark, target_of(root, layer, t))
-            found[f"{layer}.{t}"] = None if df is None else df.drop(TB.BUCKET)
-    return register_views(spark, found)
+    return register_views(spark, {f"{layer}.{t}": target_of(root, layer, t)
+                                  for layer, tables in (layout or EXPORT_TABLES).items() for t in tables}, {TB.BUCKET})

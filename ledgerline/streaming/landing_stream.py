@@ -1,22 +1,28 @@
-"""The ELT run as Structured Streaming over the landing folder.
+"""The ELT run as one Structured Streaming query over the landing folder.
 
-Two file-source streams (stores, sales) read each landing file once; the
-source's checkpoint plays the part of "files already ingested". Each
-micro-batch goes through the same steps as a batch run via
-``foreachBatch``: SCD2 snapshot, file audit, silver upsert/append, then
-the reports. Replaying a micro-batch after a failure is harmless: the
-snapshot is a no-op on equal input and every append is anti-joined on its
-key.
+A file source lists new landing files of both kinds (names, lengths and
+times; no content is read by the source). Each micro-batch hands its files
+to one daily run (``foreachBatch``): stores first, then sales, then
+compaction, reports, checks and export, so no two steps ever work on the
+same table at once. The run reads the files, unless a run has taken them in
+already.
+
+An epoch that has been completed is recorded by (checkpoint, epoch id): a
+micro-batch that Spark replays after a failure is passed over if its record
+is there, and run again if not, which is harmless (see ``plans.daily_run``).
 
 ``trigger="availableNow"`` processes everything present and stops (the
 daily-job shape); ``processingTime`` keeps running. ``archive_dir`` moves
 consumed files there (``cleanSource=archive``; Spark archives a file in a
 later micro-batch and mirrors its full source path).
+
+``landing_stream`` is the plain source of rows of one kind, for other sinks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,48 +56,45 @@ def _stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
+EPOCH = "epoch"                          # commit record: the last completed micro-batch of a checkpoint
+#: The fixed columns of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _record_path(layout: D.Layout, checkpoint_dir: str) -> str:
+    return layout.path("raw", f"_stream_{hashlib.md5(checkpoint_dir.rstrip('/').encode()).hexdigest()[:12]}")
+
+
 def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
                trigger: str = "availableNow", processing_time: str = "1 minute",
                archive_dir: str | None = None, run_date=None, stamp=_stamp,
                max_files_per_trigger: int | None = None, checks: str = "after_all",
                export: bool = True) -> list[StreamingQuery]:
-    """Ingest new landing files (stores first, then sales); every sales
-    micro-batch is followed by compaction, reports, checks and export, as in
-    a batch run. ``stamp()`` gives the run timestamp of each micro-batch
-    (must increase). Returns the two queries: ended ones for
-    ``availableNow``, running ones otherwise."""
-    land = layout.landing.rstrip("/")
-    ck = checkpoint_dir.rstrip("/")
-
-    # Micro-batches run on the stream's thread; each cleans its own scratch.
-    def stores_batch(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            D.ingest_stores(spark, layout, batch, stamp())
-        finally:
-            D._drop_scratch(spark)
-
-    def sales_batch(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            D.ingest_sales(spark, layout, batch, stamp())
-            D.finish_run(spark, layout, D.RunResult(), run_date, checks, export=export)
-        finally:
-            D._drop_scratch(spark)
-
-    kinds = (("stores", C.STORE_COLUMNS, C.STORE_COLUMNS, stores_batch),
-             ("sales", C.SALES_COLUMNS, C.SALES_COLUMNS[:3], sales_batch))
+    """Ingest new landing files, a daily run a micro-batch. ``stamp()``
+    gives its run timestamp (must increase). Returns the one query: ended
+    for ``availableNow``, running otherwise."""
+    record = _record_path(layout, checkpoint_dir)
+
+    def batch(files: DataFrame, epoch_id: int) -> None:
+        done = TB.committed(spark, record, EPOCH)
+        if done is not None and epoch_id <= int(done):
+            return
+        rows = files.select("path", "length", F.unix_millis("modificationTime").alias("modified")).collect()
+        D.run_daily(spark, layout, stamp(), run_date, checks, export=export, files=sorted(map(tuple, rows)))
+        TB.commit(spark, record, EPOCH, str(epoch_id))
+
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "{stores,sales}_*.csv")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    source = reader.load(layout.landing.rstrip("/")).select("path", "length", "modificationTime")
     if not TB.exists(spark, layout.path("silver", "silver_stores")):
-        # typed tables, if there never is a stores file
-        empty = spark.createDataFrame([], text_schema([*C.STORE_COLUMNS, "source_file"]))
-        D.ingest_stores(spark, layout, empty, FLOOR_TS)
-        D._drop_scratch(spark)
-    queries = []
-    for name, cols, head, fn in kinds:
-        stream = landing_stream(spark, f"{land}/{name}_*.csv", cols, head, archive_dir=archive_dir,
-                                max_files_per_trigger=max_files_per_trigger, multi_line=layout.multi_line)
-        w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", f"{ck}/{name}")
-        w = w.trigger(availableNow=True) if trigger == "availableNow" \
-            else w.trigger(processingTime=processing_time)
-        queries.append(w.start())
-        if trigger == "availableNow":
-            queries[-1].awaitTermination()
-    return queries
+        # typed tables, if there never is a file
+        D.run_daily(spark, layout, FLOOR_TS, run_date, "off", export=False, files=[])
+    w = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_dir)
+    if trigger == "availableNow":
+        query = w.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [query]
+    return [w.trigger(processingTime=processing_time).start()]

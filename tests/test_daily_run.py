@@ -34,8 +34,8 @@ def layout(root):
 
 
 def rows(spark, path, order):
-    df = spark.read.parquet(path)
-    return [r.asDict() for r in df.drop("bucket").orderBy(*order).collect()]
+    df = TB.read(spark, path)
+    return [r.asDict() for r in df.drop("bucket", "segment").orderBy(*order).collect()]
 
 
 @pytest.fixture
@@ -187,7 +187,7 @@ def test_null_keys_counted_but_not_in_silver(spark, tmp_dir):
 def test_empty_landing(spark, tmp_dir):
     lay = layout(tmp_dir)
     res = run_daily(spark, lay, "2024-01-02 06:00:00", checks="after_all")
-    assert spark.read.parquet(lay.path("gold", "rpt_transactions_by_batch")).count() == 0
+    assert TB.read(spark, lay.path("gold", "rpt_transactions_by_batch")).count() == 0
     assert res.tables
 
 
@@ -201,7 +201,7 @@ def test_bad_file_name_fails_output1(spark, tmp_dir):
     sales_file(lay2.landing, "sales_x.csv",
                [f"{S1},{T1},R0001,20240101T101500.000,$10.50,cashier"])
     run_daily(spark, lay2, "2024-01-02 06:00:00", strict_batch_date=False, checks="off")
-    o1 = spark.read.parquet(lay2.path("gold", "rpt_transactions_by_batch")).collect()
+    o1 = TB.read(spark, lay2.path("gold", "rpt_transactions_by_batch")).collect()
     assert len(o1) == 1 and o1[0]["batch_date"] is None
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import write_csv
 from ledgerline.sources import read_landing
+from ledgerline.sources.landing import files_with_open_lines, list_files
 
 COLS = ["store_group", "store_token", "store_name"]
 
@@ -54,3 +55,25 @@ def test_splittable_read_without_multiline(spark, tmp_dir):
                      multi_line=False)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert b.count() == 2
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmp_dir):
+    """A plain file is split among tasks, a quoted line break stays one row."""
+    plain = "\n".join(f'a{i},"b, ""{i}""",c' for i in range(30_000)) + "\n"
+    write_csv(os.path.join(tmp_dir, "x_1.csv"), plain)
+    write_csv(os.path.join(tmp_dir, "x_2 é.csv"), 'a,"two\nlines",c\nd,e,f\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        auto = read_landing(spark, os.path.join(tmp_dir, "x_*.csv"), ["p", "q", "r"], multi_line="auto")
+        whole = read_landing(spark, os.path.join(tmp_dir, "x_*.csv"), ["p", "q", "r"], multi_line=True)
+        one = auto.where("source_file LIKE '%x_1.csv'")
+        assert one.rdd.getNumPartitions() > 4 and whole.rdd.getNumPartitions() <= 2
+        got = sorted(map(tuple, auto.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted(map(tuple, whole.collect())) and len(got) == 30_002
+    assert ("a", "two\nlines", "c") in {r[:3] for r in got}
+    files = [f for f in list_files(spark, os.path.join(tmp_dir, "x_*.csv"))]
+    assert [f[-9:] for f in files_with_open_lines(spark, files)] == [[f for f in files if "x_2" in f][0][-9:]]
+    assert read_landing(spark, os.path.join(tmp_dir, "none_*.csv"), ["p"], multi_line="auto").count() == 0
