@@ -50,25 +50,33 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def _pairs(ranks: dict[bytes, int]) -> Iterator[tuple[int, int]]:
+    for t, r in ranks.items():
+        for i in range(1, len(t)):
+            a, b = ranks.get(t[:i]), ranks.get(t[i:])
+            if a is not None and b is not None:
+                yield a << 32 | b, r
+
+
 class MergeReplay:
     """Merges of one rank table, applied to many words at once."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self.token = {r: t for t, r in ranks.items()}
+        self.token: list[bytes] = [b""] * (1 + max(ranks.values()))
+        for t, r in ranks.items():
+            self.token[r] = t
         inner = regex.sub(r"\\s(?=[^\]]*\])", lambda _: SPACE, pattern)       # \s inside [...]
         self.word = regex.compile(inner.replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
-        #: every way to make a token of two tokens: key of the pair -> rank
-        pairs = {}
-        for t, r in ranks.items():
-            for i in range(1, len(t)):
-                a, b = ranks.get(t[:i]), ranks.get(t[i:])
-                if a is not None and b is not None:
-                    pairs[a << 32 | b] = r
-        keys = np.array([*pairs, np.iinfo(np.int64).max], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.made = keys[order], np.array([*pairs.values(), NONE], np.int64)[order]
+        #: every way to make a token of two tokens: key of the pair, sorted, and the rank
+        pairs = np.fromiter(_pairs(ranks), np.dtype([("key", np.int64), ("rank", np.int64)]))
+        pairs.sort(order="key")
+        self.keys = np.append(pairs["key"], np.iinfo(np.int64).max)
+        self.made = np.append(pairs["rank"], NONE)
+
+    @property
+    def ranks(self) -> dict[bytes, int]:
+        return {t: r for r, t in enumerate(self.token) if t}
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where it merges into no token."""
@@ -289,6 +297,7 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_i
         model = replay_of(path, pattern)
         for part, texts in text_blocks(batches, text, BLOCK):
             block = model.block(texts)
+            del texts
             written, plain = [], []
             for x in block.of_chunks():
                 written.append(",".join(map(str, x)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +52,40 @@ def give_back() -> None:
         pass
 
 
+@lru_cache(maxsize=1)
+def one_blas_thread() -> None:
+    """Let numpy's matrix products use one thread. Spark's tasks already use
+    every core; the products here are small, and a second thread only waits
+    busily (it doubled the CPU time without any gain)."""
+    import numpy.linalg  # noqa: F401  the library is loaded by now
+
+    try:
+        with open("/proc/self/maps") as f:
+            libs = {x.split()[-1] for x in f if "openblas" in x}
+        for lib in map(ctypes.CDLL, sorted(libs)):
+            for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads",
+                         "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(lib, name):
+                    getattr(lib, name)(1)
+    except OSError:                                           # another system or library: as it is
+        pass
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
                 limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into slices of about ``limit`` text bytes. Yields
-    the slice and its texts (null: empty)."""
+    the slice and its texts (null: empty). Memory is given back after every
+    ``limit`` bytes, and at the end."""
+    held = 0
     try:
-        yield from _text_blocks(batches, text, limit)
+        for part, texts in _text_blocks(batches, text, limit):
+            size = part.nbytes
+            yield part, texts
+            del part, texts
+            held += size
+            if held >= limit:
+                give_back()
+                held = 0
     finally:
         give_back()
 
