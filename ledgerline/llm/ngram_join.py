@@ -262,20 +262,28 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = total_bytes(docs)
     bits, n_blocks = _range_bits(size), max(1, math.ceil(size / BLOCK))
-    docs = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int").alias("block"), "doc_id", "text")
+    docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block"), "doc_id", "text")
     sets = saved(sets_with_shared(docs, shared_grams(docs, bits), bits), "gram-sets")
     rows = sets.select("doc_id", "n", "d1", "d2")
-    reps = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
-    nodes = saved(sets.where("grams is not null").join(reps, ["d1", "d2"]).where("doc_id = node")
-                  .select("node", "n", "grams", "prefix").dropDuplicates(["node", "n", "prefix"]), "gram-nodes")
+    # a written table: its joins are of two plain exchanges, which Spark can split at a frequent set
+    reps = saved(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "gram-reps")
+    first = reps.withColumnRenamed("node", "doc_id")          # by id too: of equal sets one is kept, none is moved together
+    nodes = saved(sets.where("grams is not null").join(first, ["d1", "d2", "doc_id"])
+                  .select(F.col("doc_id").alias("node"), "n", "grams", "prefix")
+                  .dropDuplicates(["node", "n", "prefix"]), "gram-nodes")
     posts = nodes.select("node", F.explode("prefix").alias("g"))
     least = posts.groupBy("g").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     meet = posts.join(least.select("g", "a"), "g").where("a < node").select("a", F.col("node").alias("b")).distinct()
     clusters = components(meet, "gram-clusters").select("node", F.col("root").alias("cluster"))
     found = links(tiles(nodes.join(clusters, "node").select("cluster", "node", "n", "grams")))
-    roots = components(found, "gram-links")
+    placed = rows.join(reps, ["d1", "d2"], "left")
+    # an id of several rows holds the nodes of all its texts together
+    held = placed.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
+    several = held.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    same_id = held.join(several, "doc_id").where("node > a").select("a", F.col("node").alias("b"))
+    roots = components(found.unionByName(same_id), "gram-links")
     # a root of links between smallest ids is the smallest id of its component
-    out = rows.join(reps, ["d1", "d2"], "left").join(roots, "node", "left")
+    out = placed.join(roots, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("n") == 0, F.col("doc_id"))
                       .otherwise(F.coalesce("root", "node", "doc_id")).alias("component_id"))

@@ -73,6 +73,23 @@ def test_odd_rows(docs_of):
     assert J.join(docs_of([])).count() == 0
 
 
+def test_rows_of_one_id_are_in_one_component(docs_of):
+    """The texts of an id join what they equal, also through other ids."""
+    x, y, z = ("one two three four five six", "seven eight nine ten eleven", "p q r s t u v")
+    rows = [(3, x), (5, x), (5, y), (9, y), (9, z), (11, z), (20, "alone it stands here now"), (20, None), (None, z), (None, x)]
+    got = sorted(map(str, J.join(docs_of(rows)).collect()))
+    want = [(3, 2, 3), (5, 2, 3), (5, 1, 3), (9, 1, 3), (9, 3, 3), (11, 3, 3), (20, 1, 20), (20, 0, 20), (None, 3, 3), (None, 2, 3)]
+    assert got == sorted(f"Row(doc_id={a}, n_shingles={b}, component_id={c})" for a, b, c in want)
+
+
+def test_half_of_all_ids_null(docs_of):
+    rows = [(i if i % 2 else None, f"w{i // 4} a b c d e f g") for i in range(200)]
+    got = J.join(docs_of(rows)).collect()
+    assert len(got) == 200 and {(r.doc_id, r.component_id) for r in got if r.doc_id} == {
+        (i, i // 4 * 4 + 1) for i in range(1, 200, 2)}
+    assert {r.component_id for r in got if r.doc_id is None} == {i // 4 * 4 + 1 for i in range(200)}
+
+
 def test_tile_links_span_the_components():
     rng = np.random.default_rng(3)
     for trial in range(20):
