@@ -407,6 +407,23 @@ def check_tables(spark: SparkSession, tables: dict[str, str],
     return [r.asDict() for r in run_checks(loaded, rules).collect()]
 
 
+def checks_of_versions(spark: SparkSession, tables: dict[str, str], known: dict) -> tuple[list[dict], dict]:
+    """The results of all rules; those of a model whose table, and tables
+    its rules refer to, have the versions that ``known`` names are taken
+    from there. Returns the results and what is known now."""
+    version = {n: _version(VersionedTable(spark, p)) for n, p in tables.items()}
+    need: dict[str, list] = {}
+    for r in SILVER_RULES + GOLD_RULES:
+        need.setdefault(r.model, [version[r.model]])
+        if "to" in r.params:
+            need[r.model].append([r.params["to"], version[r.params["to"]]])
+    stale = {m for m, v in need.items() if known.get(m, {}).get("of") != v}
+    fresh = check_tables(spark, tables, stale) if stale else []
+    now = {m: {"of": v, "results": [r for r in fresh if r["model"] == m] if m in stale else known[m]["results"]}
+           for m, v in need.items()}
+    return [r for m in need for r in now[m]["results"]], now
+
+
 def _raise_on_errors(results: list[dict]) -> None:
     bad = [r for r in results if r["severity"] == "error" and r["failures"] > 0]
     if bad:
@@ -483,23 +500,22 @@ def finish_run(spark, layout, res, run_date=None, checks: str = "after_all", str
         res.tables = _all_paths(layout)
     else:
         res.tables = build_reports(spark, layout, run_date, strict_batch_date)
-        last = {"from": now, "checks": None}
+        last = {"from": now, "checks": last.get("checks") or {}}
     if check_now is not None:
         check_now({"silver_sales_audit_by_batch", "rpt_transactions_by_batch",
                    "rpt_sales_by_transaction_date", "rpt_top_5_stores_by_date"})
     if checks == "after_all" and res.tables:
-        if last["checks"] is None:
-            last["checks"] = check_tables(spark, res.tables)
-            fresh = False
-        res.checks = last["checks"]
+        res.checks, known = checks_of_versions(spark, res.tables, last["checks"])
+        fresh = fresh and known == last["checks"]
+        last["checks"] = known
     if res.tables and not fresh:
         TB.commit(spark, gold, BUILT, json.dumps(last))
     if checks == "after_all":
         _raise_on_errors(res.checks)
     if export and layout.exports and res.tables:
         export_tables(spark, res.tables, layout.exports)
-    for t in [*tables.values(), taken_table(spark, layout), *_states(layout, spark).values(), *[VersionedTable(spark, p) for p in res.tables.values()
-                                                             if "/gold/" in p or p.endswith("_audit_by_batch")]]:
+    made = [VersionedTable(spark, p) for n, p in res.tables.items() if n.startswith("rpt_") or n.endswith("_audit_by_batch")]
+    for t in (*tables.values(), taken_table(spark, layout), *_states(layout, spark).values(), *made):
         t.expire(layout.keep_versions)
     return res
 
