@@ -2,8 +2,8 @@
 
 ``stage_sales`` is shared by the valid/invalid router (``valid_sales`` /
 ``rejected_sales``): two disjoint filters over one lazy DataFrame. When
-both consumers are written in the same run, persist the staged frame (see
-``plans.pipeline``) so the snapshot is scanned once.
+both consumers are written in the same run, write the staged frame first
+(see ``plans.daily_run``) so the snapshot is scanned once.
 """
 
 from __future__ import annotations

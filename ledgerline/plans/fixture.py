@@ -68,12 +68,6 @@ def sales_landing(orders: DataFrame, keep_key: bool = False) -> DataFrame:
     )
 
 
-def sales_current(orders: DataFrame, run_ts=RUN_TS) -> DataFrame:
-    """``sales_landing`` shaped as the current rows of the raw sales
-    snapshot after a single run at ``run_ts``."""
-    return current_from_landing(sales_landing(orders), run_ts)
-
-
 def current_from_landing(landing: DataFrame, run_ts=RUN_TS) -> DataFrame:
     ts = run_ts_lit(run_ts)
     return landing.drop("o_orderkey").select(
@@ -113,10 +107,6 @@ def stores_landing(customer: DataFrame, keep_key: bool = False) -> DataFrame:
 RUN_STAMPS = {1: "2024-02-01 06:00:00", 2: "2024-02-02 06:00:00", 3: "2024-02-03 06:00:00"}
 
 
-def sales_run(orders: DataFrame, run: int) -> DataFrame:
-    return sales_run_from(sales_landing(orders, keep_key=True), run)
-
-
 def sales_run_from(landing_k: DataFrame, run: int) -> DataFrame:
     """Landing sales of snapshot run 1, 2 or 3.
 
@@ -140,10 +130,6 @@ def sales_run_from(landing_k: DataFrame, run: int) -> DataFrame:
     return land.drop("o_orderkey")
 
 
-def stores_run(customer: DataFrame, run: int) -> DataFrame:
-    return stores_run_from(stores_landing(customer, keep_key=True), run)
-
-
 def stores_run_from(stores_k: DataFrame, run: int) -> DataFrame:
     """Landing stores of snapshot run 1 (file days 0-9), 2 (10-19) or
     3 (20 and later); every store record belongs to exactly one run."""
@@ -188,11 +174,6 @@ def csv_line(cols: list[str]) -> Column:
     return F.concat_ws(",", *[csv_field(F.col(c)) for c in cols])
 
 
-def landing_lines(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    return landing_lines_from(sales_landing(orders, keep_key=True),
-                              stores_landing(customer, keep_key=True))
-
-
 def landing_lines_from(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """(file, line_no, line) for every landing file: one line per record,
     a header line in some files (sales: odd months; stores: even days) and

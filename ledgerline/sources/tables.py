@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, StringType
 
 from ledgerline.sinks import tables as TB
-from ledgerline.sinks.versions import RUN, VersionedTable
+from ledgerline.sinks.versions import RUN
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

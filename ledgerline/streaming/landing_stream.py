@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline import constants as C
 from ledgerline.operators.incremental import FLOOR_TS
 from ledgerline.plans import daily_run as D
 from ledgerline.sinks import tables as TB
