@@ -24,7 +24,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,8 @@ CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Text bytes of a block: the more, the fewer words are encoded twice, and the more memory.
 BLOCK = 4 << 20
 NONE = 1 << 40
+#: Places whose pairs are looked up at once at first.
+SLICE = 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -112,10 +113,11 @@ class MergeReplay:
                     index[r] = [place[a:b]]
                     heapq.heappush(heap, r)
 
-        first = np.flatnonzero(nxt[:n] < n)
-        rank = self.rank_of(sym[first], sym[first + 1])
-        if (some := rank < NONE).any():
-            enter(rank[some], first[some])
+        for a in range(0, n, SLICE):                          # the search takes several times its input
+            first = np.flatnonzero(nxt[a:min(a + SLICE, n)] < n) + a
+            rank = self.rank_of(sym[first], sym[first + 1])
+            if (some := rank < NONE).any():
+                enter(rank[some], first[some])
         while heap:
             r = heapq.heappop(heap)
             found = index.pop(r)
