@@ -18,12 +18,14 @@ last, and not by the rows a crashed run may have left behind.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -148,6 +150,10 @@ def remember_schema(df: DataFrame, path: str) -> None:
 
 # --------------------------------------------------------------- filters ---
 
+# The filters are the warehouse's only Python work in tasks; their functions
+# travel with the task, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOOMS = "_blooms"
 #: Keys in one Bloom filter (a larger file has several), bits a key, and probes.
 BLOOM_KEYS, BLOOM_BITS, BLOOM_PROBES = 1 << 20, 10, 6
