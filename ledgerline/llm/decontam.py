@@ -15,9 +15,12 @@ stands when the passage holds at least ``SHARED`` of the item's word
 ``SHINGLE``-grams, and of its question's (first three quarters) and its
 answer's (the rest) 3-grams ``PART``.
 
-The index is broadcast, behind a check of its size: items are dealt into
-shards of at most ``SHARD_WORDS`` words and each shard makes a pass over the
-texts. Texts are never shuffled.
+Document frequencies, the number of items, their mean and greatest length
+are taken over all items, so a score doesn't depend on the shard of an item.
+Shards are runs of items with ``SHARD_BYTES`` bytes of words (one item more
+at most); a task builds the index of each. An index is broadcast and makes a
+pass over the texts, which are never shuffled. The bounds of a long text's
+passages are held for ``CELLS`` pairs of passage and block at a time.
 
 Words are lower-cased and stripped of all but letters and digits. Null or
 empty texts and items match nothing; an item of fewer words than a shingle
@@ -27,22 +30,26 @@ matter, as all hits are kept. Extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_blocks
+from ledgerline.llm.common import saved, text_blocks
 
 THRESHOLD = 0.6
 SHINGLE, SHARED, PART = 5, 0.75, 0.5
 ITEMS_A_BLOCK = 4
-#: Words of one broadcast index; more items make more passes.
-SHARD_WORDS = 2_000_000
+#: Bytes of the words of one broadcast index; more items make more passes.
+SHARD_BYTES = 8 << 20
+#: Pairs of passage and block whose bounds are held at once.
+CELLS = 1 << 22
 K1, B = 1.2, 0.75
 BLOCK = 8 << 20
 NOT_WORD = re.compile(r"[\W_]+")
@@ -62,18 +69,30 @@ def held(part: set, whole: set) -> float:
     return len(part & whole) / len(part) if part else 1.0
 
 
+@dataclass(frozen=True)
+class Lengths:
+    """Number of items, their mean and greatest number of words."""
+
+    n: int
+    mean: float
+    longest: int
+
+
 class ItemIndex:
-    """Inverted index of items with list and block maxima of the impacts."""
-
-    def __init__(self, items: list[tuple[int, str]], per_block: int = ITEMS_A_BLOCK):
-        parsed = [(i, words_of(t or "")) for i, t in items]
-        parsed = [(i, w) for i, w in parsed if w]
-        self.ids = [i for i, _ in parsed]
-        self.words = [w for _, w in parsed]
-        self.longest = max(map(len, self.words), default=0)
-        n = len(parsed)
-        mean = sum(map(len, self.words)) / max(n, 1)
-        df = Counter(w for ws in self.words for w in set(ws))
+    """Inverted index of items (id, words) with list and block maxima of the
+    impacts. ``df`` and ``lengths`` are those of all items, where these are
+    a part of them."""
+
+    def __init__(self, items: list[tuple[int, list[str]]], per_block: int = ITEMS_A_BLOCK,
+                 df: dict[str, int] | None = None, lengths: Lengths | None = None):
+        items = [(i, w) for i, w in items if w]
+        self.ids = [i for i, _ in items]
+        self.words = [w for _, w in items]
+        own = Counter(w for ws in self.words for w in set(ws))
+        df = own if df is None else {w: df[w] for w in own}
+        sizes = [len(ws) for ws in self.words]
+        lengths = lengths or Lengths(len(items), sum(sizes) / max(len(items), 1), max(sizes, default=0))
+        n, mean, self.longest = lengths.n, lengths.mean, lengths.longest
         self.term = {w: k for k, w in enumerate(sorted(df))}
         idf = {w: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for w, d in df.items()}
         self.postings: list[list[tuple[int, float]]] = [[] for _ in df]
@@ -84,7 +103,7 @@ class ItemIndex:
             for w, x in raw.items():
                 self.postings[self.term[w]].append((i, x / whole))
         self.per_block = per_block
-        self.n_blocks = -(-n // per_block)
+        self.n_blocks = -(-len(items) // per_block)
         self.top = np.array([max(x for _, x in p) for p in self.postings])          # list maxima
         self.block_top: list[dict[int, float]] = []
         for p in self.postings:
@@ -197,8 +216,11 @@ class ItemIndex:
                                             (last[two] - 1) * len(self.top) + t[pos[two]])))
             passage, terms = key // len(self.top), key % len(self.top)
             by: dict[int, list[int]] = {}
-            for p, b in zip(*(x.tolist() for x in self.candidates(passage, terms, threshold))):
-                by.setdefault(p, []).append(b)
+            held_at_once = max(1, CELLS // max(self.n_blocks, 1))
+            edges = np.searchsorted(passage, np.arange(0, n_pass + held_at_once, held_at_once))
+            for a, z in zip(edges[:-1], edges[1:]):
+                for p, b in zip(*(x.tolist() for x in self.candidates(passage[a:z], terms[a:z], threshold))):
+                    by.setdefault(p, []).append(b)
             for p, blocks in by.items():
                 own = terms[np.searchsorted(passage, p):np.searchsorted(passage, p, "right")].tolist()
                 ws = None
@@ -216,30 +238,67 @@ HITS = ("doc_id long, item_id long, first_word long, score double, item_overlap
         "question_overlap double, answer_overlap double")
 
 
+def item_words(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``rid``, ``pid``, ``item_id`` and ``words`` of every item with a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_blocks(batches, "text", BLOCK):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("item_id"), pa.array([words_of(t) for t in texts], pa.list_(pa.string()))],
+                ["item_id", "words"])
+
+    rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")) \
+        .mapInArrow(run, "item_id long, words array<string>").where("size(words) > 0")
+    return saved(rows.select(F.monotonically_increasing_id().alias("rid"), F.spark_partition_id().alias("pid"), "*"),
+                 "items")
+
+
 def shards(items: DataFrame, item_id: str = "item_id", text: str = "text",
-           limit: int = SHARD_WORDS) -> Iterator[list[tuple[int, str]]]:
-    """The items in lists of at most ``limit`` words (one longer item: alone)."""
-    held_now, size = [], 0
-    for r in items.select(item_id, text).where(F.col(text).isNotNull()) \
-            .orderBy(F.col(item_id).asc_nulls_first(), text).toLocalIterator():
-        n = r[1].count(" ") + 1
-        if held_now and size + n > limit:
-            yield held_now
-            held_now, size = [], 0
-        held_now.append((r[0], r[1]))
-        size += n
-    if held_now:
-        yield held_now
+           limit: int = SHARD_BYTES) -> Iterator[ItemIndex]:
+    """The indexes of runs of items with ``limit`` bytes of words, one after
+    the other; statistics are those of all items."""
+    spark = items.sparkSession
+    rows = item_words(items, item_id, text).withColumn("size", F.octet_length(F.array_join("words", " ")).cast("long"))
+    parts = rows.groupBy("pid").agg(F.sum("size").alias("size"), F.count("*").alias("n"),
+                                    F.sum(F.size("words")).alias("words"), F.max(F.size("words")).alias("longest"))
+    parts = sorted(parts.collect())                           # a row a partition of the items
+    if not parts:
+        return
+    n, words = sum(r.n for r in parts), sum(r.words for r in parts)
+    lengths = Lengths(n, words / n, max(r.longest for r in parts))
+    starts, total = [], 0
+    for r in parts:
+        starts.append((r.pid, total))
+        total += r.size
+    before = Window.partitionBy("pid").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = rows.join(F.broadcast(spark.createDataFrame(starts, "pid int, start long")), "pid").select(
+        F.floor((F.col("start") + F.coalesce(F.sum("size").over(before), F.lit(0))) / limit).alias("shard"),
+        "rid", "item_id", "words")
+    df = rows.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    known = dealt.select(F.col("shard").alias("of"), F.explode("words").alias("word")).distinct().join(df, "word")
+
+    def build(items: pa.Table, known: pa.Table) -> pa.Table:
+        items = items.sort_by("rid")
+        own = dict(zip(known.column("word").to_pylist(), known.column("df").to_pylist()))
+        index = ItemIndex(list(zip(items.column("item_id").to_pylist(), items.column("words").to_pylist())),
+                          df=own, lengths=lengths)
+        return pa.table({"shard": items.column("shard")[:1], "body": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = saved(dealt.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(
+        build, "shard long, body binary"), "index")
+    for k in range(total // limit + 1):
+        found = built.where(F.col("shard") == k).first()      # none: a long item covers this run
+        if found is not None:
+            yield pickle.loads(bytes(found.body))
 
 
 def hits(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
-         threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS) -> DataFrame:
+         threshold: float = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of ``docs`` and item that it holds."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for shard in shards(items, limit=shard_words):
-        index = spark.sparkContext.broadcast(ItemIndex(shard))
+    for shard in shards(items, limit=shard_bytes):
+        index = spark.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             own = index.value
