@@ -286,6 +286,20 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
     return docs.mapInArrow(run, schema)
 
 
+def _digests(model: MergeReplay, texts: list[str], with_ids: bool) -> list[pa.Array]:
+    """The columns that ``digests`` adds, of one block."""
+    block = model.block(texts)
+
+    def hashed(of_chunk: list, sep) -> pa.Array:
+        return pa.array([hashlib.sha256(sep.join([of_chunk[c] for c in cs.tolist()])).hexdigest()
+                         for cs in block.split], pa.string())
+
+    n = pa.array([int(block.size[cs].sum()) for cs in block.split], pa.int64())
+    ids = hashed([",".join(map(str, x)).encode() for x in block.of_chunks()], b",")
+    back = hashed([model.decode(x) for x in block.of_chunks()], b"")
+    return [block.arrow()] * with_ids + [n, ids, back]
+
+
 def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 (decimal ids joined by commas) and
     decoded_sha256, and the ids if asked for: encoding and decoding in one
@@ -298,20 +312,9 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", with_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = replay_of(path, pattern)
         for part, texts in text_blocks(batches, text, BLOCK):
-            block = model.block(texts)
+            more = _digests(model, texts, with_ids)           # a function of its own: nothing of a block outlives it
             del texts
-            written, plain = [], []
-            for x in block.of_chunks():
-                written.append(",".join(map(str, x)))
-                plain.append(model.decode(x))
-            n, ids, back = [], [], []
-            for cs in block.split:
-                n.append(int(block.size[cs].sum()))
-                cs = cs.tolist()
-                ids.append(hashlib.sha256(",".join([written[c] for c in cs]).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([plain[c] for c in cs])).hexdigest())
-            own = [block.arrow()] if with_ids else []
-            yield _columns(part, keep, [*own, pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                                        pa.array(back, pa.string())], names)
+            yield _columns(part, keep, more, names)
+            del part, more
 
     return docs.mapInArrow(run, schema)
