@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, chat, decontam, fim, gru_lm, langid, ngram_join, phrase_dedup, prefix_trie, reshard,
                             suffix_dedup, toxicity, winnow)
-from ledgerline.llm.common import id_bucket, table
+from ledgerline.llm.common import id_bucket, saved, table
+from ledgerline.session import work_dir
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
@@ -65,12 +66,17 @@ def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout keeps the documents of a source together, so its
-    shards are as uneven as the sources."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    old = F.coalesce(F.crc32(F.col("source").cast("binary")), F.lit(0)) % SHARDS
-    out = reshard.plan(docs, old, SHARDS)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                      F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    shards are as uneven as the sources. Sizes and checksums are those of
+    the texts that stand in the shards after the rewrite."""
+    docs = table(spark, sf_dir, "documents")
+    old = saved(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"),
+                            (F.coalesce(F.crc32(F.col("source").cast("binary")), F.lit(0)) % SHARDS)
+                            .cast("int").alias("old_shard")), "old-shards")
+    moves = saved(reshard.plan(old, F.col("old_shard"), SHARDS, row_id="row_id"), "moves")
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return reshard.after(old, moves, work_dir(spark, "new-shards"), "row_id").select(
+        "doc_id", (F.length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:

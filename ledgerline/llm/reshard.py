@@ -16,7 +16,7 @@ otherwise.
 Null text counts as no bytes (size 1) and is a text of its own; null or
 repeated ids, ties and repeated rows are placed like any other row; an
 empty table gives an empty result; extra columns are ignored by ``plan``
-and kept by ``rewrite``.
+and kept by ``rewrite`` (but for ones named shard or slot, which it sets).
 """
 
 from __future__ import annotations
@@ -168,8 +168,22 @@ def rewrite(old: DataFrame, moves: DataFrame, path: str, doc_id: str = "doc_id",
         F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
     affected = sorted(r.s for r in changed.collect())         # bounded by the number of shards
     if affected:
-        rows = old.join(moves.where(F.col("shard").isin(affected)).select(
+        rows = old.drop("shard", "slot").join(moves.where(F.col("shard").isin(affected)).select(
             F.col(row_id or "doc_id").alias(key), "shard", "slot"), key)
         rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot") \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return affected
+
+
+def after(old: DataFrame, moves: DataFrame, path: str, row_id: str) -> DataFrame:
+    """Rewrite the affected shards below ``path`` and read all shards as they
+    are now: the rewritten ones from their files, the others from ``old``.
+    The columns of ``old``, shard and slot."""
+    affected = rewrite(old, moves, path, row_id=row_id)
+    rows = old.drop("shard", "slot")
+    kept = rows.join(moves.where(~F.col("shard").isin(affected)).select(row_id, "shard", "slot"), row_id)
+    if not affected:
+        return kept
+    written = old.sparkSession.read.schema(kept.schema).parquet(path)
+    # every row is in a rewritten shard: nothing of the old ones is read
+    return written.unionByName(kept) if moves.where(~F.col("shard").isin(affected)).head() else written

@@ -97,3 +97,41 @@ def test_odd_rows(docs_of):
     checked(out, 4)
     assert next(r for r in out if r.doc_id == 1).size == 1 and next(r for r in out if r.doc_id == 1).text_crc32 == 0
     assert R.plan(docs_of([]), F.lit(0), 4).count() == 0
+
+
+def test_after_has_every_row_where_the_plan_puts_it(spark, docs_of, tmp_path):
+    rows = ODD + [(20, f"t{i % 7}") for i in range(30)] + [(None, f"n{i}") for i in range(10)]
+    old = spark.createDataFrame([(i, d, t, 9) for i, (d, t) in enumerate(rows)],
+                                "rid long, doc_id long, text string, slot int")
+    moves = R.plan(old, F.lit(0), 3, row_id="rid")
+    got = R.after(old, moves, str(tmp_path / "all"), "rid").collect()
+    want = sorted((r.rid, r.shard, r.slot) for r in moves.collect())
+    assert sorted((r.rid, r.shard, r.slot) for r in got) == want
+    assert all((r.doc_id, r.text) == rows[r.rid] for r in got)
+
+
+def test_after_reads_untouched_shards_from_the_old_rows(spark, tmp_path):
+    old = spark.createDataFrame([(i, i, f"t{i}") for i in range(1, 6)], "rid long, doc_id long, text string")
+    moves = spark.createDataFrame([(1, 0, 0, 0), (2, 0, 1, 0), (3, 2, 2, 0), (4, 1, 1, 1), (5, 2, 2, 1)],
+                                  "rid long, old_shard int, shard int, slot long")
+    got = R.after(old, moves, str(tmp_path / "s"), "rid").collect()
+    assert sorted((r.shard, r.slot, r.text) for r in got) == [
+        (0, 0, "t1"), (1, 0, "t2"), (1, 1, "t4"), (2, 0, "t3"), (2, 1, "t5")]
+    still = moves.withColumn("shard", F.col("old_shard"))
+    assert R.after(old, still, str(tmp_path / "none"), "rid").count() == 5
+    assert not (tmp_path / "none").exists()
+
+
+def test_query_rows(spark):
+    """Sizes near equal, gapless slots, and the given texts' checksums."""
+    from ledgerline.llm.queries import op9_reshard
+    from tests.conftest import SF001
+
+    out = op9_reshard(spark, SF001).collect()
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("t")).select(
+        "doc_id", (F.octet_length("t") + 1).alias("size"), F.crc32(F.col("t").cast("binary")).alias("crc")).collect()
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in out) == sorted((r.doc_id, r.size, r.crc) for r in docs)
+    sizes = checked(out, 16)
+    assert sum(sizes) == sum(r.size for r in docs)
+    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in docs)
