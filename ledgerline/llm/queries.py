@@ -66,12 +66,13 @@ def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout keeps the documents of a source together, so its
-    shards are as uneven as the sources. Sizes and checksums are those of
-    the texts that stand in the shards after the rewrite."""
+    shards are as uneven as the sources. A row is known by its file and its
+    place in it. Sizes and checksums are those of the texts that stand in
+    the shards after the rewrite."""
     docs = table(spark, sf_dir, "documents")
-    old = saved(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"),
-                            (F.coalesce(F.crc32(F.col("source").cast("binary")), F.lit(0)) % SHARDS)
-                            .cast("int").alias("old_shard")), "old-shards")
+    old = docs.select("doc_id", "text", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("row_id"),
+                      (F.coalesce(F.crc32(F.col("source").cast("binary")), F.lit(0)) % SHARDS)
+                      .cast("int").alias("old_shard"))
     moves = saved(reshard.plan(old, F.col("old_shard"), SHARDS, row_id="row_id"), "moves")
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return reshard.after(old, moves, work_dir(spark, "new-shards"), "row_id").select(

@@ -171,7 +171,8 @@ def rewrite(old: DataFrame, moves: DataFrame, path: str, doc_id: str = "doc_id",
         rows = old.drop("shard", "slot").join(moves.where(F.col("shard").isin(affected)).select(
             F.col(row_id or "doc_id").alias(key), "shard", "slot"), key)
         rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot") \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd") \
+            .partitionBy("shard").parquet(path)
     return affected
 
 
