@@ -63,8 +63,10 @@ def derived(spark: SparkSession, sf_dir: str, name: str, source: str, build) ->
     path = _DERIVED.get(key)
     if path is None or not exists(spark, path):
         path = work_dir(spark, f"derived-{name}")
-        # as many files as a delivery would have, so that reads are spread
-        build().repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+        # as many files as a delivery would have, so that reads are spread; the source
+        # rows are dealt out, which are a fraction of what is made of them
+        rows = build(table(spark, sf_dir, source).repartition(spark.sparkContext.defaultParallelism))
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
         _DERIVED[key] = path
     return spark.read.parquet(path)
 
@@ -88,13 +90,13 @@ def landing_root(spark, sf_dir) -> str:
 def sales_land(spark, sf_dir) -> DataFrame:
     """Landing sales with ``o_orderkey`` (one row per order)."""
     return derived(spark, sf_dir, "sales-landing", "orders",
-                   lambda: FX.sales_landing(table(spark, sf_dir, "orders"), keep_key=True))
+                   lambda orders: FX.sales_landing(orders, keep_key=True))
 
 
 def stores_land(spark, sf_dir) -> DataFrame:
     """Landing stores with ``c_custkey`` (one row per customer)."""
     return derived(spark, sf_dir, "stores-landing", "customer",
-                   lambda: FX.stores_landing(table(spark, sf_dir, "customer"), keep_key=True))
+                   lambda customer: FX.stores_landing(customer, keep_key=True))
 
 
 def _staged(spark, sf_dir):
@@ -298,7 +300,7 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     warehouse would: the next run's plan starts from a scan, so plans don't
     grow with the number of runs."""
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
