@@ -9,11 +9,13 @@ reason; no row is dropped.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.parse import md5_uuid
+from ledgerline.sources.landing import BINARY_FILE, shared_listing
 
 # --- fixed values: fixture recipe (also spelled out in FIXTURES.md §4) ---
 N_STORES = 50
@@ -21,6 +23,8 @@ MALFORMED_MOD = 140
 TIME_SUFFIX = "T101530.250"
 #: Order keys of a month's file: a month has more files as the input grows.
 ORDERS_PER_FILE = 1_000_000
+#: Threads of the driver that give the landing files their names.
+RENAMERS = 16
 RUN_TS = "2024-01-31 06:00:00"
 RUN_DATE = "2024-01-31"
 
@@ -217,19 +221,26 @@ def write_landing_from(spark, sales_k: DataFrame, stores_k: DataFrame, root: str
 
     Spark writes one part file per name (rows are hash-partitioned by
     name; a file has a bounded number of rows), which is then renamed to the
-    flat landing name. Only file metadata passes through the driver.
+    flat landing name. Only file metadata passes through the driver. The
+    parts are put into the staging folder by the tasks that wrote them
+    (nobody reads it before the job is over), listed by tasks, and renamed
+    by several threads.
     """
     lines = landing_lines_from(sales_k, stores_k)
     staging = root.rstrip("/") + "/_staging"
-    (lines.repartition("file").sortWithinPartitions("file", "line_no")
-     .select("file", "line").write.partitionBy("file").text(staging))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(staging + "/file=*/part-*")):
-        src = st.getPath()
-        name = src.getParent().getName().split("=", 1)[1]
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(base, name))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    (lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "line")
+     .write.partitionBy("file").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(staging))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def settle(part: str) -> None:
+        name = part.rsplit("/", 2)[-2].split("=", 1)[1]
+        if not fs.rename(path(part), path(f"{root.rstrip('/')}/{name}")):
+            raise OSError(f"could not rename {part}")
+
+    with shared_listing(spark):
+        parts = spark.read.format("binaryFile").schema(BINARY_FILE).load(staging).select("path")
+    with ThreadPoolExecutor(RENAMERS) as pool:
+        list(pool.map(settle, [r[0] for r in parts.collect()]))
+    fs.delete(path(staging), True)
     return root

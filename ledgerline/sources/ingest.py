@@ -15,16 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sinks.versions import VersionedTable, fs_of
+from ledgerline.sinks.versions import VersionedTable
+from ledgerline.sources.landing import file_listing
 
 LISTING = "path string, length long, modified long"
 
 
 def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
     """(URI, length, modification time) of the files matching a glob."""
-    fs, p = fs_of(spark, pattern)
-    found = fs.globStatus(p)
-    return [(str(s.getPath().toString()), int(s.getLen()), int(s.getModificationTime())) for s in found or ()]
+    return file_listing(spark, pattern)
 
 
 def unseen(spark: SparkSession, files: Sequence[tuple[str, int, int]], taken: VersionedTable) -> list[tuple]:

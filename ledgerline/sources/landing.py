@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import re
 import urllib.parse
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,10 @@ from pyspark.sql import types as T
 
 #: Reader option (not a session setting: other CSV reads keep theirs).
 PRUNING_OPTION = "columnPruning"
+#: Spark's setting of the number of tasks that list the paths of a read.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+#: The fixed columns of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -41,15 +46,48 @@ def _jvm_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """File URIs matching a Hadoop glob (metadata only; nothing is read)."""
+@contextmanager
+def shared_listing(spark: SparkSession) -> Iterator[None]:
+    """Reads made inside list their paths in a few tasks a core. Spark's
+    default is a task a path (up to 10,000), which costs more than the
+    reading where files are many and small."""
+    old = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(LISTING_TASKS)
+        else:
+            spark.conf.set(LISTING_TASKS, old)
+
+
+def file_listing(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(URI, length, modification time) of the files matching a Hadoop glob,
+    in order (metadata only; no content is read). Tasks list the files, so
+    the driver asks nothing file by file, unless some of them are empty,
+    which Spark's file sources pass over."""
     fs, p = _jvm_fs(spark, pattern)
     found = fs.globStatus(p)
-    return [] if found is None else [str(s.getPath().toString()) for s in found]
+    if found is None or not len(found):
+        return []
+    with shared_listing(spark):
+        files = spark.read.format("binaryFile").schema(BINARY_FILE).load(pattern)
+    rows = files.select("path", "length", F.unix_millis("modificationTime")).collect()
+    if len(rows) == len(found):
+        return sorted(map(tuple, rows))
+    return sorted((str(s.getPath().toString()), int(s.getLen()), int(s.getModificationTime())) for s in found)
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """URIs of the files matching a Hadoop glob."""
+    return [f[0] for f in file_listing(spark, pattern)]
 
 
 def landing_has_files(spark: SparkSession, pattern: str) -> bool:
-    return len(list_files(spark, pattern)) > 0
+    fs, p = _jvm_fs(spark, pattern)
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def header_filter(header_cols: Sequence[str]) -> Column:
@@ -83,15 +121,16 @@ def read_landing(spark: SparkSession, pattern: str | Sequence[str], columns: Seq
         parts = [read_landing(spark, some, columns, header_cols, flag, source_col)
                  for some, flag in (([f for f in files if f not in whole], False), (sorted(whole), True)) if some]
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    df = (spark.read.schema(schema)
-          .option(PRUNING_OPTION, "false")
-          .option("header", "false")
-          .option("mode", "DROPMALFORMED")
-          .option("multiLine", str(multi_line).lower())
-          .option("quote", '"')
-          .option("escape", '"')
-          .csv(pattern if isinstance(pattern, str) else list(pattern))
-          .select(*columns, F.col("_metadata.file_path").alias(source_col)))
+    reader = (spark.read.schema(schema)
+              .option(PRUNING_OPTION, "false")
+              .option("header", "false")
+              .option("mode", "DROPMALFORMED")
+              .option("multiLine", str(multi_line).lower())
+              .option("quote", '"')
+              .option("escape", '"'))
+    with shared_listing(spark):
+        df = reader.csv(pattern if isinstance(pattern, str) else list(pattern))
+    df = df.select(*columns, F.col("_metadata.file_path").alias(source_col))
     if header_cols:
         df = df.where(header_filter(header_cols))
     return df
@@ -100,7 +139,9 @@ def read_landing(spark: SparkSession, pattern: str | Sequence[str], columns: Seq
 def files_with_open_lines(spark: SparkSession, files: Sequence[str]) -> set[str]:
     """Those of ``files`` that have a line with an odd number of quotes
     (one scan in splits; at most a name a file reaches the driver)."""
-    lines = spark.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("f"))
+    with shared_listing(spark):
+        lines = spark.read.text(list(files))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("f"))
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     found = {r.f for r in lines.where(quotes % 2 == 1).select("f").distinct().collect()}
     plain = {_bare(f) for f in found}

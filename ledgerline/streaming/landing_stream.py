@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.incremental import FLOOR_TS
 from ledgerline.plans import daily_run as D
 from ledgerline.sinks import tables as TB
-from ledgerline.sources.landing import PRUNING_OPTION, header_filter, text_schema
+from ledgerline.sources.landing import BINARY_FILE, PRUNING_OPTION, header_filter, shared_listing, text_schema
 
 
 def landing_stream(spark: SparkSession, pattern: str, columns: list[str],
@@ -56,8 +56,6 @@ def _stamp() -> str:
 
 
 EPOCH = "epoch"                          # commit record: the last completed micro-batch of a checkpoint
-#: The fixed columns of Spark's binary file source.
-BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _record_path(layout: D.Layout, checkpoint_dir: str) -> str:
@@ -92,8 +90,9 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
         # typed tables, if there never is a file
         D.run_daily(spark, layout, FLOOR_TS, run_date, "off", export=False, files=[])
     w = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=processing_time)
+    with shared_listing(spark):                  # a query keeps the settings that it was started with
+        query = w.start()
     if trigger == "availableNow":
-        query = w.trigger(availableNow=True).start()
         query.awaitTermination()
-        return [query]
-    return [w.trigger(processingTime=processing_time).start()]
+    return [query]
