@@ -114,6 +114,14 @@ def _drop_scratch(spark: SparkSession) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def _insert(table: TB.BucketedTable, rows: DataFrame, base) -> None:
+    """Add rows as a new version. Without any there is none, but for the
+    first, which tells the columns."""
+    run = table.write(rows, base)
+    if base is None or table.parts_of(run):
+        table.publish(base, run, rows.schema)
+
+
 # ------------------------------------------------------------- raw (SCD2) ---
 
 def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFrame,
@@ -124,12 +132,14 @@ def snapshot_into(spark: SparkSession, table: TB.BucketedTable, incoming: DataFr
     bucket and by the files' key filters). Rows of new keys and new versions
     are inserted; a changed key's open version is closed, which rewrites the
     open rows of its bucket and adds one closed row. Closed rows are never
-    read or written again. All of it is one write and one new version.
+    read or written again. All of it is one write and one new version. A
+    table without open rows has nothing to compare with: the input is
+    written as it is.
     """
     ts, base = _ts(run_ts), table.manifest()
-    if base is None:
-        table.change(with_scd_columns(incoming, key, ts).withColumn(TB.SEGMENT, F.lit(TB.OPEN)))
-        return {"inserted": None, "changed_buckets": 0}
+    if base is None or not any(table.is_open(p) for p in base.parts):
+        _insert(table, with_scd_columns(incoming, key, ts).withColumn(TB.SEGMENT, F.lit(TB.OPEN)), base)
+        return {"inserted": None, "changed_buckets": 0, "files_read": 0}
     incoming = materialize(spark, table.with_bucket(incoming), "snapshot-input")
     found = table.lookup(incoming, base)
     same = F.lit(True)
@@ -167,8 +177,8 @@ def upsert_into(spark: SparkSession, table: TB.BucketedTable, new: DataFrame,
     """delete+insert by ``keys``: rows of existing keys are replaced (their
     buckets rewritten), rows of new keys added, as one new version."""
     base = table.manifest()
-    if base is None:
-        table.append(new)
+    if base is None or not base.parts:
+        _insert(table, new, base)
         return {"replaced_buckets": 0}
     new = materialize(spark, table.with_bucket(new), "upsert-delta")
     if new.isEmpty():

@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.incremental import FLOOR_TS
 from ledgerline.plans import daily_run as D
 from ledgerline.sinks import tables as TB
-from ledgerline.sources.landing import BINARY_FILE, PRUNING_OPTION, header_filter, shared_listing, text_schema
+from ledgerline.sources.landing import BINARY_FILE, LISTING_TASKS, PRUNING_OPTION, header_filter, text_schema
 
 
 def landing_stream(spark: SparkSession, pattern: str, columns: list[str],
@@ -55,6 +55,19 @@ def _stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
+def listing_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose reads list their paths
+    in a few tasks a core. A file source lists the files of every batch in
+    the session it was made in, after ``run_stream`` has handed it over, so
+    the setting has to stay."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    return own
+
+
 EPOCH = "epoch"                          # commit record: the last completed micro-batch of a checkpoint
 
 
@@ -68,8 +81,9 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
                max_files_per_trigger: int | None = None, checks: str = "after_all",
                export: bool = True) -> list[StreamingQuery]:
     """Ingest new landing files, a daily run a micro-batch. ``stamp()``
-    gives its run timestamp (must increase). Returns the one query: ended
-    for ``availableNow``, running otherwise."""
+    gives its run timestamp (must increase). Returns the one query (of a
+    session of its own, ``listing_session``): ended for ``availableNow``,
+    running otherwise."""
     record = _record_path(layout, checkpoint_dir)
 
     def batch(files: DataFrame, epoch_id: int) -> None:
@@ -80,7 +94,7 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
         D.run_daily(spark, layout, stamp(), run_date, checks, export=export, files=sorted(map(tuple, rows)))
         TB.commit(spark, record, EPOCH, str(epoch_id))
 
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "{stores,sales}_*.csv")
+    reader = listing_session(spark).readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "{stores,sales}_*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
@@ -91,8 +105,7 @@ def run_stream(spark: SparkSession, layout: D.Layout, checkpoint_dir: str,
         D.run_daily(spark, layout, FLOOR_TS, run_date, "off", export=False, files=[])
     w = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=processing_time)
-    with shared_listing(spark):                  # a query keeps the settings that it was started with
-        query = w.start()
+    query = w.start()
     if trigger == "availableNow":
         query.awaitTermination()
     return [query]

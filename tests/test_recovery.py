@@ -215,3 +215,18 @@ def test_no_local_work_folder_on_a_cluster():
                           sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(far)
+
+
+def test_a_table_without_rows_takes_its_first_as_they_are(spark, tmp_dir, monkeypatch):
+    """Tables that a run without files has made: nothing is compared or
+    copied for the first rows, and no rows make no version."""
+    t = TB.BucketedTable(spark, os.path.join(tmp_dir, "raw"), ["k"], 4, segments=True)
+    u = TB.BucketedTable(spark, os.path.join(tmp_dir, "silver"), ["k"], 4)
+    none, some = (spark.createDataFrame(x, "k string, v int") for x in ([], [("a", 1), ("b", 2)]))
+    monkeypatch.setattr(D, "materialize", lambda *a: 1 / 0)
+    for day, rows, version in ((1, none, 1), (2, none, 1), (3, some, 2)):
+        D.snapshot_into(spark, t, rows, "k", ["v"], f"2024-01-0{day} 06:00:00")
+        D.upsert_into(spark, u, rows, ["k"])
+        assert t.versions()[-1] == u.versions()[-1] == version
+    assert sorted(tuple(r) for r in t.read().select("k", "v", "segment").collect()) == [("a", 1, "open"), ("b", 2, "open")]
+    assert sorted(tuple(r) for r in u.read().select("k", "v").collect()) == [("a", 1), ("b", 2)]

@@ -110,3 +110,16 @@ def test_processing_time_with_both_kinds_and_a_replayed_epoch(spark, tmp_dir):
         deliver(batch, day)
         D.run_daily(spark, batch, f"2024-01-0{day + 3} 06:00:00", "2024-01-09", "off", export=False)
     assert content(spark, batch) == before
+
+
+def test_a_batch_lists_its_files_in_few_tasks(spark, tmp_dir):
+    lay = layout(tmp_dir)
+    for day in range(100):
+        stores_file(lay.landing, f"stores_2024{day:04d}.csv", [f"ABCDEF01,{S1},One"])
+    before = spark.conf.get(LS.LISTING_TASKS)
+    query, = run_stream(spark, lay, os.path.join(tmp_dir, "ck"), checks="off", export=False)
+    track = spark.sparkContext.statusTracker()
+    stages = [s for j in track.getJobIdsForGroup(str(query.runId)) for s in track.getJobInfo(j).stageIds]
+    tasks = [info.numTasks for info in map(track.getStageInfo, stages) if info]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert D.taken_table(spark, lay).read().count() == 100 and spark.conf.get(LS.LISTING_TASKS) == before
