@@ -86,7 +86,9 @@ def export_tables(spark: SparkSession, tables: dict[str, str], root: str) -> dic
                     df = table.read(m, keep=lambda p: int(table.value(p, TB.BUCKET)) in changed) if was else df
                     df = df.drop(TB.SEGMENT)
                     TB.remember_schema(df, target)
-                    (df.hint("rebalance", F.col(TB.BUCKET)).write.mode("overwrite").option("compression", "zstd")
+                    if len({p.run for p in m.parts}) > 1:     # rows of one run are gathered by bucket already
+                        df = df.hint("rebalance", F.col(TB.BUCKET))
+                    (df.write.mode("overwrite").option("compression", "zstd")
                      .option("partitionOverwriteMode", "dynamic").partitionBy(TB.BUCKET).parquet(target))
                 out[t] = changed
             TB._write_text(spark, f"{target}/{MANIFEST}", json.dumps(now))

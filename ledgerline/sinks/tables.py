@@ -251,8 +251,8 @@ class BucketedTable(VersionedTable):
             names = [f for p in self.parts_of(run) if self.is_open(p) for f in self.paths(p)]
             if names:
                 rows = self.spark.read.schema(df.schema).option("basePath", f"{self.path}/{RUN}={run}").parquet(*names)
-                rows = rows.select(BUCKET, F.xxhash64(*self.keys).alias("h"), F.regexp_extract(
-                    F.col("_metadata.file_path"), f"({RUN}=.*)$", 1).alias("file"))
+                rows = rows.select(BUCKET, F.xxhash64(*self.keys).alias("h"), F.concat(F.lit(f"{RUN}="), F.substring_index(
+                    F.col("_metadata.file_path"), f"/{RUN}=", -1)).alias("file"))
                 rows.mapInArrow(_bloom_rows, "bucket int, file string, bits binary") \
                     .write.parquet(f"{self.path}/{BLOOMS}/{RUN}={run}")
         return run

@@ -36,3 +36,20 @@ def test_only_changed_buckets_are_exported_again(spark, tmp_dir):
     register_exports(spark, root)
     got = spark.sql("SELECT * FROM silver.silver_sales")
     assert got.columns == ["k"] and got.count() == 201 and got.distinct().count() == 201
+
+
+def test_rows_of_one_run_are_exported_without_a_shuffle(spark, tmp_dir):
+    from ledgerline.sinks.export import export_tables
+    from ledgerline.sinks.tables import BucketedTable
+
+    t = BucketedTable(spark, os.path.join(tmp_dir, "silver_sales"), ["k"], 4)
+    t.append(spark.range(200).withColumnRenamed("id", "k"))
+    spark.sparkContext.setJobGroup("export-one-run", "")
+    try:
+        export_tables(spark, {"silver_sales": t.path}, os.path.join(tmp_dir, "out"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    track = spark.sparkContext.statusTracker()
+    assert [len(track.getJobInfo(j).stageIds) for j in track.getJobIdsForGroup("export-one-run")] == [1]
+    got = spark.read.parquet(os.path.join(tmp_dir, "out", "silver", "silver_sales.parquet"))
+    assert sorted(r.k for r in got.collect()) == list(range(200))
