@@ -134,3 +134,22 @@ def test_written_landing_files(spark, tmp_dir):
         lines = f.read().splitlines()
     assert lines[0].startswith("store_token,") and [x.split(",")[2] for x in lines[1:]] == \
         [f"R{k:09}" for k in range(20, 40, 2)]
+
+
+def test_open_lines_of_small_and_large_files(spark, tmp_dir, monkeypatch):
+    from ledgerline.sources import landing as L
+
+    made = {"a.csv": b'x,"y"\n', "b.csv": b'x,"y\nz"\n', "c.csv": b'"\r"\r\n', "d.csv": b"\xff,\xe2\x82\xac\n",
+            "e f.csv": b'"\xff\n', "g.csv": b"", "h.csv": b'a"b"\r\n""\n'}
+    for name, content in made.items():
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(content)
+    files = L.list_files(spark, os.path.join(tmp_dir, "*.csv"))
+    scans = []
+    text = type(spark.read).text
+    monkeypatch.setattr(type(spark.read), "text", lambda self, paths, *a, **k: scans.append(paths) or text(self, paths, *a, **k))
+    small = L.files_with_open_lines(spark, files)
+    assert [f.rsplit("/", 1)[1] for s in scans for f in s] == ["g.csv"]         # empty: the listing of contents passes it over
+    monkeypatch.setattr(L, "SMALL_FILE", 0)
+    assert L.files_with_open_lines(spark, files) == small
+    assert sorted(f.rsplit("/", 1)[1].replace("%20", " ") for f in small) == ["b.csv", "c.csv", "e f.csv"]
