@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from ledgerline import constants as C
 
 
+#: A time of which every part has its full width.
+FULL_WIDTH_TIME = r"^\d{8}T\d{6}\.\d{1,6}\z"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -25,7 +29,7 @@ def parse_amount(c: Column | str, dtype: str = C.AMOUNT_TYPE) -> Column:
     Unparseable or overflowing text gives NULL; rounding is half-up.
     """
     cleaned = F.replace(F.replace(_col(c), F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
-    plain = F.regexp_replace(cleaned, r"(?<=[0-9])_(?=[0-9])", "").try_cast(dtype)
+    plain = F.when(cleaned.contains("_"), F.regexp_replace(cleaned, r"(?<=[0-9])_(?=[0-9])", "")).otherwise(cleaned).try_cast(dtype)
     return F.when(~cleaned.rlike(r"[^\x00-\x7F]"), plain)      # other scripts' digits are no number
 
 
@@ -39,9 +43,13 @@ def parse_ts(c: Column | str) -> Column:
     parser, which yields NULL for impossible dates. The text is read as UTC
     (explicit ``Z``) and the instant turned into a wall-clock value by adding
     its microseconds to the epoch, so the result does not depend on the
-    session time zone.
+    session time zone. A value that has its full width already is cast as it
+    is, without the regexes.
     """
     s = F.trim(_col(c), F.lit(" \t\n\x0b\f\r"))
+    part = lambda at, n: F.substring(s, at, n)
+    cast = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 5), F.lit(":"), part(12, 2), F.lit(":"),
+                    part(14, 9)).try_cast("timestamp_ntz")
     # a zero before each part, of which the last two digits count
     wide = F.regexp_replace(s, C.TRANSACTION_TIME_RE, "$1-0$2-0$3T0$4:0$5:0$6.$7")
     full = F.regexp_replace(wide, r"([-T:])0(\d\d)(?=[-T:.])", "$1$2")
@@ -49,7 +57,7 @@ def parse_ts(c: Column | str) -> Column:
                                  F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
-    return F.when(s.rlike(C.TRANSACTION_TIME_RE), wall)
+    return F.when(s.rlike(FULL_WIDTH_TIME), cast).when(s.rlike(C.TRANSACTION_TIME_RE), wall)
 
 
 def batch_date_of(path: Column | str, file_re: str) -> Column:

@@ -98,3 +98,20 @@ def test_amount_matches_decimal_rounding(spark, values):
     texts = [f"${v:,}" for v in values]
     got = one_col(spark, texts, parse_amount)
     assert got == [_py_amount(t) for t in texts]
+
+
+def test_full_width_times_as_the_strict_parser_reads_them(spark, monkeypatch):
+    from ledgerline.functions import parse
+
+    forms = ["20240229T101530.25", "20230229T101530.25", "00000101T000000.0", "00010101T000000.0", "99991231T235959.999999",
+             "20240101T240000.0", "20240101T236000.0", "20240101T235960.0", " 20240101T010203.000001\t", "20241301T000000.1",
+             "20240100T000000.1", "20240101T101530.1234567", "20240101T101530.", "20240101t101530.1"]
+    df = spark.createDataFrame([(x,) for x in forms], "s string")
+
+    def read():
+        return [r[0] for r in df.select(parse.parse_ts("s").cast("string")).collect()]
+
+    got = read()
+    monkeypatch.setattr(parse, "FULL_WIDTH_TIME", "^never$")
+    assert got == read()
+    assert [i for i, x in enumerate(got) if x is not None] == [0, 2, 3, 4, 8]
