@@ -20,11 +20,16 @@ Null texts end at the first stage. Rows with a null id pass the stages that
 compare documents by id (2 and 4); rows that share an id stay or go
 together. Empty tables pass through. Extra columns are kept, whatever they
 are called.
+
+Documents travel to Python in batches of ``BATCH_ROWS`` rows, where the
+session has Spark's own number: a batch stands in the JVM's buffers, twice,
+and in Python, beside a full heap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +40,22 @@ from ledgerline.llm.queries import bpe_files
 
 #: Texts with a smaller share of letters in a learned language are dropped.
 LEAST_SHARE = 0.2
+#: Rows of a batch between JVM and Python, for Spark's 10,000.
+BATCH_ROWS, SPARK_ROWS = 1000, "10000"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def small_batches(stage: Stage) -> Stage:
+    """A stage is run after it returns, so its session keeps the setting."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if spark.conf.get(key) == SPARK_ROWS:
+            spark.conf.set(key, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def _inner(docs: DataFrame) -> DataFrame:
@@ -43,6 +64,7 @@ def _inner(docs: DataFrame) -> DataFrame:
     return docs.toDF(*[c if c in own else f"_c{i}" for i, c in enumerate(docs.columns)])
 
 
+@small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _inner(docs)
     model = langid.learn(rows, id_bucket(F.col("doc_id"), 3) != 1)
@@ -56,12 +78,14 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
                      "left_anti")
 
 
+@small_batches
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _inner(docs)
     found = ngram_join.join(rows)
     return _without(rows, found.where("doc_id <> component_id")).toDF(*docs.columns)
 
 
+@small_batches
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove(docs)
     if "n_chars" in docs.columns:
@@ -71,6 +95,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out
 
 
+@small_batches
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _inner(docs)
     # kept in a table, as the index of the items is read by one pass only
@@ -78,11 +103,12 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return _without(rows, found).toDF(*docs.columns)
 
 
+@small_batches
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, *bpe_files(), with_ids=True)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("near_copies", near_copies),
     ("repeated_strings", repeated_strings),

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import give_back, components, packed, saved, text_blocks, total_bytes, unpacked
+from ledgerline.llm.common import components, freed, joined, packed, saved, text_blocks, total_bytes, unpacked
 
 WORDS = 5
 #: Text bytes of a block, and documents of a tile's side.
@@ -82,21 +82,26 @@ def shared_grams(docs: DataFrame, bits: int) -> DataFrame:
     bits (equal ones by chance cost time, not correctness)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_blocks(batches, "text", 2 * BLOCK):
+        for rows, texts in text_blocks(joined(batches, 2 * BLOCK), "text", 2 * BLOCK):
             sets = gram_sets(texts)
             g = np.concatenate(sets) >> np.uint64(32 - bits)
-            b = np.repeat(part.column("block").to_numpy(), [len(s) for s in sets])
-            order = np.lexsort((g, b))
+            b = np.repeat(rows.column("block").to_numpy(), [len(s) for s in sets])
+            order = np.lexsort((g, b, g >> np.uint64(32)))
             g, b = g[order], b[order]
             third = np.zeros(len(g), bool)                    # two of a kind tell as much as more
             third[2:] = (g[2:] == g[:-2]) & (b[2:] == b[:-2])
             g, b = g[~third], b[~third]
+            part = (g >> np.uint64(32)).astype(np.int32)
+            first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (b[1:] != b[:-1])) if len(g) else [])
+            runs = np.stack((b[first], np.diff(np.append(first, len(g)))), 1).astype(np.int32)
+            # a row a range: one a range and block would be a row a gram on a large corpus
             yield pa.RecordBatch.from_arrays(
-                packed([(g >> np.uint64(32)).astype(np.int32), b], g.astype(np.uint32)), ["part", "block", "vals"])
+                [*packed([part], g.astype(np.uint32)), packed([part[first]], runs.view("V8").ravel())[1]],
+                ["part", "vals", "runs"])
 
-    def back(key: tuple, t: pa.Table) -> pa.Table:
-        v, row = unpacked(t.column("vals"), np.uint32)
-        b = t.column("block").to_numpy()[row]
+    def several(key: tuple, t: pa.Table) -> pa.Table:
+        v, _ = unpacked(t.column("vals"), np.uint32)
+        b = np.repeat(*unpacked(t.column("runs"), np.int32)[0].reshape(-1, 2).T)
         order = np.argsort(v, kind="stable")
         v, b = v[order], b[order]
         same = np.zeros(len(v) + 1, bool)
@@ -110,8 +115,11 @@ def shared_grams(docs: DataFrame, bits: int) -> DataFrame:
         return pa.Table.from_arrays(packed([np.full(len(v), key[0].as_py(), np.int32), b], v),
                                     ["part", "block", "vals"])
 
-    kind = "part int, block int, vals binary"
-    return docs.mapInArrow(send, kind).groupBy("part").applyInArrow(back, kind)
+    def back(key: tuple, t: pa.Table) -> pa.Table:
+        return freed(several, key, t)
+
+    return docs.mapInArrow(send, "part int, vals binary, runs binary").groupBy("part") \
+        .applyInArrow(back, "part int, block int, vals binary")
 
 
 def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
@@ -119,7 +127,7 @@ def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame
     (d1, d2); for documents that may have a link also their gram set and the
     shared grams of their prefix."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = [t or "" for t in left.column("text").to_pylist()]
         v, row = unpacked(right.column("vals"), np.uint32)
         known = np.sort((right.column("part").to_numpy().astype(np.uint64)[row] << np.uint64(32)) | v) \
@@ -139,12 +147,14 @@ def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame
                 rest = others[:room] if room > 0 else None
             grams.append(None if rest is None else s.tobytes())
             prefix.append(None if rest is None else rest.view(np.int64).tolist())
-        give_back()
         return pa.Table.from_arrays([left.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                                      pa.array(d2, pa.int64()), pa.array(grams, pa.binary()),
                                      pa.array(prefix, pa.list_(pa.int64()))],
                                     ["doc_id", "n", "d1", "d2", "grams", "prefix"])
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return freed(of_block, left, right)
+
     return docs.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         run, "doc_id long, n long, d1 long, d2 long, grams binary, prefix array<long>")
 
@@ -240,7 +250,7 @@ def tiles(nodes: DataFrame) -> DataFrame:
 def links(tiled: DataFrame) -> DataFrame:
     """A forest (a, b) of the links of each tile."""
 
-    def run(t: pa.Table) -> pa.Table:
+    def of_tile(t: pa.Table) -> pa.Table:
         node, side = t.column("node").to_numpy(), t.column("side").to_numpy()
         cluster = t.column("cluster").to_numpy()
         cross = t.column("k2")[0].as_py() != t.column("k3")[0].as_py()
@@ -251,9 +261,11 @@ def links(tiled: DataFrame) -> DataFrame:
             if len(at) > 1:
                 found = tile_links([grams[i] for i in at], side[at] if cross else None)
                 out += [(node[at[a]], node[at[b]]) for a, b in found]
-        give_back()
         return pa.Table.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
+    def run(t: pa.Table) -> pa.Table:
+        return freed(of_tile, t)
+
     return tiled.groupBy("k1", "k2", "k3").applyInArrow(run, "a long, b long")
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import give_back, packed, saved, text_blocks, total_bytes, unpacked
+from ledgerline.llm.common import freed, give_back, joined, packed, saved, text_blocks, total_bytes, unpacked
 
 SPAN, GRAM = 100, 48
 #: Grams of a string; strings of a segment at most.
@@ -115,7 +115,7 @@ def repeated_keys(docs: DataFrame, bits: int) -> DataFrame:
     (``bits`` + 32 bits of them) that stand in several places."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_blocks(batches, "text", BLOCK):
+        for rows, texts in text_blocks(joined(batches, BLOCK), "text", BLOCK):
             found, blocks = [np.zeros(0, np.uint64)], []
             for b, t in zip(rows.column("block").to_pylist(), texts):
                 got = [h[key_places(key, h)] for _, key, h in pieces(t.encode())]
@@ -131,7 +131,7 @@ def repeated_keys(docs: DataFrame, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 packed([(v >> np.uint64(32)).astype(np.int32), b], v.astype(np.uint32)), ["part", "block", "vals"])
 
-    def back(key: tuple, t: pa.Table) -> pa.Table:
+    def several(key: tuple, t: pa.Table) -> pa.Table:
         v, row = unpacked(t.column("vals"), np.uint32)
         b = t.column("block").to_numpy()[row]
         order = np.lexsort((b, v))
@@ -146,6 +146,9 @@ def repeated_keys(docs: DataFrame, bits: int) -> DataFrame:
         return pa.Table.from_arrays(packed([np.full(len(v), key[0].as_py(), np.int32), b[order]], v[order]),
                                     ["part", "block", "vals"])
 
+    def back(key: tuple, t: pa.Table) -> pa.Table:
+        return freed(several, key, t)
+
     kind = "part int, block int, vals binary"
     return docs.mapInArrow(send, kind).groupBy("part").applyInArrow(back, kind)
 
@@ -174,7 +177,7 @@ def segments(docs: DataFrame, repeated: DataFrame, bits: int, ranges: int) -> Da
     key, block, row, id, start, body, periodic), and rows without a body:
     spans that repeat an earlier segment of the same block."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def cut_up(left: pa.Table, right: pa.Table) -> pa.Table:
         _, texts, ids = _ordered(left)
         v, row = unpacked(right.column("vals"), np.uint32)
         known = np.sort((right.column("part").to_numpy().astype(np.uint64)[row] << np.uint64(32)) | v) \
@@ -206,7 +209,6 @@ def segments(docs: DataFrame, repeated: DataFrame, bits: int, ranges: int) -> Da
         cols = list(zip(*out)) if out else [()] * 7
         key = np.array(cols[0], np.uint64)
         block = left.column("block")[0].as_py() if len(left) else 0
-        give_back()
         return pa.Table.from_arrays(
             [pa.array((key % np.uint64(ranges)).astype(np.int64)), pa.array(key.view(np.int64)),
              pa.array([block] * len(out), pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
@@ -214,6 +216,9 @@ def segments(docs: DataFrame, repeated: DataFrame, bits: int, ranges: int) -> Da
              pa.array(cols[6], pa.bool_())],
             ["part", "key", "block", "row", "doc_id", "a", "b", "body", "periodic"])
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return freed(cut_up, left, right)
+
     return docs.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
         run, "part long, key long, block int, row int, doc_id long, a long, b long, body binary, periodic boolean")
 
@@ -302,7 +307,7 @@ def repeats(parts: DataFrame) -> DataFrame:
     """Spans (block, row, a, b) of the segments' strings that start earlier
     elsewhere."""
 
-    def run(t: pa.Table) -> pa.Table:
+    def later(t: pa.Table) -> pa.Table:
         cols = [t.column(c).to_numpy() for c in ("doc_id", "row", "a", "b", "block", "key")]
         ids, row, a, b, block, key = cols
         body, periodic = t.column("body").to_pylist(), t.column("periodic").to_pylist()
@@ -336,6 +341,9 @@ def repeats(parts: DataFrame) -> DataFrame:
                                      enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
                                     ["block", "row", "a", "b"])
 
+    def run(t: pa.Table) -> pa.Table:
+        return freed(later, t)
+
     return parts.groupBy("part").applyInArrow(run, "block int, row int, a long, b long")
 
 
@@ -437,7 +445,7 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     dealt, gone = spans(docs, text, doc_id)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = left.column("doc_id").to_pylist()
         out = [(ids[i], len(t), sum(b - a for a, b in cut), len(cut), hashlib.sha256(_kept(t, cut)).hexdigest())
                for i, t, cut in _cuts(left, right)]
@@ -445,6 +453,9 @@ def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         return pa.Table.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
                                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return freed(of_block, left, right)
+
     return dealt.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -459,7 +470,7 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     dealt = _dealt(inner, "text", "doc_id", total_bytes(inner))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in inner.schema])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def without(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = left.column("text").to_pylist()
         for i, t, cut in _cuts(left, right):
             if cut:
@@ -467,4 +478,7 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
         at = left.column_names.index("text")
         return left.set_column(at, "text", pa.array(texts, pa.string())).select(schema.names)
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return freed(without, left, right)
+
     return dealt.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(run, schema).toDF(*names)

@@ -2,8 +2,10 @@ import random
 
 import corpus_pipeline as P
 import __spark_entry__ as E
+import pyarrow as pa
 import pytest
 
+from ledgerline.llm import common
 from tests.conftest import SF001
 from tests.llm.test_ngram_join import brute as brute_join
 from tests.llm.test_suffix_dedup import brute as brute_suffix
@@ -98,3 +100,58 @@ def test_chat_against_sql(spark):
     want = sorted(con.sql(E.oracle_sql()["op1_chat"]).fetchall(), key=repr)
     got = sorted(map(tuple, E.queries()["op1_chat"](spark, SF001).collect()), key=repr)
     assert got == want and got
+
+
+def test_documents_travel_in_small_batches(spark, docs_of, tmp_path):
+    """A batch of Spark's 10,000 documents stands in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs, before = docs_of([(i, f"a text {i}", "en") for i in range(3000)], 1), spark.conf.get(key)
+
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32())], ["n"])
+
+    try:
+        for name, stage in P.STAGES:
+            if name == "benchmark_passages":
+                spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+            spark.conf.unset(key)
+            stage(spark, docs.limit(0), str(tmp_path))
+            assert max(r.n for r in docs.mapInArrow(rows, "n int").collect()) <= 1000
+        spark.conf.set(key, "77")                             # the session's own number stays
+        P.tokens(spark, docs, str(tmp_path))
+        assert spark.conf.get(key) == "77"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_memory_is_given_back_when_variables_are_gone(monkeypatch):
+    alive = []
+
+    class Held:
+        def __init__(self):
+            alive.append(self.__hash__())
+
+        def __del__(self):
+            alive.clear()
+
+    def run(x):
+        held = Held()
+        return x + bool(held)
+
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append(list(alive)))
+    assert common.freed(run, 1) == 2 and seen == [[]]
+
+
+def test_small_batches_are_joined_for_packing():
+    """Ten batches of a row are one block; the rows and their order stay."""
+    kind = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    one = lambda i: pa.RecordBatch.from_pydict({"doc_id": [i], "text": [f"text {i}" if i else None]}, kind)
+    rows = [one(i) for i in range(10)]
+    got = list(common.joined(rows + [one(10).slice(1)]))
+    assert len(got) == 1 and got[0].column("doc_id").to_pylist() == list(range(10))
+    assert [t for _, t in common.text_blocks(got)] == [[""] + [f"text {i}" for i in range(1, 10)]]
+    few = list(common.joined(rows, 3 * one(1).nbytes))
+    assert sum(b.num_rows for b in few) == 10 and 1 < len(few) < 10
+    assert list(common.joined([])) == [] and common.joined(rows[:1]).__next__() is rows[0]
