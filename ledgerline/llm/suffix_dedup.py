@@ -10,8 +10,8 @@ judged on the input.
    blocks by a hash of the id; each block sends the hashes of its key grams,
    packed and cut by range, and gets back those that stand in two places or
    more. Only segments with such a key go on, each once a block.
-2. Column-wise construction. The segments of one hash range form a
-   collection. Round by round one symbol of every segment is inserted, from
+2. Column-wise construction. Segments of one hash range are cut to the
+   strings whose hash stands twice among them, and form collections. Round by round one symbol of every segment is inserted, from
    its last to its first: the place of the new suffix follows from the rank
    of its first symbol in the collection's Burrows-Wheeler transform, its
    common prefix with its neighbours from the range minimum of the common
@@ -223,9 +223,23 @@ def segments(docs: DataFrame, repeated: DataFrame, bits: int, ranges: int) -> Da
         run, "part long, key long, block int, row int, doc_id long, a long, b long, body binary, periodic boolean")
 
 
+def _merged(old: np.ndarray, fresh: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``old`` with the ``fresh`` rows merged in at the places ``at``."""
+    gap = np.ones(len(old) + len(fresh), bool)
+    gap[at] = False
+    out = np.empty(len(gap), old.dtype)
+    out[gap] = old
+    out[at] = fresh
+    return out
+
+
 def collection_bwt(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All suffixes of all ``bodies`` in order: document, length and common
-    prefix with the suffix before (at most 255), the empty ones first."""
+    prefix with the suffix before (at most 255), the empty ones first.
+
+    The transform is kept in the order of its symbols: ``by`` has, sorted,
+    the symbol before each suffix (high bits) and the suffix's place. So a
+    round neither sorts it nor looks at it by place."""
     m = len(bodies)
     size = np.array([len(b) for b in bodies], np.int64)
     end = np.cumsum(size)
@@ -233,46 +247,50 @@ def collection_bwt(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     used = np.zeros(256, bool)
     used[text] = True
     code = np.cumsum(used)                                    # symbols from 1 on; 0: nothing stands before
-    flat = code.astype(np.uint8 if code[-1] < 256 else np.uint16)[text]
-    name = np.arange(m)                                       # document + m * length
+    bits, kind = (24, np.uint32) if code[-1] < 256 and m + len(text) < 1 << 24 else (40, np.uint64)
+    flat = (code.astype(kind) << kind(bits))[text]
+    place = kind((1 << bits) - 1)
     lcp = np.zeros(m, np.uint8)
-    bwt = np.zeros(m, flat.dtype)
-    live = np.flatnonzero(size > 0)
-    bwt[live] = flat[end[live] - 1]
-    old = live                                                # where each live document's newest suffix stands
+    old = live = np.flatnonzero(size > 0)                     # old: where each live document's newest suffix stands
+    own = flat[end[live] - 1]
+    by = np.arange(m, dtype=kind)
+    by[live] |= own
+    by.sort()
     for j in range(1, int(size.max(initial=0)) + 1):
-        n = len(bwt)
-        by = np.argsort(bwt, kind="stable")                   # suffixes by the symbol before them
-        ended = n - int(np.count_nonzero(bwt))
-        rank = np.empty(n, np.int32)
-        rank[by] = np.arange(n, dtype=np.int32)
-        k = rank[old]                                         # symbol + suffix stands here, new rows included
-        new = k + (m - ended)
+        n = len(by)
+        k = np.searchsorted(by, own | old.astype(kind))
+        new = k + len(live)                                   # symbol + suffix stands here, new rows included
         # common prefixes: 1 + least one between the neighbours with the same symbol
-        own = bwt[old]
         before, after = by[k - 1], by[np.minimum(k + 1, n - 1)]
-        has_before = (k > ended) & (bwt[before] == own)
-        has_after = (k + 1 < n) & (bwt[after] == own)
+        has_before = (k > 0) & (before & ~place == own)
+        has_after = (k + 1 < n) & (after & ~place == own)
+        before, after = (before & place).astype(np.int64), (after & place).astype(np.int64)
         low = _range_min(lcp, np.where(has_before, before + 1, old), old)
         high = _range_min(lcp, np.where(has_after, old + 1, old), np.where(has_after, after, old))
-        symbol = np.zeros(len(live), bwt.dtype)
+        symbol = np.zeros(len(live), kind)
         more = size[live] > j
         symbol[more] = flat[end[live[more]] - j - 1]
-        # write transform, common prefixes and names again, the new rows merged in
-        total = n - ended + m
-        gap = np.ones(total, bool)
-        gap[new] = False
-        merged = []
-        for x, fresh in ((name, live + m * j), (bwt, symbol),
-                         (lcp, np.where(has_before, np.minimum(low.astype(np.int64) + 1, 255), 0))):
-            y = np.empty(total, x.dtype)
-            y[gap] = x
-            y[new] = fresh
-            merged.append(y)
-        name, bwt, lcp = merged
+        # write transform and common prefixes again, the new rows merged in
+        moved = np.ones(n + len(live), bool)
+        moved[new] = False
+        moved = np.flatnonzero(moved).astype(kind)            # new places of the old rows
+        by = (by & ~place) | moved.take(by & place, mode="clip")
+        fresh = np.sort(symbol | new.astype(kind))
+        by = _merged(by, fresh, np.searchsorted(by, fresh) + np.arange(len(fresh)))
+        lcp = _merged(lcp, np.where(has_before, np.minimum(low.astype(np.int64) + 1, 255), 0), new)
         lcp[new[has_after] + 1] = np.minimum(high[has_after].astype(np.int64) + 1, 255)
-        live, old = live[more], new[more]
-    return name % m if m else name, name // m if m else name, lcp
+        order = np.flatnonzero(more)[np.argsort(new[more])]    # by place: range minima then read the array once
+        live, old, own = live[order], new[order], symbol[order]
+    # the longer suffixes' places follow from the shorter ones' by the whole transform
+    longer = np.empty(len(by), np.int64)
+    longer[by & place] = np.arange(len(by))
+    doc, length = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+    live = at = np.arange(m)
+    for j in range(int(size.max(initial=0)) + 1):
+        doc[at], length[at] = live, j
+        more = size[live] > j
+        live, at = live[more], longer[at[more]]
+    return doc, length, lcp
 
 
 def _range_min(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -303,6 +321,43 @@ def repeated_runs(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return doc[first], start[first], start[last] + SPAN
 
 
+def may_repeat(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bodies with SPAN-byte strings whose hash stands twice, and the least
+    stretch (first byte, end) of each that holds all of them. Equal strings
+    have equal hashes, so no repeat stands outside."""
+    size = np.array([len(x) for x in bodies], np.int64)
+    t = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64) + np.uint64(1)
+    n = np.maximum(size - SPAN + 1, 0)                        # strings of each
+    doc = np.repeat(np.arange(len(n)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(size) - size, n) + start
+    up, down = _powers(len(t))
+    s = np.zeros(len(t) + 1, np.uint64)
+    np.cumsum(t * up, out=s[1:])
+    h = (s[at + SPAN] - s[at]) * down[at]
+    order = np.argsort(h)
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order] = same[1:] | same[:-1]
+    doc, start = doc[twice], start[twice]
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    last = np.append(first[1:], len(doc)) - 1 if len(doc) else first
+    return doc[first], start[first], start[last] + SPAN
+
+
+def _whole_keys(rows: np.ndarray, key: np.ndarray, size: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """``rows``, sorted by key, in groups of ``limit`` bytes or a bit more;
+    keys stay whole."""
+    ends = np.flatnonzero(np.append(key[rows][1:] != key[rows][:-1], True)) + 1 if len(rows) else []
+    total, at = np.cumsum(size[rows]), 0
+    for end in ends:
+        if total[end - 1] - (total[at - 1] if at else 0) < limit and end < len(rows):
+            continue
+        yield rows[at:end]
+        at = end
+
+
 def repeats(parts: DataFrame) -> DataFrame:
     """Spans (block, row, a, b) of the segments' strings that start earlier
     elsewhere."""
@@ -310,6 +365,7 @@ def repeats(parts: DataFrame) -> DataFrame:
     def later(t: pa.Table) -> pa.Table:
         cols = [t.column(c).to_numpy() for c in ("doc_id", "row", "a", "b", "block", "key")]
         ids, row, a, b, block, key = cols
+        a, b = a.copy(), b.copy()
         body, periodic = t.column("body").to_pylist(), t.column("periodic").to_pylist()
         order = np.lexsort((a, row, ids))
         seen: set[bytes] = set()
@@ -324,15 +380,14 @@ def repeats(parts: DataFrame) -> DataFrame:
         _, which, n = np.unique(key[first], return_inverse=True, return_counts=True)
         first = first[(n[which] > 1) | np.array([periodic[i] for i in first], bool)]
         by_key = first[np.argsort(key[first], kind="stable")]
-        size = np.cumsum((b - a)[by_key])
-        # keys stay whole; a collection that fits the processor's cache is quickest
-        ends = np.flatnonzero(np.append(key[by_key][1:] != key[by_key][:-1], True)) + 1 if len(by_key) else []
-        at = 0
-        for end in ends:
-            if size[end - 1] - (size[at - 1] if at else 0) < COLLECTION and end < len(by_key):
-                continue
-            i = np.sort(by_key[at:end])
-            at = end
+        left = []
+        for i in _whole_keys(by_key, key, b - a, PIECE):
+            cut, lo, hi = may_repeat([body[k] for k in i])
+            for k, x, y in zip(i[cut].tolist(), lo.tolist(), hi.tolist()):
+                body[k], a[k], b[k] = body[k][x:y], a[k] + x, a[k] + y
+            left.append(i[cut])
+        by_key = np.concatenate(left) if left else by_key
+        for i in _whole_keys(by_key, key, b - a, COLLECTION):  # quickest if it fits the processor's cache
             i = i[np.lexsort((a[i], row[i], ids[i]))]
             which, start, stop = repeated_runs([body[k] for k in i])
             i = i[which]
@@ -377,7 +432,7 @@ def hot_repeats(parts: DataFrame) -> DataFrame:
     names = ["string", "doc_id", "row", "block", "a", "b"]
     kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     found = saved(parts.select("doc_id", "row", "a", "block", "body").mapInArrow(
-        run, "string binary, doc_id long, row int, block int, a long, b long"), "hot-strings")
+        run, "string binary, doc_id long, row int, block int, a long, b long"), "hot-strings", tidy=True)
     place = F.struct("doc_id", "row", "a")
     strings = found.where("string is not null")
     first = strings.groupBy("string").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -398,7 +453,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     size = total_bytes(docs)
     bits = _range_bits(size)
     docs = _dealt(docs, "text", "doc_id", size)
-    parts = saved(segments(docs, repeated_keys(docs, bits), bits, 1 << (bits + 3)), "segments")
+    parts = saved(segments(docs, repeated_keys(docs, bits), bits, 1 << (bits + 3)), "segments", tidy=True)
     whole = parts.where("body is null").select("block", "row", "a", "b")
     parts = parts.where("body is not null")
     # few: one for HOT bytes of segments at most
@@ -407,7 +462,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[
     found = whole.unionByName(repeats(parts.join(F.broadcast(hot), "key", "left_anti")))
     if not hot.isEmpty():
         found = found.unionByName(hot_repeats(parts.join(F.broadcast(hot), "key", "left_semi")))
-    return docs, saved(found, "spans")
+    return docs, saved(found, "spans", tidy=True)
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

@@ -1,9 +1,12 @@
 import hashlib
 import random
+import time
 
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import suffix_dedup as S
+from ledgerline.llm.common import TIDY, saved
 from tests.llm.conftest import ODD
 
 
@@ -115,3 +118,72 @@ def test_no_task_holds_a_hot_key(docs_of, monkeypatch, hot):
     got = sorted(map(tuple, S.digests(docs_of(rows)).collect()), key=repr)
     assert got == brute(rows)
     assert max(most, default=0) <= hot
+
+
+class Here:
+    """Stands for the segments: gives back the function on one range."""
+
+    def groupBy(self, _):
+        return self
+
+    def applyInArrow(self, run, _):
+        return run
+
+
+def test_only_strings_that_may_repeat_are_sorted(monkeypatch):
+    """A phrase of 70 bytes may give its neighbourhoods one key, but no string
+    of 100 bytes repeats; of a passage that does, the passage alone goes on."""
+    runs, seen = S.repeated_runs, []
+    monkeypatch.setattr(S, "repeated_runs", lambda bodies: seen.extend(bodies) or runs(bodies))
+    rng = random.Random(21)
+    noise = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+
+    def found(bodies):
+        n = len(bodies)
+        t = pa.table({"key": [5] * n, "block": pa.array([0] * n, pa.int32()), "row": pa.array(range(n), pa.int32()),
+                      "doc_id": list(range(n)), "a": [1000] * n, "b": [1000 + len(x) for x in bodies],
+                      "body": pa.array(bodies, pa.binary()), "periodic": [False] * n})
+        return sorted(zip(*S.repeats(Here())(t).to_pydict().values()))
+
+    phrase, passage = noise(70), noise(110)
+    bodies = [noise(40) + phrase + noise(40) for _ in range(20)]
+    assert found(bodies) == [] and seen == []
+    bodies += [noise(5 * i) + passage + noise(30 - 5 * i) for i in range(3)]
+    assert found(bodies) == [(0, 21, 1005, 1115), (0, 22, 1010, 1120)]
+    assert seen and all(x in passage for x in seen)
+
+
+def test_shuffle_files_go_with_the_step(spark, docs_of):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        files = disk.getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return {f.getPath(): f.length() for f in files if f.getName().startswith("shuffle") and f.exists()}
+
+    docs = docs_of([(i, random.Random(i).randbytes(1000).hex()) for i in range(300)]).repartition(4, "doc_id")
+    for tidy in (False, True):
+        before = set(held())
+        assert saved(docs, "tidy-or-not", tidy).count() == 300
+        for _ in range(50):
+            size = sum(n for f, n in held().items() if f not in before)
+            if tidy and size < 20_000:
+                break
+            time.sleep(0.1)
+        assert size < 20_000 if tidy else size > 20_000
+    assert spark.conf.get(TIDY, None) in (None, "false")
+
+
+def test_stretch_that_may_repeat():
+    rng = random.Random(22)
+    for _ in range(30):
+        a, b = (bytes(rng.choice(b"ab") for _ in range(130)) for _ in range(2))
+        bodies = [a, b[:rng.randint(0, 130)], a[rng.randint(0, 20):] + b[:30], b"a" * 101, b""]
+        strings = [[x[i:i + S.SPAN] for i in range(len(x) - S.SPAN + 1)] for x in bodies]
+        every = [s for x in strings for s in x]
+        want = []
+        for k, x in enumerate(strings):
+            at = [i for i, s in enumerate(x) if every.count(s) > 1]
+            want += [(k, at[0], at[-1] + S.SPAN)] if at else []
+        assert list(zip(*(x.tolist() for x in S.may_repeat(bodies)))) == want
+    assert not len(S.may_repeat([])[0])
