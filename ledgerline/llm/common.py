@@ -196,7 +196,7 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     so the centre of a large group is a sum over tasks, never one list.
     """
     cur = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                             F.least("a", "b").alias("b")).distinct(), f"{name}-0")
+                                             F.least("a", "b").alias("b")).distinct(), f"{name}-0", tidy=True)
     last = None
     for i in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -208,7 +208,7 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         small = large.join(small_min, "a").select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        nxt = saved(small.select("e.a", "e.b").where("a <> b").distinct(), f"{name}-{i + 1}")
+        nxt = saved(small.select("e.a", "e.b").where("a <> b").distinct(), f"{name}-{i + 1}", tidy=True)
         now = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         cur = nxt
         if now == last:

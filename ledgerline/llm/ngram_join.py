@@ -6,9 +6,11 @@ similarity of 0.75 or more are linked; linked documents form components.
    documents. Here grams that occur in one document only come first: texts
    are dealt into blocks by a hash of the id, each block sends its grams,
    packed and cut by hash range, and gets back those that also occur
-   elsewhere. A document with enough grams of its own needs no comparison;
-   the others enter their first shared grams, and documents that share one
-   fall into one candidate cluster.
+   elsewhere, with how often. A document with enough grams of its own needs no
+   comparison; the others enter their rarest shared grams, and documents that
+   share one fall into one candidate cluster. (In the order of the hash, lines
+   that are everywhere would tie most candidates into one cluster, whose tiles
+   grow with its square.)
 2. Size-banded tiles. A small cluster is one tile. A large one is cut by
    size into bands (each 4/3 times the one before, so that linked sets lie
    in the same or in neighbouring bands) and by a hash into parts of about
@@ -77,9 +79,10 @@ def _range_bits(size: int) -> int:
 
 
 def shared_grams(docs: DataFrame, bits: int) -> DataFrame:
-    """``docs(block, text)`` -> (block, part, vals): for each block its grams
-    that occur in two or more documents; a gram is known by ``bits`` + 32
-    bits (equal ones by chance cost time, not correctness)."""
+    """``docs(block, text)`` -> (block, part, vals, often): for each block its
+    grams that occur in two or more documents, and twice the logarithm of how
+    often they were sent; a gram is known by ``bits`` + 32 bits (equal ones by
+    chance cost time, not correctness)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(joined(batches, 2 * BLOCK), "text", 2 * BLOCK):
@@ -106,32 +109,37 @@ def shared_grams(docs: DataFrame, bits: int) -> DataFrame:
         v, b = v[order], b[order]
         same = np.zeros(len(v) + 1, bool)
         same[1:-1] = v[1:] == v[:-1]
+        run = np.cumsum(~same[:-1]) - 1
+        often = (2 * np.log2(np.bincount(run))).astype(np.uint8)[run]
         twice = same[1:] | same[:-1]
-        v, b = v[twice], b[twice]
+        v, b, often = v[twice], b[twice], often[twice]
         order = np.lexsort((v, b))
-        v, b = v[order], b[order]
+        v, b, often = v[order], b[order], often[order]
         once = np.append(True, (v[1:] != v[:-1]) | (b[1:] != b[:-1])) if len(v) else np.zeros(0, bool)
-        v, b = v[once], b[once]
-        return pa.Table.from_arrays(packed([np.full(len(v), key[0].as_py(), np.int32), b], v),
-                                    ["part", "block", "vals"])
+        v, b, often = v[once], b[once], often[once]
+        keys = [np.full(len(v), key[0].as_py(), np.int32), b]
+        return pa.Table.from_arrays([*packed(keys, v), packed(keys, often)[2]], ["part", "block", "vals", "often"])
 
     def back(key: tuple, t: pa.Table) -> pa.Table:
         return freed(several, key, t)
 
     return docs.mapInArrow(send, "part int, vals binary, runs binary").groupBy("part") \
-        .applyInArrow(back, "part int, block int, vals binary")
+        .applyInArrow(back, "part int, block int, vals binary, often binary")
 
 
 def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
     """One row per row of ``docs(block, doc_id, text)``: doc_id, n, digest
     (d1, d2); for documents that may have a link also their gram set and the
-    shared grams of their prefix."""
+    shared grams of their prefix: the rarest first, by hash among equally rare
+    ones. ``often`` belongs to the gram, so the order is the same for all."""
 
     def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = [t or "" for t in left.column("text").to_pylist()]
         v, row = unpacked(right.column("vals"), np.uint32)
-        known = np.sort((right.column("part").to_numpy().astype(np.uint64)[row] << np.uint64(32)) | v) \
+        known = (right.column("part").to_numpy().astype(np.uint64)[row] << np.uint64(32)) | v \
             if len(v) else np.zeros(0, np.uint64)
+        order = np.argsort(known)
+        known, often = known[order], unpacked(right.column("often"), np.uint8)[0][order]
         n, d1, d2, grams, prefix = [], [], [], [], []
         for s in gram_sets(texts):
             digest = xxhash.xxh3_128_digest(s.tobytes())
@@ -142,9 +150,10 @@ def sets_with_shared(docs: DataFrame, shared: DataFrame, bits: int) -> DataFrame
             if len(s) and len(known):
                 cut = s >> np.uint64(32 - bits)
                 at = np.minimum(np.searchsorted(known, cut), len(known) - 1)
-                others = s[known[at] == cut]
+                here = known[at] == cut
+                others = s[here]
                 room = len(s) // 4 + 1 - (len(s) - len(others))
-                rest = others[:room] if room > 0 else None
+                rest = others[np.argsort(often[at[here]], kind="stable")[:room]] if room > 0 else None
             grams.append(None if rest is None else s.tobytes())
             prefix.append(None if rest is None else rest.view(np.int64).tolist())
         return pa.Table.from_arrays([left.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
@@ -275,14 +284,16 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     size = total_bytes(docs)
     bits, n_blocks = _range_bits(size), max(1, math.ceil(size / BLOCK))
     docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int").alias("block"), "doc_id", "text")
-    sets = saved(sets_with_shared(docs, shared_grams(docs, bits), bits), "gram-sets")
+    # each step's shuffle files go with it: together they are several times the input
+    shared = saved(shared_grams(docs, bits), "gram-shared", tidy=True)
+    sets = saved(sets_with_shared(docs, shared, bits), "gram-sets", tidy=True)
     rows = sets.select("doc_id", "n", "d1", "d2")
     # a written table: its joins are of two plain exchanges, which Spark can split at a frequent set
-    reps = saved(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "gram-reps")
+    reps = saved(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "gram-reps", tidy=True)
     first = reps.withColumnRenamed("node", "doc_id")          # by id too: of equal sets one is kept, none is moved together
     nodes = saved(sets.where("grams is not null").join(first, ["d1", "d2", "doc_id"])
                   .select(F.col("doc_id").alias("node"), "n", "grams", "prefix")
-                  .dropDuplicates(["node", "n", "prefix"]), "gram-nodes")
+                  .dropDuplicates(["node", "n", "prefix"]), "gram-nodes", tidy=True)
     posts = nodes.select("node", F.explode("prefix").alias("g"))
     least = posts.groupBy("g").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     meet = posts.join(least.select("g", "a"), "g").where("a < node").select("a", F.col("node").alias("b")).distinct()

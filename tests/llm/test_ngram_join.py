@@ -135,3 +135,32 @@ def test_a_block_sends_a_row_a_range(docs_of, monkeypatch):
     for r, s in zip(texts, sets):
         want[r.block] |= {g for g in s if often[g] > 1}
     assert grams == want
+
+
+def test_common_lines_do_not_tie_candidates_together(docs_of, monkeypatch):
+    """Families of near copies share half of their words with all others. A
+    prefix by hash held grams of those lines, so all were one cluster, whose
+    tiles grow with its square."""
+    rng = random.Random(8)
+    line = [f"c{k}" for k in range(100)]
+    rows = []
+    for f in range(40):
+        own = [f"f{f}x{k}" for k in range(100)]
+        for i in range(3):
+            own = [*own]
+            own[rng.randrange(100)] = f"n{f}x{i}"
+            rows.append((3 * f + i, " ".join(line + own)))
+    kept, found = [], J.components
+    monkeypatch.setattr(J, "components", lambda e, name: kept.append((name, found(e, name))) or kept[-1][1])
+    got = {r.doc_id: r.component_id for r in J.join(docs_of(rows)).collect()}
+    assert got == brute(rows) and got == {i: i // 3 * 3 for i in range(120)}
+    clusters = Counter(r.root for r in dict(kept)["gram-clusters"].collect())
+    assert max(clusters.values()) <= 3
+
+
+def test_steps_leave_no_shuffle_files(docs_of, monkeypatch):
+    """The shuffle files of all steps together were over four times the input."""
+    tidied, write = [], J.saved
+    monkeypatch.setattr(J, "saved", lambda df, name, tidy=False: tidied.append((name, tidy)) or write(df, name, tidy))
+    J.join(docs_of(corpus(5, 30))).collect()
+    assert {n for n, _ in tidied} == {"gram-shared", "gram-sets", "gram-reps", "gram-nodes"} and all(t for _, t in tidied)
